@@ -75,6 +75,7 @@ def kd_place(points: DataFrame, dims: list[str], shards: int, tolerance: float =
             first |= {2 * n: first[n], 2 * n + 1: first[n] + (m + 1) // 2}
         x, cut = _coordinate(dims, {n: cuts[n][0] for n in level}), _of_node({n: cuts[n][1] for n in level}, "long")
         points = points.withColumn("node", F.when(F.col("node").isin(list(level)), 2 * F.col("node") + F.when(x <= cut, 0).otherwise(1)).otherwise(F.col("node")))
+        points = checkpointed(points)  # a light row for each distinct text; deeper expressions outgrow one method
     leaves = {n: first[n] for n in counts if n not in cuts}
     return points.withColumn("shard", _of_node(leaves, "int")).drop("node"), cuts
 
