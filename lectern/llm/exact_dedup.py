@@ -30,26 +30,25 @@ def joined_bytes(column: pa.Array) -> tuple[bytes, np.ndarray]:
     return (data.slice(at[0], at[-1] - at[0]).to_pybytes() if data else b""), at - at[0]
 
 
-def cut_points(data: bytes) -> np.ndarray:
-    """Positions after which a cut may fall: a 32-byte gear hash, built by doubling, has its top bits clear."""
-    h = _GEAR[np.frombuffer(data, np.uint8)]
-    for step in (1, 2, 4, 8, 16):
+def rolling_cuts(h: np.ndarray, bits: int, steps: tuple[int, ...] = (1, 2, 4, 8, 16)) -> np.ndarray:
+    """Positions after which a cut may fall: a gear hash (h: a random uint32 for each item), built by doubling, has its top bits clear."""
+    for step in steps:
         h[step:] = h[step:] + (h[:-step] << np.uint32(step))
-    return np.flatnonzero(h >> np.uint32(32 - CUT_BITS) == 0) + 1
+    return np.flatnonzero(h >> np.uint32(32 - bits) == 0) + 1
 
 
-def chunk_ends(cuts: np.ndarray, start: int, end: int) -> list[int]:
-    """Ends of the chunks of data[start:end]: at cuts, each MIN_CHUNK to MAX_CHUNK long, but for the last."""
+def chunk_ends(cuts: np.ndarray, start: int, end: int, least: int = MIN_CHUNK, most: int = MAX_CHUNK) -> list[int]:
+    """Ends of the chunks of items start to end: at cuts, each of least to most items, but for the last."""
     ends, last = [], start
-    for cut in cuts[np.searchsorted(cuts, start + MIN_CHUNK) : np.searchsorted(cuts, end)].tolist():
-        while cut - last > MAX_CHUNK:
-            last += MAX_CHUNK
+    for cut in cuts[np.searchsorted(cuts, start + least) : np.searchsorted(cuts, end)].tolist():
+        while cut - last > most:
+            last += most
             ends.append(last)
-        if cut - last >= MIN_CHUNK:
+        if cut - last >= least:
             ends.append(cut)
             last = cut
-    while end - last > MAX_CHUNK:
-        last += MAX_CHUNK
+    while end - last > most:
+        last += most
         ends.append(last)
     return [*ends, end]
 
@@ -59,7 +58,7 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, li
     for batch in batches:
         data, at = joined_bytes(batch.column(1))
         data = data.lower()
-        cuts, view = cut_points(data), memoryview(data)
+        cuts, view = rolling_cuts(_GEAR[np.frombuffer(data, np.uint8)], CUT_BITS), memoryview(data)
         yield batch.column(0), [(view[a:b], [0, *(e - a for e in chunk_ends(cuts, a, b))]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from lectern.llm import exact_dedup, license_scan, sharding, source_mixing
+from lectern.llm import exact_dedup, license_scan, sharding, source_mixing, token_store
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op4_source_mixing": source_mixing.op4_source_mixing,
     "op5_license_scan": license_scan.op5_license_scan,
+    "op8_token_output": token_store.op8_token_output,
     "op9_sharding": sharding.op9_sharding,
 }
 ORACLE_SQL = {
