@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from lectern.llm import exact_dedup, license_scan, sharding, source_mixing, token_store
+from lectern.llm import exact_dedup, license_scan, sharding, source_mixing, token_store, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op4_source_mixing": source_mixing.op4_source_mixing,
     "op5_license_scan": license_scan.op5_license_scan,
+    "op6_warc": warc.op6_warc,
     "op8_token_output": token_store.op8_token_output,
     "op9_sharding": sharding.op9_sharding,
 }
@@ -15,4 +16,5 @@ ORACLE_SQL = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
     "op4_source_mixing": source_mixing.OP4_SQL,
     "op5_license_scan": license_scan.OP5_SQL,
+    "op6_warc": warc.OP6_SQL,
 }
