@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from lectern.llm import exact_dedup, license_scan, sharding, source_mixing, token_store, warc
+from lectern.llm import decontamination, exact_dedup, license_scan, sharding, source_mixing, token_store, toxicity, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op4_source_mixing": source_mixing.op4_source_mixing,
     "op5_license_scan": license_scan.op5_license_scan,
     "op6_warc": warc.op6_warc,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op8_token_output": token_store.op8_token_output,
     "op9_sharding": sharding.op9_sharding,
+    "op10_decontamination": decontamination.op10_decontamination,
 }
 ORACLE_SQL = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
