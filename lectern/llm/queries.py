@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from lectern.llm import decontamination, exact_dedup, license_scan, ngram_join, sharding, source_mixing, token_store, toxicity, warc
+from lectern.llm import decontamination, exact_dedup, license_scan, lm_scoring, ngram_join, sharding, source_mixing, token_store, toxicity, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_lm_scoring": lm_scoring.op2_lm_scoring,
     "op3_ngram_join": ngram_join.op3_ngram_join,
     "op4_source_mixing": source_mixing.op4_source_mixing,
     "op5_license_scan": license_scan.op5_license_scan,
