@@ -155,7 +155,9 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(list(counts.keys()), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "c"])
 
     for batch in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
-        counts.update(joined_bytes(batch.column(0))[0].lower().split())
+        data, at = joined_bytes(batch.column(0))
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            counts.update(data[a:b].lower().split())
         if len(counts) > 400_000:
             yield out()
             counts.clear()
