@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -105,7 +106,7 @@ def surviving_pairs(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[n
 
 
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> list[int]:
-    """Root of each of n vertices under the edges."""
+    """Least vertex of each one's component, of n vertices under the edges."""
     root = list(range(n))
 
     def find(i: int) -> int:
@@ -115,16 +116,21 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> list[int]:
         return i
 
     for i, j in zip(a.tolist(), b.tolist(), strict=True):
-        root[find(j)] = find(i)
+        i, j = find(i), find(j)
+        root[max(i, j)] = min(i, j)
     return [find(i) for i in range(n)]
 
 
-def _pairs(block: list[int], first: int, second: int) -> tuple[np.ndarray, np.ndarray]:
+@lru_cache(maxsize=1000)
+def _triangle(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.triu_indices(n, 1)
+
+
+def _pairs(block: np.ndarray, first: int, second: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs within a block, or across two."""
-    x = np.array(block)
     if first == second:
-        return np.triu_indices(len(x), 1)
-    a, b = np.meshgrid(np.flatnonzero(x == first), np.flatnonzero(x == second), indexing="ij")
+        return _triangle(len(block))
+    a, b = np.meshgrid(np.flatnonzero(block == first), np.flatnonzero(block == second), indexing="ij")
     return a.ravel(), b.ravel()
 
 
@@ -136,17 +142,33 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges of a forest over the pairs of each bucket (or pair of its blocks) that pruning leaves."""
-    for batch in batches:
-        left, right = [], []
-        for i, j, members in zip(*(batch.column(c).to_pylist() for c in ("i", "j", "members")), strict=True):
-            values = np.frombuffer(b"".join(m["low"] for m in members), np.uint8).reshape(len(members), -1)
-            a, b = _pairs([m["block"] for m in members], i, j)
-            for k, root in enumerate(forest(len(members), *surviving_pairs(values, a, b))):
-                if k != root:
-                    left.append(members[k]["name"])
-                    right.append(members[root]["name"])
-        yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
+    """Edges of a forest over the pairs of each bucket (or pair of its blocks) that pruning leaves.
+
+    Buckets are mostly pairs, so a batch's are taken together. An edge leads to the least name of its
+    tree: buckets that hold the same classes then mostly give the same edges.
+    """
+    for batch in (b.slice(i, 2000) for b in batches for i in range(0, b.num_rows, 2000)):
+        members = batch.column("members").flatten()
+        sizes = np.diff(batch.column("members").offsets.to_numpy())
+        starts = np.cumsum(sizes) - sizes
+        names, low, block = (members.field(f) for f in ("name", "low", "block"))
+        values = np.frombuffer(b"".join(low.to_pylist()), np.uint8).reshape(len(low), -1)
+        names, block = names.to_pylist(), block.to_numpy()
+        left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for start, n, i, j in zip(starts.tolist(), sizes.tolist(), batch.column("i").to_pylist(), batch.column("j").to_pylist(), strict=True):
+            a, b = _pairs(block[start : start + n], i, j)
+            if len(a) > 10_000:  # one at a time, so that memory stays bounded
+                a, b = surviving_pairs(values[start : start + n], a, b)
+            left.append(a + start)
+            right.append(b + start)
+        a, b = surviving_pairs(values, np.concatenate(left), np.concatenate(right))
+        # Each bucket's members are apart from the others', by place, so one forest serves all; places follow names.
+        order = sorted(range(len(names)), key=names.__getitem__)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        root = forest(len(names), rank[a], rank[b])
+        edges = {(names[order[k]], names[order[r]]) for k, r in enumerate(root) if k != r}
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in edges], pa.binary()), pa.array([y for _, y in edges], pa.binary())], ["a", "b"])
 
 
 def common_counts(sets: list[np.ndarray]) -> np.ndarray:
@@ -172,10 +194,11 @@ def _verify(threshold: float):
         for batch in batches:
             names, roots, links = [], [], []
             for i, j, members in zip(*(batch.column(c).to_pylist() for c in ("i", "j", "members")), strict=True):
+                members = sorted(members, key=lambda m: m["name"])
                 sets = [np.frombuffer(m["shingles"], np.uint64) for m in members]
                 size, copies = np.array([len(s) for s in sets]), np.array([m["copies"] for m in members])
                 common = common_counts(sets)
-                a, b = _pairs([m["block"] for m in members], i, j)
+                a, b = _pairs(np.array([m["block"] for m in members]), i, j)
                 keep = common[a, b] * (1 + threshold) >= threshold * (size[a] + size[b]) - 1e-6
                 a, b = a[keep], b[keep]
                 n = np.bincount(a, copies[b], len(sets)) + np.bincount(b, copies[a], len(sets))
@@ -229,7 +252,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     full = checkpointed(bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
     members = bands.join(full, "bucket")
     # A pair is compared on the low byte of each value: unequal values agree in one case of 256.
-    low = classes.where("values IS NOT NULL").select("name", F.udf(lambda v: v[::4], "binary", useArrow=True)("values").alias("low"))
+    low = classes.where("values IS NOT NULL").select("name", F.udf(lambda v: bytes(v)[::4], "binary")("values").alias("low"))
     members = checkpointed(members.join(low, "name"))
     found = _dealt(members, "bucket", ["low"]).mapInArrow(_prune, "a binary, b binary")
     groups = connected_components(found)
