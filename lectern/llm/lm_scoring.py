@@ -23,19 +23,21 @@ from lectern.llm.subwords import word_encoder
 from lectern.llm.token_store import default_tokenizer
 from lectern.plans.durable import checkpointed
 
-SIDE = 32
+SIDE = 24
 SLOTS = SIDE * SIDE
 TAIL, END = SLOTS - 1, 0
-WIDTH, HIDDEN, WINDOW, OVERLAP = 32, 64, 32, 8
+WIDTH, HIDDEN, WINDOW, OVERLAP = 24, 48, 32, 6
 #: Every SPAN_STRIDE-th span of SPAN words of each training text is trained on: a fixed share of a large corpus, all of a small one.
-SPAN, MAX_STRIDE, STRIDE_WORDS = 24, 16, 1_000_000
-ROUNDS, BATCH, RATE = 4, 64, 4e-3
-LEARNER_WINDOWS, LEARNER_STEPS = 12_288, 400
+SPAN, MAX_STRIDE, STRIDE_WORDS = 24, 64, 2_000_000
+ROUNDS, BATCH, RATE = 3, 64, 4e-3
+#: Windows of one learner, and of all learners in a round: fewer are gone over again, up to MAX_PASSES times.
+LEARNER_WINDOWS, ROUND_WINDOWS, MAX_PASSES = 12_288, 250_000, 6
 #: Words whose counts every task holds; all others are joined.
 HOT_WORDS = 1 << 18
 
 SHAPES = {"E": (SLOTS, WIDTH), "P": (WINDOW, WIDTH), "Q": (WIDTH, WIDTH), "K": (WIDTH, WIDTH), "V": (WIDTH, WIDTH), "O": (WIDTH, WIDTH), "W1": (WIDTH, HIDDEN), "b1": (HIDDEN,), "W2": (HIDDEN, WIDTH), "C": (WIDTH, SIDE), "bc": (SIDE,), "U": (SIDE, WIDTH, SIDE), "bu": (SIDE, SIDE)}
 _FUTURE = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
+_PAST = np.tril(np.ones((WINDOW, WINDOW), np.float32))
 
 
 def unpacked(flat: np.ndarray) -> dict[str, np.ndarray]:
@@ -76,17 +78,49 @@ def _body(p: dict, x: np.ndarray):
     return e, q, k, v, a, o, h, r, h + r @ p["W2"]
 
 
-def log_probabilities(p: dict, x: np.ndarray, at: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Natural log of the probability of each target slot; at: its places in the flattened windows x."""
-    z = _body(p, x)[-1].reshape(-1, WIDTH)[at]
+def _fast_body(p: dict, x: np.ndarray) -> np.ndarray:
+    """What _body gives last, in fewer passes: weights of attention aren't kept, nor brought below 1 before exp."""
+    e = p["E"][x] + p["P"]
+    qkv = e.reshape(-1, WIDTH) @ np.hstack([p["Q"] * np.float32(WIDTH**-0.5), p["K"], p["V"]])
+    q, k, v = qkv.reshape(*x.shape, 3, WIDTH).transpose(2, 0, 1, 3)
+    a = q @ k.transpose(0, 2, 1)
+    np.exp(a, out=a)
+    a *= _PAST
+    o = a @ v
+    o /= a.sum(axis=2, keepdims=True)
+    h = e.reshape(-1, WIDTH) + o.reshape(-1, WIDTH) @ p["O"]
+    r = h @ p["W1"]
+    r += p["b1"]
+    np.maximum(r, 0, out=r)
+    h += r @ p["W2"]
+    return h
+
+
+def _chosen(logits: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """Log softmax of each row at its index."""
+    own = logits[np.arange(len(index)), index]
+    return own - np.log(np.exp(logits, out=logits).sum(axis=1))
+
+
+def head_log_probabilities(p: dict, z: np.ndarray, target: np.ndarray, chosen=_chosen) -> np.ndarray:
     cluster, place = target // SIDE, target % SIDE
-    out = np.take_along_axis(_log_softmax(z @ p["C"] + p["bc"]), cluster[:, None], 1)[:, 0]
+    out = chosen(z @ p["C"] + p["bc"], cluster)
     order = np.argsort(cluster, kind="stable")
     edges = np.searchsorted(cluster[order], np.arange(SIDE + 1))
     for c in range(SIDE):
         own = order[edges[c] : edges[c + 1]]
         if len(own):
-            out[own] += np.take_along_axis(_log_softmax(z[own] @ p["U"][c] + p["bu"][c]), place[own, None], 1)[:, 0]
+            out[own] += chosen(z[own] @ p["U"][c] + p["bu"][c], place[own])
+    return out
+
+
+def log_probabilities(p: dict, x: np.ndarray, at: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Natural log of the probability of each target slot; at: its places in the flattened windows x."""
+    z = np.concatenate([_fast_body(p, x[i : i + 128]) for i in range(0, len(x), 128)])
+    out = head_log_probabilities(p, z[at], target)
+    if not np.isfinite(out).all():  # exp ran over
+        z = _body(p, x)[-1].reshape(-1, WIDTH)
+        out = head_log_probabilities(p, z[at], target, lambda logits, i: _log_softmax(logits)[np.arange(len(i)), i])
     return out
 
 
@@ -130,11 +164,10 @@ def gradient(p: dict, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.concatenate([g[n].ravel() for n in SHAPES])
 
 
-def _steps(flat: np.ndarray, windows: np.ndarray, seed: int, rate: float) -> np.ndarray:
-    """Weights after Adam steps over the windows (rows of WINDOW + 1 slots, -1 behind their end), several times if they are few."""
+def _steps(flat: np.ndarray, windows: np.ndarray, seed: int, rate: float, passes: int) -> np.ndarray:
+    """Weights after Adam steps over the windows (rows of WINDOW + 1 slots, -1 behind their end)."""
     random = np.random.Generator(np.random.PCG64(seed))
     flat, m, v, n = flat.copy(), np.zeros_like(flat), np.zeros_like(flat), 0
-    passes = max(1, min(6, -(-LEARNER_STEPS * BATCH // max(1, len(windows)))))
     total = passes * -(-len(windows) // BATCH)
     for _ in range(passes):
         order = random.permutation(len(windows))
@@ -205,14 +238,14 @@ def _span_windows(path: str, slot_of, stride: int):
     return run
 
 
-def _learner(weights, turn: int):
+def _learner(weights, turn: int, passes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packs = [np.frombuffer(x, np.int16).reshape(-1, WINDOW + 1) for b in batches for x in b.column(0).to_pylist()]
         if packs:
             # A task's windows are bounded by the number of learners; more, if any, are trained on in turn.
             windows, flat, n = np.concatenate(packs), weights.value, 0
             for i in range(0, len(windows), 8 * LEARNER_WINDOWS):
-                flat = _steps(flat, windows[i : i + 8 * LEARNER_WINDOWS], turn * 1000 + i, RATE * 0.6**turn)
+                flat = _steps(flat, windows[i : i + 8 * LEARNER_WINDOWS], turn * 1000 + i, RATE * 0.6**turn, passes)
             n = len(windows)
             yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([(flat * np.float32(n)).tobytes()], pa.binary())], ["n", "weights"])
 
@@ -233,11 +266,12 @@ def train(windows: DataFrame, slot_counts: np.ndarray) -> np.ndarray:
     """Weights from packed training windows (column windows), by ROUNDS of local SGD and averaging."""
     sc = windows.sparkSession.sparkContext
     n = windows.agg(F.sum(F.length("windows"))).first()[0] or 0
-    learners = max(1, n // (2 * (WINDOW + 1)) // LEARNER_WINDOWS)
+    n //= 2 * (WINDOW + 1)
+    learners, passes = max(1, n // LEARNER_WINDOWS), max(1, min(MAX_PASSES, round(ROUND_WINDOWS / max(1, n))))
     dealt = checkpointed(windows.repartition(learners))
     flat = first_weights(slot_counts)
     for turn in range(ROUNDS if n else 0):
-        sums = dealt.mapInArrow(_learner(sc.broadcast(flat), turn), "n long, weights binary")
+        sums = dealt.mapInArrow(_learner(sc.broadcast(flat), turn, passes), "n long, weights binary")
         sums = sums.repartition(max(1, int(learners**0.5))).mapInArrow(_summed, "n long, weights binary")  # the driver gets a row for each of these
         total, mass = np.zeros(len(flat)), 0
         for r in sums.toLocalIterator():
@@ -246,7 +280,7 @@ def train(windows: DataFrame, slot_counts: np.ndarray) -> np.ndarray:
     return flat
 
 
-def score_ids(p: dict, tail: np.ndarray, slots: np.ndarray, documents: list[np.ndarray], group: int = 256) -> np.ndarray:
+def score_ids(p: dict, tail: np.ndarray, slots: np.ndarray, documents: list[np.ndarray], group: int = 1024) -> np.ndarray:
     """Log10 probability of each id sequence and its end, window by window."""
     length = np.array([len(d) + 1 for d in documents])
     s = np.concatenate([x for d in documents for x in ([END], slots[d])] + [[END]]).astype(np.int64)
