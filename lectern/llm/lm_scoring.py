@@ -23,15 +23,15 @@ from lectern.llm.subwords import word_encoder
 from lectern.llm.token_store import default_tokenizer
 from lectern.plans.durable import checkpointed
 
-SIDE = 24
+SIDE = 32
 SLOTS = SIDE * SIDE
 TAIL, END = SLOTS - 1, 0
 WIDTH, HIDDEN, WINDOW, OVERLAP = 24, 48, 32, 6
 #: Every SPAN_STRIDE-th span of SPAN words of each training text is trained on: a fixed share of a large corpus, all of a small one.
 SPAN, MAX_STRIDE, STRIDE_WORDS = 24, 64, 2_000_000
-ROUNDS, BATCH, RATE = 3, 64, 4e-3
+ROUNDS, BATCH, RATE = 4, 32, 8e-3
 #: Windows of one learner, and of all learners in a round: fewer are gone over again, up to MAX_PASSES times.
-LEARNER_WINDOWS, ROUND_WINDOWS, MAX_PASSES = 12_288, 250_000, 6
+LEARNER_WINDOWS, ROUND_WINDOWS, MAX_PASSES = 12_288, 150_000, 6
 #: Words whose counts every task holds; all others are joined.
 HOT_WORDS = 1 << 18
 
