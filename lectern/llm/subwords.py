@@ -11,7 +11,8 @@ from functools import lru_cache
 
 import numpy as np
 
-CACHED_WORDS = 400_000
+CACHED_WORDS = 500_000
+_MARKS = b".,#%&*$|;:!?"
 
 
 class WordEncoder:
@@ -23,14 +24,38 @@ class WordEncoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[bytes, bytes] = {}
 
+        # Ids that end a run of letters, if the vocabulary tells; then many such runs can be encoded at once.
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.array([bool(suffix) and t.endswith(suffix) for t, _ in sorted(self.tokenizer.get_vocab().items(), key=lambda x: x[1])])
+        self.ends = self.ends if suffix else None
+
+    def _encoded(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        texts = [w.decode("utf-8", "replace") for w in pieces]
+        letters = [i for i, t in enumerate(texts) if t.isalpha()] if self.ends is not None else []
+        out = {}
+        for k in range(0, len(letters), 512):
+            some = letters[k : k + 512]
+            ids = np.array(self.tokenizer.encode(" ".join([texts[i] for i in some]), add_special_tokens=False).ids, self.dtype)
+            at = np.flatnonzero(self.ends[ids]) + 1
+            if len(at) == len(some):  # else a run was not one word after all: its lot is encoded below
+                out.update({pieces[i]: ids[a:b].tobytes() for i, a, b in zip(some, [0, *at[:-1].tolist()], at.tolist(), strict=True)})
+        rest = [i for i in range(len(pieces)) if pieces[i] not in out]
+        found = self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)
+        return out | {pieces[i]: np.array(e.ids, self.dtype).tobytes() for i, e in zip(rest, found, strict=True)}
+
     def ids(self, documents: list[list[bytes]]) -> list[bytes]:
         """Per document (its words between ASCII white space): its ids as little-endian integers of self.dtype."""
         known = self.known
         new = list({w for words in documents for w in words if w not in known})
         if new:
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-            found = {w: np.array(e.ids, self.dtype).tobytes() for w, e in zip(new, found, strict=True)}
-            if len(known) + len(new) <= CACHED_WORDS:
+            # Marks behind a letter or digit are tokens of their own, so that word and marks are looked up apart.
+            parts = {}
+            for w in new:
+                stem = w.rstrip(_MARKS) if self.ends is not None else w
+                parts[w] = (stem, w[len(stem) :]) if stem != w and stem[-1:].isalnum() else (w,)
+            pieces = self._encoded([x for x in {x for v in parts.values() for x in v} if x not in known])
+            found = {w: b"".join([pieces[x] if x in pieces else known[x] for x in v]) for w, v in parts.items()} | pieces
+            if len(known) + len(found) <= CACHED_WORDS:
                 known.update(found)
             else:  # the words that come first are the frequent ones: they stay
                 known = _Either(known, found)

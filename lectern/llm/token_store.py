@@ -73,6 +73,8 @@ def _encode(path: str, end_id: int, kind: pa.DataType):
         end, seen = np.array([end_id], encoder.dtype).tobytes(), set()
         for batch in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
             data, at = joined_bytes(batch.column(1))
+            if encoder.ends is not None and b"<|" not in data:  # this vocabulary is of lower-cased text, but for the names of special tokens
+                data = data.lower()
             streams = [x + end for x in encoder.ids([data[a:b].split() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)])]
             ids = np.frombuffer(b"".join(streams), encoder.dtype)
             cuts = rolling_cuts(gear[ids & 0xFFFF], CUT_BITS, (1, 2, 4, 8))
@@ -140,7 +142,7 @@ def write_store(docs: DataFrame, uri: str, tokenizer_path: str, end_id: int = 2,
     spark, kind = docs.sparkSession, docs.schema[id_col].dataType
     schema = f"kind string, doc_id {kind.simpleString()}, n_tokens long, recipe binary, chunk binary, n_ids long, payload binary"
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("t")).mapInArrow(_encode(tokenizer_path, end_id, to_arrow_type(kind)), schema)
-    rows = rows.repartition(F.coalesce(F.xxhash64("chunk"), F.xxhash64("doc_id", "recipe"))).mapInArrow(_each_once, schema)
+    rows = rows.repartition(F.when(F.col("chunk").isNull(), F.xxhash64("doc_id", "recipe")).otherwise(F.xxhash64("chunk"))).mapInArrow(_each_once, schema)
     rows.write.partitionBy("kind").option("compression", "uncompressed").parquet(f"{uri}/stage")
     names = spark.read.schema(f"{schema.split(', ', 1)[1]}, kind string").parquet(f"{uri}/stage").where("kind = 'doc'").select("doc_id", "n_tokens", "recipe")
     parts = max(1, -(-names.count() // part_rows))
