@@ -10,7 +10,7 @@ from lectern.functions.text import clean_group, word_array
 
 def document_stream(spark: SparkSession, path: str, files_per_trigger: int = 100) -> DataFrame:
     """New text files of a folder, each a document."""
-    s = spark.readStream.option("wholetext", True).option("maxFilesPerTrigger", files_per_trigger).text(path)
+    s = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path, wholetext=True)
     return s.select(F.input_file_name().alias("doc_id"), F.col("value").alias("text"))
 
 
