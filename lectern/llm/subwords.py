@@ -54,22 +54,14 @@ class WordEncoder:
                 stem = w.rstrip(_MARKS) if self.ends is not None else w
                 parts[w] = (stem, w[len(stem) :]) if stem != w and stem[-1:].isalnum() else (w,)
             pieces = self._encoded([x for x in {x for v in parts.values() for x in v} if x not in known])
-            found = {w: b"".join([pieces[x] if x in pieces else known[x] for x in v]) for w, v in parts.items()} | pieces
-            if len(known) + len(found) <= CACHED_WORDS:
-                known.update(found)
-            else:  # the words that come first are the frequent ones: they stay
-                known = _Either(known, found)
+            found = pieces | {w: b"".join([pieces[x] if x in pieces else known[x] for x in v]) for w, v in parts.items()}
+            known.update(found)
         get = known.__getitem__
-        return [b"".join(map(get, words)) for words in documents]
-
-
-class _Either(dict):
-    def __init__(self, known: dict, more: dict):
-        super().__init__(more)
-        self.rest = known
-
-    def __missing__(self, key):
-        return self.rest[key]
+        out = [b"".join(map(get, words)) for words in documents]
+        if len(known) > CACHED_WORDS:  # the words that come first are the frequent ones: they stay
+            for w in found if new else ():
+                del known[w]
+        return out
 
 
 @lru_cache(maxsize=4)
