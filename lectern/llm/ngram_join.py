@@ -154,11 +154,19 @@ def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, low, block = (members.field(f) for f in ("name", "low", "block"))
         values = np.frombuffer(b"".join(low.to_pylist()), np.uint8).reshape(len(low), -1)
         names, block = names.to_pylist(), block.to_numpy()
-        left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        none = np.empty(0, np.int64)
+        left, right, inner = [none], [none], [(none, none)]
         for start, n, i, j in zip(starts.tolist(), sizes.tolist(), batch.column("i").to_pylist(), batch.column("j").to_pylist(), strict=True):
-            a, b = _pairs(block[start : start + n], i, j)
+            own, v = block[start : start + n], values[start : start + n]
+            a, b = _pairs(own, i, j)
             if len(a) > 10_000:  # one at a time, so that memory stays bounded
-                a, b = surviving_pairs(values[start : start + n], a, b)
+                a, b = surviving_pairs(v, a, b)
+            if i != j:  # what links a block within itself is another group's to tell
+                for k in (i, j):
+                    at = np.flatnonzero(own == k)
+                    x, y = _triangle(len(at))
+                    x, y = surviving_pairs(v, at[x], at[y])
+                    inner.append((x + start, y + start))
             left.append(a + start)
             right.append(b + start)
         a, b = surviving_pairs(values, np.concatenate(left), np.concatenate(right))
@@ -166,8 +174,10 @@ def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = sorted(range(len(names)), key=names.__getitem__)
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
-        root = forest(len(names), rank[a], rank[b])
-        edges = {(names[order[k]], names[order[r]]) for k, r in enumerate(root) if k != r}
+        x, y = (np.concatenate(side) for side in zip(*inner, strict=True))
+        told = forest(len(names), rank[x], rank[y])
+        root = forest(len(names), np.concatenate([rank[a], rank[x]]), np.concatenate([rank[b], rank[y]]))
+        edges = {(names[order[k]], names[order[r]]) for k, r in zip(told, root, strict=True) if k != r}
         yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in edges], pa.binary()), pa.array([y for _, y in edges], pa.binary())], ["a", "b"])
 
 
