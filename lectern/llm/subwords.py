@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
@@ -33,12 +34,13 @@ class WordEncoder:
         texts = [w.decode("utf-8", "replace") for w in pieces]
         letters = [i for i, t in enumerate(texts) if t.isalpha()] if self.ends is not None else []
         out = {}
-        for k in range(0, len(letters), 512):
-            some = letters[k : k + 512]
-            ids = np.array(self.tokenizer.encode(" ".join([texts[i] for i in some]), add_special_tokens=False).ids, self.dtype)
-            at = np.flatnonzero(self.ends[ids]) + 1
+        lots = [letters[k : k + 512] for k in range(0, len(letters), 512)]
+        for some, e in zip(lots, self.tokenizer.encode_batch_fast([" ".join([texts[i] for i in x]) for x in lots], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, self.dtype)
+            at = ((np.flatnonzero(self.ends[ids]) + 1) * self.dtype.itemsize).tolist()
             if len(at) == len(some):  # else a run was not one word after all: its lot is encoded below
-                out.update({pieces[i]: ids[a:b].tobytes() for i, a, b in zip(some, [0, *at[:-1].tolist()], at.tolist(), strict=True)})
+                raw = ids.tobytes()
+                out.update(zip([pieces[i] for i in some], [raw[a:b] for a, b in zip([0, *at[:-1]], at, strict=True)], strict=True))
         rest = [i for i in range(len(pieces)) if pieces[i] not in out]
         found = self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)
         return out | {pieces[i]: np.array(e.ids, self.dtype).tobytes() for i, e in zip(rest, found, strict=True)}
@@ -46,20 +48,21 @@ class WordEncoder:
     def ids(self, documents: list[list[bytes]]) -> list[bytes]:
         """Per document (its words between ASCII white space): its ids as little-endian integers of self.dtype."""
         known = self.known
-        new = list({w for words in documents for w in words if w not in known})
+        new, found = set(chain.from_iterable(documents)).difference(known), {}
         if new:
             # Marks behind a letter or digit are tokens of their own, so that word and marks are looked up apart.
-            parts = {}
-            for w in new:
-                stem = w.rstrip(_MARKS) if self.ends is not None else w
-                parts[w] = (stem, w[len(stem) :]) if stem != w and stem[-1:].isalnum() else (w,)
-            pieces = self._encoded([x for x in {x for v in parts.values() for x in v} if x not in known])
-            found = pieces | {w: b"".join([pieces[x] if x in pieces else known[x] for x in v]) for w, v in parts.items()}
+            stems = {w: stem for w in new if w[-1] in _MARKS and (stem := w.rstrip(_MARKS))[-1:].isalnum()} if self.ends is not None else {}
+            pieces = new.difference(stems)
+            pieces.update(stems.values(), [w[len(stem) :] for w, stem in stems.items()])
+            found = self._encoded(list(pieces.difference(known)))
             known.update(found)
+            both = {w: known[stem] + known[w[len(stem) :]] for w, stem in stems.items()}
+            known.update(both)
+            found |= both
         get = known.__getitem__
         out = [b"".join(map(get, words)) for words in documents]
         if len(known) > CACHED_WORDS:  # the words that come first are the frequent ones: they stay
-            for w in found if new else ():
+            for w in found:
                 del known[w]
         return out
 
