@@ -2,10 +2,11 @@
 
 The model predicts a slot: one of the most frequent ids, the end of a text, or the tail, whose ids have
 add-one shares by their counts in all training texts. Slots are put out in two steps, cluster and place.
-It is trained by local SGD: tasks train on their windows from the shared weights, the driver takes the
-mean, and so on for ROUNDS. Texts are scored in windows of WINDOW ids that overlap by OVERLAP; each id is
-scored once, in the first window that has it. A unigram base over words goes beside it: words frequent in
-training are counted from a bounded table that tasks hold, the others by a join with all counts.
+It is trained by local SGD on all ids of all training texts: tasks train on their windows from the shared
+weights, the driver takes the mean, and so on for ROUNDS. Texts are scored in windows of WINDOW ids that
+overlap by OVERLAP; each id is scored once, in the first window that has it. A unigram base over words goes
+beside it: words frequent in training are counted from a bounded table that tasks hold, the others by a join
+with all counts.
 """
 
 from __future__ import annotations
@@ -27,8 +28,6 @@ SIDE = 32
 SLOTS = SIDE * SIDE
 TAIL, END = SLOTS - 1, 0
 WIDTH, HIDDEN, WINDOW, OVERLAP = 24, 48, 32, 6
-#: Every SPAN_STRIDE-th span of SPAN words of each training text is trained on: a fixed share of a large corpus, all of a small one.
-SPAN, MAX_STRIDE, STRIDE_WORDS = 24, 64, 2_000_000
 ROUNDS, BATCH, RATE = 4, 32, 8e-3
 #: Windows of one learner, and of all learners in a round: fewer are gone over again, up to MAX_PASSES times.
 LEARNER_WINDOWS, ROUND_WINDOWS, MAX_PASSES = 12_288, 150_000, 6
@@ -212,27 +211,26 @@ def _id_counts(path: str):
     return run
 
 
-def _span_windows(path: str, slot_of, stride: int):
+def _training_windows(path: str, slot_of):
+    """Packed windows of whole texts: each id and each end is the target of one."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, slots = word_encoder(path), slot_of.value
-        for batch in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
+        for batch in (b.slice(i, 400) for b in batches for i in range(0, b.num_rows, 400)):
             data, at = joined_bytes(batch.column(0))
-            spans, edges = [], []
-            for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-                words = data[a:b].lower().split()
-                for k in range((a + len(words)) % stride, max(1, -(-len(words) // SPAN)), stride):
-                    spans.append(words[SPAN * k : SPAN * (k + 1)])
-                    edges.append((k == 0, SPAN * (k + 1) >= len(words)))
-            rows = []
-            for ids, (first, last) in zip(encoder.ids(spans), edges, strict=True):
-                s = slots[np.frombuffer(ids, encoder.dtype)]
-                s = np.concatenate([[END] * first, s, [END] * last]).astype(np.int16)
+            packs, rows = [], []
+            for ids in encoder.ids([data[a:b].lower().split() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]):
+                s = np.concatenate([[END], slots[np.frombuffer(ids, encoder.dtype)], [END]]).astype(np.int16)
                 for i in range(0, len(s) - 1, WINDOW):
                     w = np.full(WINDOW + 1, -1, np.int16)
                     part = s[i : i + WINDOW + 1]
                     w[: len(part)] = part
                     rows.append(w)
-            packs = [np.stack(rows[i : i + BATCH]).tobytes() for i in range(0, len(rows), BATCH)]
+                    if len(rows) == BATCH:
+                        packs.append(np.stack(rows).tobytes())
+                        rows = []
+            if rows:
+                packs.append(np.stack(rows).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(packs, pa.binary())], ["windows"])
 
     return run
@@ -350,8 +348,7 @@ def lm_scores(docs: DataFrame, tokenizer_path: str | None = None, id_col: str =
     slots[top] = np.arange(1, SLOTS - 1)
     rest = np.where(slots == TAIL, id_counts + 1.0, 0.0)
     tail = np.where(slots == TAIL, np.log(np.maximum(rest, 1e-300) / rest.sum()), 0.0)
-    stride = int(max(1, min(MAX_STRIDE, n // STRIDE_WORDS)))
-    windows = checkpointed(training.select("t").mapInArrow(_span_windows(path, sc.broadcast(slots), stride), "windows binary"))
+    windows = checkpointed(training.select("t").mapInArrow(_training_windows(path, sc.broadcast(slots)), "windows binary"))
     flat = train(windows, np.array([ends, *id_counts[top], rest.sum()]))
     hot = {r.word.encode(): r.c for r in counts.orderBy(F.desc("c"), "word").limit(HOT_WORDS).toLocalIterator()}
     scored = rows.mapInArrow(_score(path, sc.broadcast((flat, slots, tail, hot))), f"doc_id {kind}, n_tokens long, known long, base double, rare string, score double")

@@ -75,6 +75,23 @@ def test_lm_scores_each_id_once():
     assert np.allclose(lm_scoring.score_ids(p, none - 1.0, slots, documents) - whole, [-len(d) / np.log(10) for d in documents], rtol=1e-3, atol=1e-3)
 
 
+@pytest.mark.parametrize("n,words", [(3, 50), (250, 20_000)])
+def test_lm_trains_on_every_id_at_every_size(spark, monkeypatch, n, words):
+    class Seen(Exception):
+        pass
+
+    def targets(windows, slot_counts):
+        raise Seen(sum(int((np.frombuffer(r.windows, np.int16).reshape(-1, lm_scoring.WINDOW + 1)[:, 1:] >= 0).sum()) for r in windows.toLocalIterator()))
+
+    monkeypatch.setattr(lm_scoring, "train", targets)
+    texts = spark.range(n).selectExpr("id AS doc_id", f"repeat('the house ', {words // 2}) AS text")
+    training = sum(zlib.crc32(str(i).encode()) % 7 != 2 for i in range(n))
+    ids = len(word_encoder(token_store.default_tokenizer()).tokenizer.encode("the house", add_special_tokens=False).ids)
+    with pytest.raises(Seen) as seen:
+        lm_scoring.lm_scores(texts)
+    assert seen.value.args[0] == training * (ids * words // 2 + 1)
+
+
 def test_ngram_join(docs, empty):
     got = by_id(ngram_join.ngram_jaccard_join(docs))
     assert got[8].class_id == got[9].class_id == 8 and got[8].n_links == 1 and got[3].class_size == 3 and got[0].class_size == 3
