@@ -185,7 +185,7 @@ def q19_dist_punct(spark, d):
 SELECT a.conv_id, a.turn, a.t, b.t AS "t-2", c.t AS "t-1", e.t AS "t+1" FROM n a JOIN n b ON b.conv_id = a.conv_id AND b.turn = (a.turn - 2 + 2 * a.n) % a.n
 JOIN n c ON c.conv_id = a.conv_id AND c.turn = (a.turn - 1 + a.n) % a.n JOIN n e ON e.conv_id = a.conv_id AND e.turn = (a.turn + 1) % a.n""")
 def q20_skipgram(spark, d):
-    return S.circular(table(spark, d, "conversations").select("conv_id", "turn", F.substring("text", 1, 8).alias("t")), "t", [-2, -1, 1], "conv_id", "turn")
+    return S.circular(table(spark, d, "conversations").select("conv_id", "turn", F.col("text").alias("t")), "t", [-2, -1, 1], "conv_id", "turn")
 
 
 @query(f"""{TOK} SELECT doc_id, i, max(CASE WHEN tok LIKE '%.' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) = 1 AS soon FROM tok""")
@@ -432,4 +432,4 @@ def q49_feats_update(spark, d):
 
 @query("SELECT conv_id, max(CASE WHEN role = 'user' THEN substr(text, 1, 20) END) AS user, max(CASE WHEN role = 'assistant' THEN substr(text, 1, 20) END) AS assistant FROM conversations GROUP BY conv_id")
 def q50_grid_pivot(spark, d):
-    return table(spark, d, "conversations").groupBy("conv_id").pivot("role", ["user", "assistant"]).agg(F.max(F.substring("text", 1, 20)))
+    return table(spark, d, "conversations").groupBy("conv_id").pivot("role", ["user", "assistant"]).agg(F.max("text"))

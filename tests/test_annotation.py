@@ -88,6 +88,19 @@ def test_queries_match_their_sql(spark):
         assert sorted(repr(tuple(map(rnd, r))) for r in df.collect()) == sorted(repr(tuple(rnd(r[i]) for i in at)) for r in cur.fetchall()), name
 
 
+def test_conversation_queries_keep_whole_texts(spark, tmp_path):
+    from lectern.plans.queries import QUERIES
+
+    same = "one beginning of more than twenty letters, "
+    turns = [(1, 0, "user", same + "a"), (1, 1, "assistant", "short"), (1, 2, "user", same + "b"), (1, 3, "assistant", same * 50), (2, 0, "user", None), (2, 1, "assistant", "")]
+    spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").write.parquet(f"file://{tmp_path}/conversations.parquet")
+    text, n = {(c, t): x for c, t, _, x in turns}, {1: 4, 2: 2}
+    got = QUERIES["q20_skipgram"](spark, f"file://{tmp_path}")
+    assert {(r.conv_id, r.turn): (r["t-2"], r["t-1"], r.t, r["t+1"]) for r in got.collect()} == {(c, t): tuple(text[c, (t + k) % n[c]] for k in (-2, -1, 0, 1)) for c, t in text}
+    got = QUERIES["q50_grid_pivot"](spark, f"file://{tmp_path}")
+    assert {tuple(r) for r in got.collect()} == {(1, same + "b", "short"), (2, None, "")}
+
+
 def test_stream(spark, tmp_path):
     from lectern.streaming.annotate import document_stream, stream_units
 
