@@ -28,8 +28,9 @@ def clean_norm(text: Column) -> Column:
 
 
 def space_punctuation(text: Column) -> Column:
-    """Blanks around punctuation outside tags; runs of blanks become one."""
-    return F.regexp_replace(F.regexp_replace(text, "([.,:;])(?![^<]*>)", " $1 "), " +", " ")
+    """Blanks around punctuation outside tags, an open tag reaching to the end; runs of blanks become one."""
+    parts = F.regexp_extract_all(text, F.lit("<[^>]*>?|[^<]+"), F.lit(0))
+    return F.regexp_replace(F.array_join(F.transform(parts, lambda x: F.when(F.startswith(x, F.lit("<")), x).otherwise(F.regexp_replace(x, "([.,:;])", " $1 "))), ""), " +", " ")
 
 
 def case_class(word: Column) -> Column:

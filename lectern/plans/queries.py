@@ -83,13 +83,13 @@ def q03_detect_profile(spark, d):
 
 @query(r"""SELECT conv_id, turn, regexp_replace(regexp_replace(text, '([.,:;])', ' \1 ', 'g'), ' +', ' ', 'g') AS spaced FROM conversations WHERE text NOT LIKE '%<%'""")
 def q04_space_punct(spark, d):
-    return table(spark, d, "conversations").where("text NOT LIKE '%<%'").select("conv_id", "turn", T.space_punctuation(F.col("text")).alias("spaced"))
+    return table(spark, d, "conversations").select("conv_id", "turn", T.space_punctuation(F.col("text")).alias("spaced"))
 
 
 @query(f"""{TOK} SELECT c, count(*) AS n FROM (SELECT CASE WHEN regexp_matches(tok, '[0-9]') THEN 'd' WHEN tok = upper(tok) AND tok <> lower(tok) THEN 'u' WHEN tok = lower(tok) THEN 'l'
 WHEN tok[1] <> lower(tok[1]) AND tok[2:] = lower(tok[2:]) THEN 't' ELSE 'o' END AS c FROM tok WHERE NOT contains(tok, 'ß')) GROUP BY c""")
 def q05_case_class(spark, d):
-    return docs_units(spark, d).where(~F.contains("tok", F.lit("ß"))).groupBy(T.case_class(F.col("tok")).alias("c")).agg(F.count("*").alias("n"))
+    return docs_units(spark, d).groupBy(T.case_class(F.col("tok")).alias("c")).agg(F.count("*").alias("n"))
 
 
 @query(f"""{TOK} SELECT doc_id, count(*) FILTER (WHERE regexp_full_match(tok, '\\p{{P}}*')) AS n_all, count(*) FILTER (WHERE regexp_matches(tok, '\\p{{P}}')) AS n_any FROM tok GROUP BY doc_id""")
@@ -206,8 +206,8 @@ def q22_bies(spark, d):
 SELECT doc_id, 's' || lpad((s + 1)::VARCHAR, 4, '0') AS sent_id, min(i)::INT AS st, max(i)::INT AS en FROM g WHERE s < 9999 GROUP BY doc_id, s""")
 def q23_sentence_ids(spark, d):
     u = docs_units(spark, d)
-    u = u.withColumn("s", S.group_ids(S.after(F.endswith("tok", F.lit("."))))).where("s < 9999")
-    return u.groupBy("doc_id", "s").agg(F.min("i").alias("st"), F.max("i").alias("en")).select("doc_id", F.concat(F.lit("s"), F.lpad((F.col("s") + 1).cast("string"), 4, "0")).alias("sent_id"), "st", "en")
+    u = u.withColumn("s", S.group_ids(S.after(F.endswith("tok", F.lit(".")))))
+    return u.groupBy("doc_id", "s").agg(F.min("i").alias("st"), F.max("i").alias("en")).select("doc_id", F.format_string("s%04d", F.col("s") + 1).alias("sent_id"), "st", "en")
 
 
 @query(f"""{_tok("conversations", "conv_id, turn").replace("a AS", "WITH a AS", 1)}, n AS (SELECT *, max(i) OVER (PARTITION BY conv_id, turn) + 1 AS n FROM tok),

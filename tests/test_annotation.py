@@ -2,6 +2,8 @@
 
 import glob
 import os
+import re
+from collections import Counter
 
 import pytest
 
@@ -101,6 +103,55 @@ def test_conversation_queries_keep_whole_texts(spark, tmp_path):
     assert {tuple(r) for r in got.collect()} == {(1, same + "b", "short"), (2, None, "")}
 
 
+def spaced(text):
+    out, inside = "", False
+    for c in text:
+        inside |= c == "<"
+        out += f" {c} " if c in ".,:;" and not inside else c
+        inside &= c != ">"
+    return re.sub(" +", " ", out)
+
+
+def case_of(w):
+    if any(c in "0123456789" for c in w):
+        return "d"
+    if w == w.upper() != w.lower():
+        return "u"
+    if w == w.lower():
+        return "l"
+    return "t" if w[:1] != w[:1].lower() and w[1:] == w[1:].lower() else "o"
+
+
+def test_space_punct_takes_all_rows(spark, tmp_path):
+    from lectern.plans.queries import QUERIES
+
+    texts = ["a.b <i x='1.5'>c,d</i> e:f", "a > b. c", "x. <open, y. z", "<<a.b>c.d>e.f", "no tag; \n end.", "", None, "<p>." * 4000]
+    spark.createDataFrame(list(enumerate(texts)), "conv_id long, text string").selectExpr("conv_id", "0 AS turn", "text").write.parquet(f"file://{tmp_path}/conversations.parquet")
+    got = QUERIES["q04_space_punct"](spark, f"file://{tmp_path}")
+    assert {r.conv_id: r.spaced for r in got.collect()} == {i: t if t is None else spaced(t) for i, t in enumerate(texts)}
+
+
+def test_case_class_takes_all_words(spark, tmp_path):
+    from lectern.plans.queries import QUERIES
+
+    docs = ["Straße straße STRAßE STRASSE ß ẞ ß1 Aß aßB Maß. the The", None, "no stop"]
+    spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").write.parquet(f"file://{tmp_path}/documents.parquet")
+    got = QUERIES["q05_case_class"](spark, f"file://{tmp_path}")
+    assert {r.c: r.n for r in got.collect()} == Counter(case_of(w) for t in docs for w in (t or "").split())
+
+
+def test_sentence_ids_take_all_sentences(spark, tmp_path):
+    from lectern.plans.queries import QUERIES
+
+    docs = ["w. " * 12_000, None, "no stop", "One. Two three"]
+    spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").write.parquet(f"file://{tmp_path}/documents.parquet")
+    want = []
+    for i, x in enumerate((t or "").split() for t in docs):
+        ends = [k for k, w in enumerate(x) if w.endswith(".") or k == len(x) - 1]
+        want += [(i, f"s{k + 1:04d}", a + 1, b) for k, (a, b) in enumerate(zip([-1, *ends], ends))]
+    assert sorted(tuple(r) for r in QUERIES["q23_sentence_ids"](spark, f"file://{tmp_path}").collect()) == sorted(want)
+
+
 def test_stream(spark, tmp_path):
     from lectern.streaming.annotate import document_stream, stream_units
 
