@@ -2,8 +2,9 @@
 
 A text is cut where a rolling hash of its last 32 bytes has its top bits clear, so equal passages are
 cut alike wherever they stand. Chunks get their SHA-256 as identifier; all chunks of one identifier are
-compared byte by byte before it is used (the one time that content is shuffled, each distinct chunk once
-per task). Documents are then compared as ordered identifier lists, some 32 bytes for each 4 KB of text.
+compared before it is used: byte by byte within a batch and between tasks (the one time that content is
+shuffled, each distinct chunk once per task), by a BLAKE2b digest with those of a task's earlier batches.
+Documents are then compared as ordered identifier lists, some 32 bytes for each 4 KB of text.
 """
 
 from __future__ import annotations
@@ -63,17 +64,19 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, li
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: set[bytes] = set()  # saves shuffling; forgetting it is harmless
+    seen: dict[bytes, bytes] = {}  # a second digest of each name's content; saves shuffling; forgetting it is harmless
     for _, documents in _documents(batches):
         out: dict[bytes, list] = {}
         for text, ends in documents:
             for a, b in zip(ends[:-1], ends[1:], strict=True):
                 name = hashlib.sha256(text[a:b]).digest()
                 kept = out.setdefault(name, [])
-                if not kept and name not in seen or kept and all(x != text[a:b] for x in kept):
+                if all(x != text[a:b] for x in kept):
                     kept.append(text[a:b])
-        rows = [(k, x.tobytes()) for k, v in out.items() for x in v]
-        seen.update(out)
+        digests = {k: [hashlib.blake2b(x).digest() for x in v] for k, v in out.items()}
+        rows = [(k, x.tobytes()) for k, v in out.items() for x, other in zip(v, digests[k], strict=True) if seen.get(k) != other]
+        for k, v in digests.items():
+            seen.setdefault(k, v[0])
         if len(seen) > 200_000:
             seen.clear()
         yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.binary()), pa.array([x for _, x in rows], pa.binary())], ["chunk", "content"])

@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -39,6 +40,20 @@ def test_exact_dedup(docs, empty):
     assert exact_dedup.exact_duplicates(empty).count() == 0
 
 
+def test_chunks_of_one_identifier_are_compared_across_batches(monkeypatch):
+    class Same:
+        def __init__(self, data):
+            pass
+
+        def digest(self):
+            return b"\0" * 32
+
+    monkeypatch.setattr(exact_dedup.hashlib, "sha256", Same)
+    batch = lambda t: pa.RecordBatch.from_arrays([pa.array([0]), pa.array([t])], ["i", "t"])
+    sent = [x for b in exact_dedup._chunks(iter(map(batch, ["one", "two", "one", "ONE"]))) for x in b.column(1).to_pylist()]
+    assert sent == [b"one", b"two"]
+
+
 def test_chunks_cover_texts_and_move_with_their_content():
     data = np.random.default_rng(1).integers(97, 123, 60_000, dtype=np.uint8)
     cut = lambda x: exact_dedup.chunk_ends(exact_dedup.rolling_cuts(exact_dedup._GEAR[x], 12), 0, len(x))
