@@ -80,13 +80,24 @@ def kd_place(points: DataFrame, dims: list[str], shards: int, tolerance: float =
     return points.withColumn("shard", _of_node(leaves, "int")).drop("node"), cuts
 
 
+def _heavy(groups: DataFrame, shards: int) -> list[bytearray]:
+    """Digests of groups that are larger than the share of a shard, heaviest first: each takes a shard from the others."""
+    rest, out = groups.agg(F.sum("weight").alias("w")).first().w or 0, []
+    for r in groups.select("digest", "weight").orderBy(F.desc("weight"), "digest").limit(shards).collect():  # at most one a shard
+        if r.weight * (shards - len(out)) <= rest or len(out) == shards - 1:
+            break
+        out.append(r.digest)
+        rest -= r.weight
+    return out
+
+
 def shard_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text", metadata: tuple[str, ...] = ("lang", "source"), slot_rows: int = 100_000) -> DataFrame:
     """One row per row of docs: doc_id, size, text_crc32, law ('bytes'), shard, slot, grown_shard (null).
 
     Size is the UTF-8 bytes of the text (null: none) plus 16; shards are near equal in size. Dimensions:
     bytes of the text on a log scale, and a place for each value of the metadata columns (of a group of
     equal texts, the least value; null first). Equal texts, null being empty, share a shard however many
-    they are, so a group larger than a shard's share fills one and the rest is shared evenly. Slots count
+    they are, so a group larger than a shard's share gets one of its own, and the rest is shared evenly. Slots count
     each shard's rows from 0 without gaps; repeated rows get slots of their own. Columns of metadata that
     docs lacks are left out; an empty table gives no rows.
     """
@@ -109,7 +120,11 @@ def shard_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", t
     places = [coordinate(F.coalesce(F.conv(F.substring(F.md5(f"m_{c}"), 1, 5), 16, 10).cast("double") / VALUE_SCALE, F.lit(0.0))).alias(f"d_{c}") for c in metadata]
     groups = checkpointed(groups.select("digest", "weight", coordinate(F.least(F.log2("bytes") / 32, F.lit(1.0))).alias("d_bytes"), *places))
     dims = ["d_bytes", *[f"d_{c}" for c in metadata]]
-    placed = checkpointed(kd_place(groups, dims, shards)[0].select("digest", "shard"))
+    heavy = _heavy(groups, shards)
+    alone = spark.createDataFrame([(d, shards - 1 - i) for i, d in enumerate(heavy)], "digest binary, shard int")
+    light = groups.join(F.broadcast(alone), "digest", "left_anti") if heavy else groups
+    placed = kd_place(light, dims, shards - len(heavy))[0].select("digest", "shard")
+    placed = checkpointed(placed.unionByName(alone) if heavy else placed)
     rows = rows.join(placed, "digest")
     # Slots: rows are numbered within hashed parts of a shard, of about slot_rows each, behind those of the parts before.
     parts = max(1, -(-groups.count() // slot_rows))

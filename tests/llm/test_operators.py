@@ -218,6 +218,12 @@ def test_sharding(spark, docs, empty):
     assert sharding.shard_documents(empty).count() == 0
 
 
+def test_large_groups_leave_no_shard_empty(spark):
+    texts = spark.range(6000).selectExpr("id AS doc_id", "CASE WHEN id % 3 = 0 THEN repeat('x', 100) ELSE concat(repeat('y', 90), lpad(id, 10, '0')) END AS text")
+    sizes = sorted(r.n for r in sharding.shard_documents(texts, 40).groupBy("shard").agg({"size": "sum"}).toDF("shard", "n").collect())
+    assert len(sizes) == 40 and sizes[-1] == 2000 * 116 and sizes[-2] < 1.06 * sizes[0]
+
+
 def test_decontamination(spark, docs, empty):
     items = spark.createDataFrame([(1, ITEM), (2, None), (3, ""), (4, "seven"), (None, ITEM)], "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs, items).collect()}
