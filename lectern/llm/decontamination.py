@@ -15,17 +15,23 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lectern.llm.batches import bounds, text_slices
+from lectern.plans.durable import checkpointed
+
 K1, B, SHINGLE = 1.2, 0.75, 5
 MIN_SCORE, MIN_QUESTION, MIN_ANSWER = 0.5, 0.6, 0.5
 #: Items are indexed in passes over the texts, each of at most so many characters of items: what a pass broadcasts.
 PASS_CHARS = 8_000_000
 LEAST_WINDOW, BLOCKS = 16, 32
+#: Texts searched at a time, and word positions whose block maxima are in memory at a time.
+SEARCH_BYTES, SEARCH_POSITIONS = 1 << 19, 1 << 15
 _WORD = re.compile(r"\w+")
 
 
@@ -116,11 +122,21 @@ class BlockMaxIndex:
         lo, hi = np.searchsorted(at, begin), np.searchsorted(at, end)
         upto = np.concatenate([[0.0], np.cumsum(self.list_max[ids])])
         keep = np.flatnonzero(upto[hi] - upto[lo] >= MIN_SCORE - 1e-6)
-        upto = np.zeros((len(ids) + 1, self.block_max.shape[1]))
-        np.cumsum(self.block_max[ids], axis=0, out=upto[1:])
-        keep = keep[(upto[hi[keep]] - upto[lo[keep]]).max(axis=1, initial=0.0) >= MIN_SCORE - 1e-6]
-        for d, a, b in zip(doc[keep].tolist(), lo[keep].tolist(), hi[keep].tolist(), strict=True):
-            yield d, list(set(ids[a:b].tolist()))
+        # The bound by blocks, for so many windows at a time that their positions stay within SEARCH_POSITIONS.
+        width = np.cumsum(hi[keep] - lo[keep])
+        at = 0
+        while at < len(keep):
+            to = max(at + 1, int(np.searchsorted(width, (width[at - 1] if at else 0) + SEARCH_POSITIONS, "right")))
+            own, at = keep[at:to], to
+            for w in own[self._block_bounds(ids, lo[own], hi[own]) >= MIN_SCORE - 1e-6].tolist():
+                yield int(doc[w]), list(set(ids[lo[w] : hi[w]].tolist()))
+
+    def _block_bounds(self, ids: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Per window of positions lo to hi (none of them empty): the largest sum of its terms' impacts in a block."""
+        n = hi - lo
+        first = np.cumsum(n) - n
+        positions = np.arange(int(n.sum())) + np.repeat(lo - first, n)
+        return np.add.reduceat(self.block_max[ids[positions]], first, axis=0).max(axis=1)
 
 
 def build_index(items: list[tuple[int, str]], frequency: dict[str, int], n_items: int, mean_length: float) -> tuple[list[BlockMaxIndex], dict[int, tuple[set, set]]]:
@@ -137,57 +153,90 @@ def build_index(items: list[tuple[int, str]], frequency: dict[str, int], n_items
     return [BlockMaxIndex(x, idf, mean_length, w) for w, x in sorted(classes.items())], parts
 
 
+def _matches(index: tuple, texts: list[str | None], min_question: float, min_answer: float) -> list[tuple[int, int, float, float, float]]:
+    """(place of the text, item, score, question overlap, answer overlap) of every verified pair, in order."""
+    classes, parts = index
+    words = [words_of(t) for t in texts]
+    starts = np.cumsum([0, *map(len, words)]).tolist()
+    best: dict[tuple[int, int], float] = {}
+    for c in classes:
+        get, none = c.terms.get, len(c.lists)
+        for doc, terms in c.windows([get(w, none) for own in words for w in own], starts):
+            for place, score in c.search(terms, MIN_SCORE):
+                key = doc, c.ids[place]
+                best[key] = max(best.get(key, 0.0), score)
+    items_of: dict[int, list[int]] = {}
+    for doc, item in sorted(best):
+        items_of.setdefault(doc, []).append(item)
+    out = []
+    for doc, items in items_of.items():
+        wanted = set().union(*(s for item in items for s in parts[item]))
+        own = words[doc]
+        held = {s for n in {len(x) for x in wanted} for i in range(len(own) - n + 1) if (s := tuple(own[i : i + n])) in wanted}
+        for item in items:
+            q, a = (len(s & held) / len(s) for s in parts[item])
+            if q >= min_question and a >= min_answer:
+                out.append((doc, item, best[doc, item], q, a))
+    return out
+
+
 def _searcher(index, min_question: float, min_answer: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, parts = index.value
-        for batch in (b.slice(i, 500) for b in batches for i in range(0, b.num_rows, 500)):
-            texts = [words_of(t) for t in batch.column(1).to_pylist()]
-            starts = np.cumsum([0, *map(len, texts)]).tolist()
-            best: dict[tuple[int, int], float] = {}
-            for c in classes:
-                get, none = c.terms.get, len(c.lists)
-                for doc, terms in c.windows([get(w, none) for words in texts for w in words], starts):
-                    for place, score in c.search(terms, MIN_SCORE):
-                        key = doc, c.ids[place]
-                        best[key] = max(best.get(key, 0.0), score)
-            rows, own = [], {}
-            for (doc, item), score in sorted(best.items()):
-                if doc not in own:
-                    own = {doc: {n: {tuple(texts[doc][i : i + n]) for i in range(len(texts[doc]) - n + 1)} for n in {len(x) for qa in parts.values() for s in qa for x in s}}}
-                q, a = (sum(x in own[doc][len(x)] for x in s) / len(s) for s in parts[item])
-                if q >= min_question and a >= min_answer:
-                    rows.append((doc, item, score, q, a))
-            columns = list(zip(*rows, strict=True)) or [()] * 5
+        for batch in text_slices(batches, 1, SEARCH_BYTES):
+            columns = list(zip(*_matches(index.value, batch.column(1).to_pylist(), min_question, min_answer), strict=True)) or [()] * 5
             out = [batch.column(0).take(pa.array(columns[0], pa.int64())), *(pa.array(x, k) for x, k in zip(columns[1:], (pa.int64(), *[pa.float64()] * 3), strict=True))]
             yield pa.RecordBatch.from_arrays(out, ["doc_id", "item_id", "bm25_share", "question_overlap", "answer_overlap"])
 
     return run
 
 
+def _indexes(items: DataFrame, item_col: str, item_text_col: str) -> Iterator[tuple]:
+    """An index, broadcast, for each pass over the texts: one, unless the items have more than PASS_CHARS characters."""
+    spark = items.sparkSession
+    items = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")).where("item_id IS NOT NULL AND text IS NOT NULL")
+    tokens = F.udf(words_of, "array<string>")("text")
+    items = checkpointed(items.withColumn("words", tokens))
+    stats = items.where("size(words) > 0").agg(F.count("*").alias("n"), F.avg(F.size("words")).alias("mean"), F.sum(F.length("text")).alias("chars")).first()
+    passes = -(-2 * stats.chars // PASS_CHARS) if (stats.chars or 0) > PASS_CHARS else 1
+    frequency = items.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    for k in range(passes):
+        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k)
+        terms = own.select(F.explode(F.array_distinct("words")).alias("term")).distinct()
+        index = build_index([tuple(r) for r in own.select("item_id", "text").collect()], {r.term: r.n for r in frequency.join(terms, "term").collect()}, stats.n, stats["mean"] or 1.0)
+        yield spark.sparkContext.broadcast(index)
+
+
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", min_question: float = MIN_QUESTION, min_answer: float = MIN_ANSWER) -> DataFrame:
     """Pairs of a row of docs and an item that it holds: doc_id, item_id, bm25_share, question_overlap, answer_overlap.
 
     bm25_share is the best window's score as a share of the item's own. Null and empty texts match
     nothing; items without words or with a null id are ignored, and items that repeat a text are found each.
-    Rows that repeat a document give their pairs again. Items shorter than five words are one shingle.
+    Rows that repeat a document give their pairs again, and a null id is reported as null. Items shorter than
+    five words are one shingle. Very long texts are searched whole, a bounded number of windows at a time.
+    Other columns of docs and items, whatever their names, are ignored; an empty table on either side gives no rows.
     """
-    spark = docs.sparkSession
-    items = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")).where("item_id IS NOT NULL AND text IS NOT NULL")
-    tokens = F.udf(words_of, "array<string>")("text")
-    stats = items.select(F.size(tokens).alias("n")).where("n > 0").agg(F.count("*").alias("items"), F.avg("n").alias("mean"), F.sum(F.lit(1)).alias("one")).first()
-    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    passes = max(1, -(-2 * chars // PASS_CHARS)) if chars > PASS_CHARS else 1
-    frequency = items.select(F.explode(F.array_distinct(tokens)).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("t"))
     schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, item_id long, bm25_share double, question_overlap double, answer_overlap double"
-    out = None
-    for k in range(passes):
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k) if passes > 1 else items
-        terms = own.select(F.explode(F.array_distinct(tokens)).alias("term")).distinct()
-        index = build_index([tuple(r) for r in own.collect()], {r.term: r.n for r in frequency.join(terms, "term").collect()}, stats["items"], stats["mean"] or 1.0)
-        found = rows.mapInArrow(_searcher(spark.sparkContext.broadcast(index), min_question, min_answer), schema)
-        out = found if out is None else out.unionAll(found)
-    return out
+    found = [rows.mapInArrow(_searcher(index, min_question, min_answer), schema) for index in _indexes(items, item_col, item_text_col)]
+    return reduce(DataFrame.unionAll, found)
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", min_question: float = MIN_QUESTION, min_answer: float = MIN_ANSWER) -> DataFrame:
+    """The rows of docs, with all their columns, that hold no item; each row is judged by its own text, whatever its id."""
+
+    def clean_under(index):
+        def clean(texts: pa.Array) -> pa.Array:
+            out = np.ones(len(texts), bool)
+            for start, end in bounds(texts, SEARCH_BYTES):
+                for doc, *_ in _matches(index.value, texts.slice(start, end - start).to_pylist(), min_question, min_answer):
+                    out[start + doc] = False
+            return pa.array(out)
+
+        return F.arrow_udf(clean, "boolean")
+
+    for index in _indexes(items, item_col, item_text_col):
+        docs = docs.where(clean_under(index)(F.col(text_col).cast("string")))
+    return docs
 
 
 def op10_decontamination(spark, sf_dir: str) -> DataFrame:
