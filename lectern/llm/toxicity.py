@@ -151,6 +151,11 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray
     return w
 
 
+def _scores(scorer: Scorer, weights: np.ndarray, texts: list[str | None]) -> np.ndarray:
+    x = np.array([scorer.features(t) for t in texts]).reshape(-1, len(FEATURES))
+    return 1 / (1 + np.exp(-np.clip(weights[0] + x @ weights[1:], -30, 30)))
+
+
 def _score_with(scorer, weights: np.ndarray | None, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,15 +204,13 @@ def score_toxicity(docs: DataFrame, lexicon: dict[str, float], weights: np.ndarr
 
 
 def without_toxic(docs: DataFrame, lexicon: dict[str, float], weights: np.ndarray, text_col: str = "text") -> DataFrame:
-    """The rows of docs, with all their columns, that score below PREDICT_FROM; rows are judged one by one."""
+    """The rows of docs, with all their columns, that score below PREDICT_FROM; rows are judged one by one, and only texts go to Python."""
     scorer = docs.sparkSession.sparkContext.broadcast(Scorer(lexicon))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = np.array([scorer.value.features(t) for t in batch.column(text_col).to_pylist()]).reshape(-1, len(FEATURES))
-            yield batch.filter(pa.array(1 / (1 + np.exp(-np.clip(weights[0] + x @ weights[1:], -30, 30))) < PREDICT_FROM))
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array(_scores(scorer.value, weights, texts.to_pylist()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(F.arrow_udf(score, "double")(F.col(text_col).cast("string")) < PREDICT_FROM)
 
 
 def op7_toxicity(spark, sf_dir: str) -> DataFrame:
