@@ -8,7 +8,7 @@ smaller budget takes a subset of what a larger one takes. DataFrame functions on
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.plans.durable import checkpointed
@@ -62,36 +62,59 @@ def hash_thresholds(rows: DataFrame, budgets: DataFrame, n_sources: int) -> Data
     return at.select("sk", F.col("prefix").alias("edge"), (F.col("n") <= 2 * F.col("rest")).alias("take_edge"))
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", cap: int = 3, weights: int = 3, seed: str = "mix") -> DataFrame:
-    """One row per row of docs: doc_id, source, size, source_size, target, copies, taken.
+def _source_key(source: Column) -> Column:
+    """Sorts like the source, by code point, with null last."""
+    s = source.cast("string")
+    return F.when(s.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), s))
 
-    Size is the number of words (null text: 0). Null sources are one source, last in order. Rows without
-    words count 0 whatever their copies. Rows that repeat an id share its hash and so its copies; ids equal
-    to null share one hash. No source, one source or an empty table give what the rule gives: each target
-    is at most cap times its source. Reruns agree: nothing depends on partitions or order.
-    """
-    rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-        F.concat(F.when(F.col(source_col).isNull(), F.lit("1")).otherwise(F.lit("0")), F.coalesce(F.col(source_col).cast("string"), F.lit(""))).alias("sk"),
-        F.regexp_count(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(WORDS)).cast("long").alias("size"),
-        F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))), 1, HASH_BITS // 4), 16, 10).cast("long").alias("h"),
-    )
+
+def _hash(id_: Column, seed: str) -> Column:
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id_.cast("string"), F.lit("null")))), 1, HASH_BITS // 4), 16, 10).cast("long")
+
+
+def _copies(h: Column, plan: str = "") -> Column:
+    """Copies of a row with hash h under the plan of its source, whose columns have the prefix plan."""
+    extra, edge = F.col(f"{plan}extra"), F.col(f"{plan}edge")
+    below = (extra > 0) & F.coalesce((h < edge) | (h == edge) & F.col(f"{plan}take_edge"), F.lit(True))
+    return (F.col(f"{plan}base") + F.when(below, 1).otherwise(0)).cast("long")
+
+
+def _planned(docs: DataFrame, id_col: str, text_col: str, source_col: str, cap: int, weights: int, seed: str) -> tuple[DataFrame, DataFrame, int]:
+    """Light rows (doc_id, source, sk, size, h), the plan by sk, and the number of sources."""
+    size = F.regexp_count(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(WORDS)).cast("long")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), _source_key(F.col(source_col)).alias("sk"), size.alias("size"), _hash(F.col(id_col), seed).alias("h"))
     rows = checkpointed(rows)
     targets = checkpointed(source_targets(rows.groupBy("sk").agg(F.sum("size").alias("source_size")), cap, weights))
     n = targets.count()
-    edges = hash_thresholds(rows, targets, n)
-    plan = targets.join(edges, "sk", "left")
-    below = (F.col("extra") > 0) & F.coalesce((F.col("h") < F.col("edge")) | (F.col("h") == F.col("edge")) & F.col("take_edge"), F.lit(True))
-    copies = (F.col("base") + F.when(below, 1).otherwise(0)).cast("long")
-    out = rows.join(_small(plan, n), "sk").withColumn("copies", copies)
+    return rows, targets.join(hash_thresholds(rows, targets, n), "sk", "left"), n
+
+
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", cap: int = 3, weights: int = 3, seed: str = "mix") -> DataFrame:
+    """One row per row of docs: doc_id, source, size, source_size, target, copies, taken.
+
+    Size is the number of words, counted over the whole text however long (null text: 0). Null sources are
+    one source, last in order. Rows without words count 0 whatever their copies. Rows that repeat an id share
+    its hash; null ids share one. No source, one source or an empty table give what the rule gives: each
+    target is at most cap times its source. Other columns of docs, whatever their names, are ignored. Reruns
+    agree: nothing depends on partitions or order.
+    """
+    rows, plan, n = _planned(docs, id_col, text_col, source_col, cap, weights, seed)
+    out = rows.join(_small(plan, n), "sk").withColumn("copies", _copies(F.col("h")))
     return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of docs with all their columns, each as often as the mix takes it; rows without words go."""
-    plan = mix_sources(docs, id_col, **options).where("size > 0 AND copies > 0").groupBy(F.col("doc_id").alias("__mix_id")).agg(F.max("copies").alias("__mix_n"))
-    out = docs.join(plan, F.col(id_col).eqNullSafe(F.col("__mix_id"))).withColumn("__mix_n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__mix_n"))))
-    return out.select(*docs.columns)
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", cap: int = 3, weights: int = 3, seed: str = "mix") -> DataFrame:
+    """The rows of docs with all their columns, each as often as the mix takes it; rows without words go.
+
+    A row's copies follow from its source and the hash of its id, so rows meet only the plan of their source
+    and are not joined to each other; rows that repeat an id are judged each by its own source.
+    """
+    _, plan, n = _planned(docs, id_col, text_col, source_col, cap, weights, seed)
+    plan = plan.select(F.struct("sk", "base", "extra", "edge", "take_edge").alias("__plan"))
+    out = docs.where(F.coalesce(F.col(text_col).cast("string").rlike(WORDS), F.lit(False)))
+    out = out.join(_small(plan, n), _source_key(F.col(source_col)) == F.col("__plan.sk"))
+    out = out.withColumn("__copies", _copies(_hash(F.col(id_col), seed), "__plan.")).where("__copies > 0")
+    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*docs.columns)
 
 
 def op4_source_mixing(spark, sf_dir: str) -> DataFrame:
