@@ -3,10 +3,10 @@
 Documents with one shingle set are one class, joined once. Classes that agree in a band of MinHash values
 are candidates: within a bucket their values are compared a few at a time, and a pair is dropped as soon as
 the posterior probability of reaching the threshold (uniform prior, agreements binomial) is below
-TOLERANCE. What is left connects classes into candidate groups; within these every pair is verified
-exactly on the shingle sets (as 64-bit hashes). Buckets and groups beyond BLOCK members are dealt out as
-pairs of blocks, so no task holds a large one, and no pairs are written: tasks give each class its links
-and the edges of a spanning forest.
+TOLERANCE. What is left connects classes into candidate groups; within these each pair is verified
+exactly on the shingle sets (as 64-bit hashes), unless the same pruning drops it first. Buckets and groups
+beyond BLOCK members are dealt out as pairs of blocks, so no task holds a large one, and no pairs are
+written: tasks give each class its links and the edges of a spanning forest.
 """
 
 from __future__ import annotations
@@ -18,9 +18,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lectern.llm.batches import text_slices
 from lectern.llm.components import connected_components
 from lectern.plans.durable import checkpointed
 
@@ -82,6 +83,14 @@ def minhash(shingles: np.ndarray) -> np.ndarray:
     return least
 
 
+def band_hashes(values: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each band's values."""
+    h = (values.reshape(BANDS, BAND_ROWS).astype(np.uint64) * _MIX).sum(axis=1, dtype=np.uint64)
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
+
+
 def least_agreements(n: int, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> int:
     """Fewest agreements of n values at which P(similarity >= threshold) is tolerance at least.
 
@@ -135,10 +144,16 @@ def _pairs(block: np.ndarray, first: int, second: int) -> tuple[np.ndarray, np.n
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in (b.slice(i, 500) for b in batches for i in range(0, b.num_rows, 500)):
-        sets = shingle_sets(batch.column(1).to_pylist())
-        names = [set_name(s) for s in sets]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.binary()), pa.array([minhash(s).tobytes() if len(s) else None for s in sets], pa.binary())], ["doc_id", "name", "values"])
+    """Per row: id, key, name of its set, a hash for each band, and the low byte of each MinHash value (unequal values agree in one case of 256)."""
+    for batch in text_slices(batches, 2):
+        sets = shingle_sets(batch.column(2).to_pylist())
+        bands, low = [], []
+        for s in sets:
+            v = minhash(s) if len(s) else None
+            bands.append(None if v is None else band_hashes(v).tobytes())
+            low.append(None if v is None else v.astype(np.uint8).tobytes())
+        columns = [batch.column(0), batch.column(1), *(pa.array(x, pa.binary()) for x in ([set_name(s) for s in sets], bands, low))]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "name", "bands", "low"])
 
 
 def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,8 +196,10 @@ def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in edges], pa.binary()), pa.array([y for _, y in edges], pa.binary())], ["a", "b"])
 
 
-def common_counts(sets: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections, by products of 0/1 matrices over the shingles that two sets share at least."""
+def common_counts(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the pairs (a, b): one by one if they are few, else by products of 0/1 matrices over the shingles that two sets share at least."""
+    if 8 * len(a) < len(sets) ** 2:
+        return np.array([np.isin(sets[i], sets[j], assume_unique=True, kind="sort").sum() for i, j in zip(a.tolist(), b.tolist(), strict=True)], np.float64)
     of = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     _, at, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     shared = n[at] > 1
@@ -192,11 +209,11 @@ def common_counts(sets: list[np.ndarray]) -> np.ndarray:
     order = np.argsort(at, kind="stable")
     of, at = of[order], at[order]
     for start in range(0, width, 4096):
-        a, b = np.searchsorted(at, (start, start + 4096))
+        lo, hi = np.searchsorted(at, (start, start + 4096))
         m = np.zeros((len(sets), min(4096, width - start)), np.float32)
-        m[of[a:b], at[a:b] - start] = 1
+        m[of[lo:hi], at[lo:hi] - start] = 1
         out += m @ m.T
-    return out
+    return out[a, b]
 
 
 def _verify(threshold: float):
@@ -205,11 +222,11 @@ def _verify(threshold: float):
             names, roots, links = [], [], []
             for i, j, members in zip(*(batch.column(c).to_pylist() for c in ("i", "j", "members")), strict=True):
                 members = sorted(members, key=lambda m: m["name"])
+                a, b = _pairs(np.array([m["block"] for m in members]), i, j)
+                a, b = surviving_pairs(np.frombuffer(b"".join([m["low"] for m in members]), np.uint8).reshape(len(members), -1), a, b)
                 sets = [np.frombuffer(m["shingles"], np.uint64) for m in members]
                 size, copies = np.array([len(s) for s in sets]), np.array([m["copies"] for m in members])
-                common = common_counts(sets)
-                a, b = _pairs(np.array([m["block"] for m in members]), i, j)
-                keep = common[a, b] * (1 + threshold) >= threshold * (size[a] + size[b]) - 1e-6
+                keep = common_counts(sets, a, b) * (1 + threshold) >= threshold * (size[a] + size[b]) - 1e-6
                 a, b = a[keep], b[keep]
                 n = np.bincount(a, copies[b], len(sets)) + np.bincount(b, copies[a], len(sets))
                 for k, root in enumerate(forest(len(sets), a, b)):
@@ -223,14 +240,9 @@ def _verify(threshold: float):
 
 
 def _shingles_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in (b.slice(i, 500) for b in batches for i in range(0, b.num_rows, 500)):
-        keep, out = [], []
-        for i, (s, name) in enumerate(zip(shingle_sets(batch.column("t").to_pylist()), batch.column("name").to_pylist(), strict=True)):
-            if set_name(s) == name:
-                keep.append(i)
-                out.append(s.tobytes())
-        rows = batch.take(pa.array(keep, pa.int64()))
-        yield pa.RecordBatch.from_arrays([rows.column("name"), pa.array(out, pa.binary())], ["name", "shingles"])
+    for batch in text_slices(batches, "t"):
+        sets = shingle_sets(batch.column("t").to_pylist())
+        yield pa.RecordBatch.from_arrays([batch.column("name"), pa.array([s.tobytes() for s in sets], pa.binary())], ["name", "shingles"])
 
 
 def _dealt(rows: DataFrame, key: str, fields: list[str]) -> DataFrame:
@@ -241,49 +253,75 @@ def _dealt(rows: DataFrame, key: str, fields: list[str]) -> DataFrame:
     return rows.groupBy(key, "i", "j").agg(F.collect_list(F.struct("name", "block", *fields)).alias("members")).where(F.size("members") > 1)
 
 
-def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """One row per row of docs: doc_id, class_id, class_size, n_links.
+def _row_key(docs: DataFrame) -> Column:
+    """128 bits of hash of a row's columns; rows that are equal in all of them share it."""
+    columns = [F.to_json(c) if "map<" in docs.schema[c].dataType.simpleString() else F.col(f"`{c}`") for c in docs.columns]
+    return F.concat(F.hex(F.xxhash64(F.lit(1), *columns)), F.lit("-"), F.hex(F.xxhash64(F.lit(2), *columns)))
 
-    n_links counts the other rows whose shingle sets have a Jaccard similarity of threshold or more; a
-    class is what links connect, class_id its least id (null if all its ids are), class_size its rows. Words are what stands
-    between ASCII white space, lower-cased; a text of fewer than five is one shingle. Empty and null texts
-    are copies of each other alone. Rows that repeat a document are copies. threshold is 0.8 at least:
-    the bands are chosen for that. An empty table gives no rows.
-    """
+
+def _classified(rows: DataFrame, threshold: float) -> DataFrame:
+    """rows: doc_id, key, t. One row for each: doc_id, key, label (name of the class), class_id, class_size, n_links."""
     if threshold < THRESHOLD:
         raise ValueError(f"the bands find pairs from {THRESHOLD} on")
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("t"))
-    sketched = checkpointed(rows.mapInArrow(_sketches, f"doc_id {kind}, name binary, values binary"))
-    classes = checkpointed(sketched.groupBy("name").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("copies"), F.first("values", ignorenulls=True).alias("values")))
-    # Bands: 4-byte values, BAND_ROWS to a band. Only buckets of two classes or more go on.
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    sketched = checkpointed(rows.mapInArrow(_sketches, f"doc_id {kind}, key string, name binary, bands binary, low binary"))
+    classes = sketched.groupBy("name").agg(F.min("doc_id").alias("least_id"), F.min("key").alias("text_key"), F.count("*").alias("copies"), F.min("bands").alias("bands"), F.min("low").alias("low"))
+    classes = checkpointed(classes)
+    # Bands: 8 bytes of hash each. Only buckets of two classes or more go on.
+    full = classes.where("bands IS NOT NULL")
     band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1)))
-    bands = classes.where("values IS NOT NULL").select("name", "values", band.alias("band")).select("name", F.xxhash64("band", F.substring("values", F.col("band") * (4 * BAND_ROWS) + 1, F.lit(4 * BAND_ROWS))).alias("bucket"))
-    full = checkpointed(bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
-    members = bands.join(full, "bucket")
-    # A pair is compared on the low byte of each value: unequal values agree in one case of 256.
-    low = classes.where("values IS NOT NULL").select("name", F.udf(lambda v: bytes(v)[::4], "binary")("values").alias("low"))
-    members = checkpointed(members.join(low, "name"))
+    bands = full.select("name", "bands", band.alias("band")).select("name", F.xxhash64("band", F.substring("bands", F.col("band") * 8 + 1, F.lit(8))).alias("bucket"))
+    buckets = checkpointed(bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
+    members = checkpointed(bands.join(buckets, "bucket").join(full.select("name", "low"), "name"))
     found = _dealt(members, "bucket", ["low"]).mapInArrow(_prune, "a binary, b binary")
     groups = connected_components(found)
     sizes = checkpointed(groups.groupBy("label").agg(F.count("*").alias("n")))
-    chosen = checkpointed(groups.join(sizes, "label").select(F.col("v").alias("name"), "label", "n").join(classes.select("name", "least_id", "copies"), "name"))
-    texts = rows.join(chosen.select("name", "least_id"), F.col("doc_id").eqNullSafe(F.col("least_id"))).select("name", "t")
+    chosen = checkpointed(groups.join(sizes, "label").select(F.col("v").alias("name"), "label", "n").join(full.select("name", "text_key", "copies", "low"), "name"))
+    # One text of each class that is left; rows that are equal in all columns share a key, and one of them is taken.
+    texts = rows.join(chosen.select("name", F.col("text_key").alias("key")), "key").select("name", "t")
     sets = texts.mapInArrow(_shingles_of, "name binary, shingles binary").groupBy("name").agg(F.first("shingles").alias("shingles"))
-    verified = checkpointed(_dealt(chosen.join(sets, "name"), "label", ["shingles", "copies"]).mapInArrow(_verify(threshold), "a binary, b binary, links long"))
+    verified = checkpointed(_dealt(chosen.join(sets, "name"), "label", ["shingles", "copies", "low"]).mapInArrow(_verify(threshold), "a binary, b binary, links long"))
     links = verified.groupBy(F.col("a").alias("name")).agg(F.sum("links").alias("links"))
     # Roots of blocks have rows only if they have links, so every linked class is a vertex.
     joined = connected_components(verified.select("a", "b"))
     placed = checkpointed(classes.select("name", "least_id", "copies").join(joined.withColumnRenamed("v", "name"), "name", "left").join(links, "name", "left").withColumn("label", F.coalesce("label", "name")))
     whole = checkpointed(placed.groupBy("label").agg(F.min("least_id").alias("class_id"), F.sum("copies").alias("class_size")))
-    placed = checkpointed(placed.join(whole, "label").select("name", "class_id", "class_size", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
-    return sketched.select("doc_id", "name").join(placed, "name").select("doc_id", "class_id", "class_size", "n_links")
+    placed = checkpointed(placed.join(whole, "label").select("name", "label", "class_id", "class_size", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
+    return sketched.select("doc_id", "key", "name").join(placed, "name").drop("name")
+
+
+def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """One row per row of docs: doc_id, class_id, class_size, n_links.
+
+    n_links counts the other rows whose shingle sets have a Jaccard similarity of threshold or more; a
+    class is what links connect, class_id its least id (null if all its ids are), class_size its rows. Words are what stands
+    between ASCII white space, lower-cased; a text of fewer than five is one shingle, a very long one is
+    taken whole. Empty and null texts are copies of each other alone. Rows that repeat a document are copies.
+    threshold is 0.8 at least: the bands are chosen for that. Other columns of docs, whatever their names, are
+    ignored. An empty table gives no rows.
+    """
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("t"))
+    rows = rows.select("doc_id", _row_key(rows).alias("key"), "t")
+    return _classified(rows, threshold).select("doc_id", "class_id", "class_size", "n_links")
 
 
 def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, with all their columns, whose id is their class's least; rows of null id stay."""
-    gone = ngram_jaccard_join(docs, id_col, text_col).where("class_size > 1 AND doc_id != class_id").select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    """One row, with all its columns, of each class: that with the least id (null ids last), of rows that share it the one with the least hash.
+
+    Null and empty texts are one class, so one such row stays. Whether ids repeat or are null makes no
+    difference: rows are told apart by a hash of all columns, and of rows equal in all of them one stays.
+    """
+    keyed = docs.withColumn("__key", _row_key(docs))
+    rows = checkpointed(_classified(keyed.select(F.col(id_col).alias("doc_id"), F.col("__key").alias("key"), F.col(text_col).cast("string").alias("t")), THRESHOLD).select("doc_id", "key", "label"))
+    order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "key")
+    best = checkpointed(rows.groupBy("label").agg(F.min(order).alias("best")).select(F.col("best.key").alias("key")))
+    same = checkpointed(rows.join(best, "key", "left_semi").groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select(F.col("key").alias("__key")))
+    gone = rows.join(best, "key", "left_anti").select(F.col("key").alias("__key")).unionAll(same)
+    kept = keyed.join(gone, "__key", "left_anti").select(*docs.columns)
+    if same.isEmpty():
+        return kept
+    whole = keyed.join(same, "__key").groupBy("__key").agg(F.first(F.struct(*docs.columns)).alias("r"))
+    return kept.unionAll(whole.select("r.*"))
 
 
 def op3_ngram_join(spark, sf_dir: str) -> DataFrame:
