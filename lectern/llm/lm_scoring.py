@@ -1,9 +1,10 @@
 """Scoring texts with a causal self-attention model on subword ids, trained in numpy.
 
-The model predicts a slot: one of the most frequent ids, the end of a text, or the tail, whose ids have
-add-one shares by their counts in all training texts. Slots are put out in two steps, cluster and place.
-It is trained by local SGD on all ids of all training texts: tasks train on their windows from the shared
-weights, the driver takes the mean, and so on for ROUNDS. Texts are scored in windows of WINDOW ids that
+The model (attention_model) predicts a slot: one of the most frequent ids, the end of a text, or the tail,
+whose ids have add-one shares by their counts in all training texts. Texts are encoded once, into Parquet in
+the shared folder. Training is local SGD: a task is a learner, and each of ROUNDS rounds takes every
+ROUNDS-th window of its texts, from weights that are the mean of the round before; so each id of each
+training text is learned from once, at every size of the input. Texts are scored in windows of WINDOW ids that
 overlap by OVERLAP; each id is scored once, in the first window that has it. A unigram base over words goes
 beside it: words frequent in training are counted from a bounded table that tasks hold, the others by a join
 with all counts.
@@ -19,233 +20,119 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lectern.llm.attention_model import LOT, SLOTS, WINDOW, Model, first_weights
+from lectern.llm.batches import text_slices
 from lectern.llm.exact_dedup import joined_bytes
 from lectern.llm.subwords import word_encoder
 from lectern.llm.token_store import default_tokenizer
-from lectern.plans.durable import checkpointed
+from lectern.plans.durable import checkpointed, new_folder
 
-SIDE = 32
-SLOTS = SIDE * SIDE
 TAIL, END = SLOTS - 1, 0
-WIDTH, HIDDEN, WINDOW, OVERLAP = 24, 48, 32, 6
-ROUNDS, BATCH, RATE = 4, 32, 8e-3
-#: Windows of one learner, and of all learners in a round: fewer are gone over again, up to MAX_PASSES times.
-LEARNER_WINDOWS, ROUND_WINDOWS, MAX_PASSES = 12_288, 150_000, 6
-#: Words whose counts every task holds; all others are joined.
-HOT_WORDS = 1 << 18
-
-SHAPES = {"E": (SLOTS, WIDTH), "P": (WINDOW, WIDTH), "Q": (WIDTH, WIDTH), "K": (WIDTH, WIDTH), "V": (WIDTH, WIDTH), "O": (WIDTH, WIDTH), "W1": (WIDTH, HIDDEN), "b1": (HIDDEN,), "W2": (HIDDEN, WIDTH), "C": (WIDTH, SIDE), "bc": (SIDE,), "U": (SIDE, WIDTH, SIDE), "bu": (SIDE, SIDE)}
-_FUTURE = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
-_PAST = np.tril(np.ones((WINDOW, WINDOW), np.float32))
-
-
-def unpacked(flat: np.ndarray) -> dict[str, np.ndarray]:
-    out, at = {}, 0
-    for k, shape in SHAPES.items():
-        n = int(np.prod(shape))
-        out[k], at = flat[at : at + n].reshape(shape), at + n
-    return out
-
-
-def first_weights(slot_counts: np.ndarray) -> np.ndarray:
-    """Random weights, with the biases of a unigram model of the slots."""
-    random, p = np.random.Generator(np.random.PCG64(20240504)), {}
-    for k, shape in SHAPES.items():
-        p[k] = (random.standard_normal(shape) * 0.1 if k in "EP" else random.standard_normal(shape) / np.sqrt(WIDTH) * (0.2 if k in ("C", "U", "O", "W2") else 1.0)) if len(shape) > 1 else np.zeros(shape)
-    share = (slot_counts + 1.0).reshape(SIDE, SIDE)
-    p["bc"], p["bu"] = np.log(share.sum(1) / share.sum()), np.log(share / share.sum(1, keepdims=True))
-    return np.concatenate([p[k].ravel() for k in SHAPES]).astype(np.float32)
-
-
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=-1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=-1, keepdims=True))
-
-
-def _body(p: dict, x: np.ndarray):
-    e = p["E"][x] + p["P"]
-    q, k, v = e @ p["Q"], e @ p["K"], e @ p["V"]
-    a = q @ k.transpose(0, 2, 1)
-    a *= WIDTH**-0.5
-    a += _FUTURE
-    a -= a.max(axis=2, keepdims=True)
-    np.exp(a, out=a)
-    a /= a.sum(axis=2, keepdims=True)
-    o = a @ v
-    h = e + o @ p["O"]
-    r = np.maximum(h @ p["W1"] + p["b1"], 0)
-    return e, q, k, v, a, o, h, r, h + r @ p["W2"]
-
-
-def _fast_body(p: dict, x: np.ndarray) -> np.ndarray:
-    """What _body gives last, in fewer passes: weights of attention aren't kept, nor brought below 1 before exp."""
-    e = p["E"][x] + p["P"]
-    qkv = e.reshape(-1, WIDTH) @ np.hstack([p["Q"] * np.float32(WIDTH**-0.5), p["K"], p["V"]])
-    q, k, v = qkv.reshape(*x.shape, 3, WIDTH).transpose(2, 0, 1, 3)
-    a = q @ k.transpose(0, 2, 1)
-    np.exp(a, out=a)
-    a *= _PAST
-    o = a @ v
-    o /= a.sum(axis=2, keepdims=True)
-    h = e.reshape(-1, WIDTH) + o.reshape(-1, WIDTH) @ p["O"]
-    r = h @ p["W1"]
-    r += p["b1"]
-    np.maximum(r, 0, out=r)
-    h += r @ p["W2"]
-    return h
-
-
-def _chosen(logits: np.ndarray, index: np.ndarray) -> np.ndarray:
-    """Log softmax of each row at its index."""
-    own = logits[np.arange(len(index)), index]
-    return own - np.log(np.exp(logits, out=logits).sum(axis=1))
-
-
-def head_log_probabilities(p: dict, z: np.ndarray, target: np.ndarray, chosen=_chosen) -> np.ndarray:
-    cluster, place = target // SIDE, target % SIDE
-    out = chosen(z @ p["C"] + p["bc"], cluster)
-    order = np.argsort(cluster, kind="stable")
-    edges = np.searchsorted(cluster[order], np.arange(SIDE + 1))
-    for c in range(SIDE):
-        own = order[edges[c] : edges[c + 1]]
-        if len(own):
-            out[own] += chosen(z[own] @ p["U"][c] + p["bu"][c], place[own])
-    return out
-
-
-def log_probabilities(p: dict, x: np.ndarray, at: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Natural log of the probability of each target slot; at: its places in the flattened windows x."""
-    z = np.concatenate([_fast_body(p, x[i : i + 128]) for i in range(0, len(x), 128)])
-    out = head_log_probabilities(p, z[at], target)
-    if not np.isfinite(out).all():  # exp ran over
-        z = _body(p, x)[-1].reshape(-1, WIDTH)
-        out = head_log_probabilities(p, z[at], target, lambda logits, i: _log_softmax(logits)[np.arange(len(i)), i])
-    return out
-
-
-def gradient(p: dict, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Gradient of the mean negative log probability; y: targets, -1 where there is none."""
-    e, q, k, v, a, o, h, r, z = _body(p, x)
-    at = np.flatnonzero(y.ravel() >= 0)
-    t = y.ravel()[at]
-    cluster, place, zf = t // SIDE, t % SIDE, z.reshape(-1, WIDTH)[at]
-    g = {n: np.zeros(s, np.float32) for n, s in SHAPES.items()}
-    d = np.exp(_log_softmax(zf @ p["C"] + p["bc"]))
-    d[np.arange(len(t)), cluster] -= 1
-    d /= len(t)
-    g["C"], g["bc"] = zf.T @ d, d.sum(0)
-    dz = d @ p["C"].T
-    for c in np.unique(cluster):
-        own = np.flatnonzero(cluster == c)
-        d = np.exp(_log_softmax(zf[own] @ p["U"][c] + p["bu"][c]))
-        d[np.arange(len(own)), place[own]] -= 1
-        d /= len(t)
-        g["U"][c], g["bu"][c] = zf[own].T @ d, d.sum(0)
-        dz[own] += d @ p["U"][c].T
-    full = np.zeros((x.size, WIDTH), np.float32)
-    full[at] = dz
-    rf, hf = r.reshape(-1, HIDDEN), h.reshape(-1, WIDTH)
-    dr = full @ p["W2"].T * (rf > 0)
-    g["W2"], g["W1"], g["b1"] = rf.T @ full, hf.T @ dr, dr.sum(0)
-    dh = full + dr @ p["W1"].T
-    g["O"] = o.reshape(-1, WIDTH).T @ dh
-    do = (dh @ p["O"].T).reshape(e.shape)
-    da, dv = do @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ do
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True)) * WIDTH**-0.5
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    ef, de = e.reshape(-1, WIDTH), dh
-    for name, dx in (("Q", dq), ("K", dk), ("V", dv)):
-        dx = dx.reshape(-1, WIDTH)
-        g[name] = ef.T @ dx
-        de = de + dx @ p[name].T
-    g["P"] = de.reshape(e.shape).sum(0)
-    np.add.at(g["E"], x.ravel(), de)
-    return np.concatenate([g[n].ravel() for n in SHAPES])
-
-
-def _steps(flat: np.ndarray, windows: np.ndarray, seed: int, rate: float, passes: int) -> np.ndarray:
-    """Weights after Adam steps over the windows (rows of WINDOW + 1 slots, -1 behind their end)."""
-    random = np.random.Generator(np.random.PCG64(seed))
-    flat, m, v, n = flat.copy(), np.zeros_like(flat), np.zeros_like(flat), 0
-    total = passes * -(-len(windows) // BATCH)
-    for _ in range(passes):
-        order = random.permutation(len(windows))
-        for i in range(0, len(order), BATCH):
-            w = windows[order[i : i + BATCH]].astype(np.int64)
-            g = gradient(unpacked(flat), np.maximum(w[:, :-1], 0), w[:, 1:])
-            n += 1
-            m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
-            flat -= rate * (1 - 0.7 * n / total) * (m / (1 - 0.9**n)) / (np.sqrt(v / (1 - 0.99**n)) + 1e-7)
-    return flat
-
-
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
+OVERLAP = 6
+#: Windows in a step of each round of training, and its rate: many small steps first.
+BATCHES, RATES = (32, 64, 128, 128, 128), (1.6e-2, 1.2e-2, 1e-2, 6e-3, 3e-3)
+ROUNDS = len(BATCHES)
+#: Windows that a learner shuffles at a time.
+POOL = 8192
+#: Words whose counts every task holds, and the most bytes of one; all others are joined.
+HOT_WORDS, HOT_BYTES = 1 << 18, 64
+#: Words counted by a task before it sends what it has.
+COUNTED_WORDS = 400_000
+
+
+def _encoded(path: str, kind: pa.DataType):
+    """Per row its lower-cased text, words (with the end) and ids; beside them, rows with the counts of words of training texts."""
+    names = ["doc_id", "held", "t", "n_tokens", "ids", "word", "c"]
+
+    def doc_rows(batch: pa.RecordBatch, texts: list[bytes], words: list[list[bytes]], ids: list[bytes]) -> pa.RecordBatch:
+        n = len(texts)
+        columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(w) + 1 for w in words], pa.int64()), pa.array(ids, pa.binary()), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names)
+
+    def count_rows(counts: Counter) -> pa.RecordBatch:
+        n = len(counts)
+        columns = [pa.nulls(n, kind), pa.nulls(n, pa.bool_()), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names)
 
-    def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(counts.keys()), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "c"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, counts = word_encoder(path), Counter()
+        for batch in text_slices(batches, 2):
+            data, at = joined_bytes(batch.column(2))
+            data = data.lower()
+            texts = [data[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+            words = [t.split() for t in texts]
+            for own, held in zip(words, batch.column(1).to_pylist(), strict=True):
+                if not held:
+                    counts.update(own)
+            yield doc_rows(batch, texts, words, encoder.ids(words))
+            if len(counts) > COUNTED_WORDS:
+                yield count_rows(counts)
+                counts.clear()
+        yield count_rows(counts)
 
-    for batch in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
-        data, at = joined_bytes(batch.column(0))
-        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-            counts.update(data[a:b].lower().split())
-        if len(counts) > 400_000:
-            yield out()
-            counts.clear()
-    yield out()
+    return run
 
 
 def _id_counts(path: str):
+    """How often each id stands in the training texts, from the counts of words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(path)
         total = np.zeros(encoder.tokenizer.get_vocab_size(), np.int64)
-        for batch in (b.slice(i, 2000) for b in batches for i in range(0, b.num_rows, 2000)):
-            found = encoder.tokenizer.encode_batch_fast(batch.column(0).to_pylist(), add_special_tokens=False)
-            for e, c in zip(found, batch.column(1).to_pylist(), strict=True):
-                for i in e.ids:
-                    total[i] += c
+        for batch in text_slices(batches, 0):
+            data, at = joined_bytes(batch.column(0))
+            ids = encoder.ids([[data[a:b]] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)])
+            many = np.repeat(batch.column(1).to_numpy(), [len(x) // encoder.dtype.itemsize for x in ids])
+            total += np.bincount(np.frombuffer(b"".join(ids), encoder.dtype), many, len(total)).astype(np.int64)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["id", "n"])
 
     return run
 
 
-def _training_windows(path: str, slot_of):
-    """Packed windows of whole texts: each id and each end is the target of one."""
+def training_windows(documents: list[np.ndarray], first: int, turn: int, rounds: int) -> tuple[np.ndarray, int]:
+    """Those windows of the documents (slots) that are up in this turn, as rows of WINDOW + 1 slots, -1 behind the end; and how many windows there are.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, slots = word_encoder(path), slot_of.value
-        for batch in (b.slice(i, 400) for b in batches for i in range(0, b.num_rows, 400)):
-            data, at = joined_bytes(batch.column(0))
-            packs, rows = [], []
-            for ids in encoder.ids([data[a:b].lower().split() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]):
-                s = np.concatenate([[END], slots[np.frombuffer(ids, encoder.dtype)], [END]]).astype(np.int16)
-                for i in range(0, len(s) - 1, WINDOW):
-                    w = np.full(WINDOW + 1, -1, np.int16)
-                    part = s[i : i + WINDOW + 1]
-                    w[: len(part)] = part
-                    rows.append(w)
-                    if len(rows) == BATCH:
-                        packs.append(np.stack(rows).tobytes())
-                        rows = []
-            if rows:
-                packs.append(np.stack(rows).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(packs, pa.binary())], ["windows"])
+    Windows follow each other without overlap, and are numbered on from first: each id and each end is the target of one.
+    """
+    length = np.array([len(d) + 1 for d in documents])
+    s = np.concatenate([x for d in documents for x in ([END], d)] + [[END]]).astype(np.int16)
+    begin = np.cumsum(length) - length
+    many = -(-length // WINDOW)
+    doc = np.repeat(np.arange(len(documents)), many)
+    k = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)
+    up = (first + np.arange(len(doc))) % rounds == turn
+    doc, k = doc[up], k[up]
+    at = k[:, None] * WINDOW + np.arange(WINDOW + 1)
+    end = length[doc][:, None]
+    # What follows a document's last id is its end; in s it is the begin of the next, which is the same slot.
+    return np.where(at <= end, s[np.minimum(begin[doc][:, None] + at, len(s) - 1)], -1).astype(np.int16), len(up)
 
-    return run
 
+def _learner(weights, slot_of, dtype: str, turn: int):
+    """One row: the weights after this task's windows of the turn, times how many these are."""
 
-def _learner(weights, turn: int, passes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packs = [np.frombuffer(x, np.int16).reshape(-1, WINDOW + 1) for b in batches for x in b.column(0).to_pylist()]
-        if packs:
-            # A task's windows are bounded by the number of learners; more, if any, are trained on in turn.
-            windows, flat, n = np.concatenate(packs), weights.value, 0
-            for i in range(0, len(windows), 8 * LEARNER_WINDOWS):
-                flat = _steps(flat, windows[i : i + 8 * LEARNER_WINDOWS], turn * 1000 + i, RATE * 0.6**turn, passes)
-            n = len(windows)
-            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([(flat * np.float32(n)).tobytes()], pa.binary())], ["n", "weights"])
+        model, slots, random = Model(weights.value), slot_of.value, np.random.Generator(np.random.PCG64(turn))
+        seen, n, pool, size = 0, 0, [], 0
+
+        def learn() -> None:
+            windows = np.concatenate(pool)
+            windows = windows[random.permutation(len(windows))]
+            for i in range(0, len(windows), BATCHES[turn]):
+                model.train(windows[i : i + BATCHES[turn]], RATES[turn])
+
+        for batch in text_slices(batches, 0):
+            windows, many = training_windows([slots[np.frombuffer(x, dtype)] for x in batch.column(0).to_pylist()], seen, turn, ROUNDS)
+            seen, n, size = seen + many, n + len(windows), size + len(windows)
+            pool.append(windows)
+            if size >= POOL:
+                learn()
+                pool, size = [], 0
+        if size:
+            learn()
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([(model.flat * np.float32(n)).tobytes()], pa.binary())], ["n", "weights"])
 
     return run
 
@@ -260,108 +147,123 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([total.astype(np.float32).tobytes()], pa.binary())], ["n", "weights"])
 
 
-def train(windows: DataFrame, slot_counts: np.ndarray) -> np.ndarray:
-    """Weights from packed training windows (column windows), by ROUNDS of local SGD and averaging."""
-    sc = windows.sparkSession.sparkContext
-    n = windows.agg(F.sum(F.length("windows"))).first()[0] or 0
-    n //= 2 * (WINDOW + 1)
-    learners, passes = max(1, n // LEARNER_WINDOWS), max(1, min(MAX_PASSES, round(ROUND_WINDOWS / max(1, n))))
-    dealt = checkpointed(windows.repartition(learners))
-    flat = first_weights(slot_counts)
-    for turn in range(ROUNDS if n else 0):
-        sums = dealt.mapInArrow(_learner(sc.broadcast(flat), turn, passes), "n long, weights binary")
+def train(ids: DataFrame, slots: np.ndarray, slot_counts: np.ndarray, dtype: str) -> np.ndarray:
+    """Weights learned from the rows of ids (column ids: binary), by ROUNDS of local SGD and averaging. ids must come in the same tasks each time."""
+    sc = ids.sparkSession.sparkContext
+    flat, slot_of = first_weights(slot_counts), sc.broadcast(slots)
+    learners = max(1, ids.rdd.getNumPartitions())
+    for turn in range(ROUNDS):
+        sums = ids.mapInArrow(_learner(sc.broadcast(flat), slot_of, dtype, turn), "n long, weights binary")
         sums = sums.repartition(max(1, int(learners**0.5))).mapInArrow(_summed, "n long, weights binary")  # the driver gets a row for each of these
         total, mass = np.zeros(len(flat)), 0
         for r in sums.toLocalIterator():
             total, mass = total + np.frombuffer(r.weights, np.float32), mass + r.n
-        flat = (total / max(mass, 1)).astype(np.float32)
+        if mass:
+            flat = (total / mass).astype(np.float32)
     return flat
 
 
-def score_ids(p: dict, tail: np.ndarray, slots: np.ndarray, documents: list[np.ndarray], group: int = 1024) -> np.ndarray:
-    """Log10 probability of each id sequence and its end, window by window."""
+def score_ids(model: Model, tail: np.ndarray, slots: np.ndarray, documents: list[np.ndarray]) -> np.ndarray:
+    """Log10 probability of each id sequence and its end, LOT windows at a time."""
     length = np.array([len(d) + 1 for d in documents])
     s = np.concatenate([x for d in documents for x in ([END], slots[d])] + [[END]]).astype(np.int64)
-    begin = np.cumsum([0, *length[:-1]])  # of each document's targets: its n-th target is s[begin + n + 1], but the last is END
+    begin = np.cumsum(length) - length  # of each document's targets: its n-th target is s[begin + n + 1], but the last is END
     many = 1 + np.maximum(0, -(-(length - WINDOW) // (WINDOW - OVERLAP)))
     doc = np.repeat(np.arange(len(documents)), many)
     k = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)
     first = k * (WINDOW - OVERLAP)
-    out = np.bincount(np.arange(len(documents)), [tail[d].sum() for d in documents], len(documents))
+    out = np.array([tail[d].sum() for d in documents])
     steps = np.arange(WINDOW)
-    for i in range(0, len(doc), group):
-        d, f = doc[i : i + group], first[i : i + group]
+    for i in range(0, len(doc), LOT):
+        d, f = doc[i : i + LOT], first[i : i + LOT]
         t = f[:, None] + steps
         inside = t < length[d][:, None]
-        at = np.minimum(begin[d][:, None] + t, len(s) - 1)
-        x = np.where(inside, s[at], END)
+        place = np.minimum(begin[d][:, None] + t, len(s) - 2)
         at = np.flatnonzero(inside & ((steps >= OVERLAP) | (f == 0)[:, None]))
-        target = s[np.minimum(begin[d][:, None] + t + 1, len(s) - 1)].ravel()[at]
-        out += np.bincount(d[at // WINDOW], log_probabilities(p, x, at, target), len(documents))
+        found = model.log_probabilities(np.where(inside, s[place], END), at, s[place.ravel()[at] + 1])
+        out += np.bincount(d[at // WINDOW], found, len(documents))
     return out / np.log(10)
 
 
-def _score(path: str, model):
+def _score(model_data, hot_words, dtype: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_encoder(path)
-        flat, slots, tail, hot = model.value
-        p, get = unpacked(flat), hot.get
-        for batch in (b.slice(i, 400) for b in batches for i in range(0, b.num_rows, 400)):
+        flat, slots, tail = model_data.value
+        model, get = Model(flat), hot_words.value.get
+        for batch in text_slices(batches, 1):
             data, at = joined_bytes(batch.column(1))
-            documents = [data[a:b].lower().split() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-            ids = [np.frombuffer(x, encoder.dtype) for x in encoder.ids(documents)]
             known, base, rare = [], [], []
-            for words in documents:
+            for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+                words = data[a:b].split()
                 c = [get(w, 0) for w in words]
-                known.append(sum(map(bool, c)))
+                known.append(len(c) - c.count(0))
                 base.append(float(np.log10(np.array(c, np.float64) + 1).sum()))
                 rare.append(b" ".join([w for w, n in zip(words, c, strict=True) if not n]))
-            score = score_ids(p, tail, slots, ids)
-            columns = [batch.column(0), pa.array([len(w) + 1 for w in documents], pa.int64()), pa.array(known, pa.int64()), pa.array(base), pa.array(rare, pa.string()), pa.array(score)]
+            score = score_ids(model, tail, slots, [np.frombuffer(x, dtype) for x in batch.column(3).to_pylist()])
+            columns = [batch.column(0), batch.column(2), pa.array(known, pa.int64()), pa.array(base), pa.array(rare, pa.string()), pa.array(score)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "known", "base", "rare", "score"])
 
     return run
 
 
+def frequent_words(counts: DataFrame, most: int = HOT_WORDS) -> dict[bytes, int]:
+    """Words of at most HOT_BYTES bytes with their counts, from a count on that at most about most words reach; found by a histogram, without sorting."""
+    short = counts.where(F.octet_length("word") <= HOT_BYTES).withColumn("bin", F.floor(F.log2("c") * 8).cast("int"))
+    upto, least = 0, None
+    for r in sorted(short.groupBy("bin").agg(F.count("*").alias("n")).collect(), reverse=True):  # 8 bins a doubling
+        upto += r.n
+        if upto > most:
+            break
+        least = r.bin
+    if least is None:
+        return {}
+    return {r.word.encode(): r.c for r in short.where(F.col("bin") >= least).select("word", "c").toLocalIterator()}
+
+
 def lm_scores(docs: DataFrame, tokenizer_path: str | None = None, id_col: str = "doc_id", text_col: str = "text", modulus: int = 7, held_out: int = 2) -> DataFrame:
     """One row per row of docs: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    Learns from the rows whose crc32(id as text) mod modulus is not held_out; a null id is learned from.
-    Null texts are empty and have one token, the end. Without training rows all counts are 0 and the
-    model is its random start. The base counts A-Z as lower case; the model's ids are of lower-cased text,
-    where every id and the end have a probability above 0.
+    Learns from the rows whose crc32(id as text) mod modulus is not held_out; a null id is learned from, and
+    rows that repeat a document are learned from and scored each. Null texts are empty and have one token, the
+    end. Very long texts are scored whole, window by window. Without training rows all counts are 0 and the
+    model is its random start; an empty table gives no rows. Other columns, whatever their names, are ignored.
+    The base counts A-Z as lower case; the model's ids are of lower-cased text, where every id and the end
+    have a probability above 0.
     """
-    path, sc = tokenizer_path or default_tokenizer(), docs.sparkSession.sparkContext
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("t"))
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    path, spark = tokenizer_path or default_tokenizer(), docs.sparkSession
+    sc, encoder = spark.sparkContext, word_encoder(path)
+    kind = docs.schema[id_col].dataType
     out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == held_out, F.lit(False))
-    training = rows.where(~out)
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("t")).select("doc_id", out.alias("held"), F.coalesce("t", F.lit("")).alias("t"))
+    folder = new_folder(spark, "lm-ids")
+    schema = f"doc_id {kind.simpleString()}, held boolean, t string, n_tokens long, ids binary, word string, c long"
+    rows.mapInArrow(_encoded(path, to_arrow_type(kind)), schema).write.parquet(folder)
+    stored = spark.read.schema(schema).parquet(folder)
+    texts, training = stored.where("t IS NOT NULL"), stored.where("NOT held")
+    counts = checkpointed(stored.where("word IS NOT NULL").groupBy("word").agg(F.sum("c").alias("c")))
     ends = training.count()
-    counts = checkpointed(training.select("t").mapInArrow(_word_counts, "word string, c long").groupBy("word").agg(F.sum("c").alias("c")))
     total = counts.agg(F.count("*").alias("v"), F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first()
     n, v = total.n + ends, total.v + bool(ends)
-    id_counts = np.zeros(word_encoder(path).tokenizer.get_vocab_size(), np.int64)
+    id_counts = np.zeros(encoder.tokenizer.get_vocab_size(), np.int64)
     for r in counts.mapInArrow(_id_counts(path), "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():  # one row an id of the vocabulary at most
         id_counts[r.id] = r.n
     top = np.argsort(-id_counts, kind="stable")[: SLOTS - 2]
-    slots = np.full(len(id_counts), TAIL, np.int64)
+    slots = np.full(len(id_counts), TAIL, np.int16)
     slots[top] = np.arange(1, SLOTS - 1)
     rest = np.where(slots == TAIL, id_counts + 1.0, 0.0)
     tail = np.where(slots == TAIL, np.log(np.maximum(rest, 1e-300) / rest.sum()), 0.0)
-    windows = checkpointed(training.select("t").mapInArrow(_training_windows(path, sc.broadcast(slots)), "windows binary"))
-    flat = train(windows, np.array([ends, *id_counts[top], rest.sum()]))
-    hot = {r.word.encode(): r.c for r in counts.orderBy(F.desc("c"), "word").limit(HOT_WORDS).toLocalIterator()}
-    scored = rows.mapInArrow(_score(path, sc.broadcast((flat, slots, tail, hot))), f"doc_id {kind}, n_tokens long, known long, base double, rare string, score double")
+    flat = train(training.select("ids"), slots, np.array([ends, *id_counts[top], rest.sum()]), encoder.dtype.str)
+    scored = texts.select("doc_id", "t", "n_tokens", "ids").mapInArrow(
+        _score(sc.broadcast((flat, slots, tail)), sc.broadcast(frequent_words(counts)), encoder.dtype.str),
+        f"doc_id {kind.simpleString()}, n_tokens long, known long, base double, rare string, score double",
+    )
     scored = checkpointed(scored.withColumn("row", F.monotonically_increasing_id()))
     rare = scored.where("rare != ''").select("row", F.explode(F.split("rare", " ")).alias("word")).join(counts, "word")
     rare = rare.groupBy("row").agg(F.count("*").alias("more"), F.sum(F.log10(F.col("c") + 1)).alias("add"))
-    none = F.lit(0)
-    end_c = int(ends)
-    base = F.col("base") + F.coalesce("add", F.lit(0.0)) + F.lit(float(np.log10(end_c + 1))) - F.col("n_tokens") * F.lit(float(np.log10(n + v + 1)))
-    return scored.drop("rare").join(rare, "row", "left").select(
-        "doc_id", out.alias("held_out"), "n_tokens", (F.col("known") + F.coalesce("more", none) + (1 if end_c else 0)).cast("long").alias("n_known"),
-        F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), "score",
-    )
+    base = F.col("base") + F.coalesce("add", F.lit(0.0)) + F.lit(float(np.log10(ends + 1))) - F.col("n_tokens") * F.lit(float(np.log10(n + v + 1)))
+    known = F.col("known") + F.coalesce("more", F.lit(0)) + (1 if ends else 0)
+    return scored.drop("rare").join(rare, "row", "left").select("doc_id", out.alias("held_out"), "n_tokens", known.cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
 
 
 def op2_lm_scoring(spark, sf_dir: str) -> DataFrame:

@@ -1,6 +1,9 @@
 """Each operator on a small table with nulls, empty and long texts, ties, repeated rows, and columns with clashing names; and on an empty one."""
 
+import math
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -8,7 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lectern.llm import decontamination, exact_dedup, license_scan, lm_scoring, ngram_join, sharding, source_mixing, token_store, toxicity, warc
+from lectern.llm import attention_model, decontamination, exact_dedup, license_scan, lm_scoring, ngram_join, sharding, source_mixing, token_store, toxicity, warc
 from lectern.llm.components import connected_components
 from lectern.llm.subwords import word_encoder
 
@@ -70,24 +73,72 @@ def test_lm_scores(docs, empty):
     assert lm_scoring.lm_scores(empty).count() == 0
 
 
-def test_lm_model_is_a_distribution_and_windows_do_not_matter_within_one():
-    p = lm_scoring.unpacked(lm_scoring.first_weights(np.arange(lm_scoring.SLOTS)))
-    x = np.zeros((lm_scoring.SLOTS, lm_scoring.WINDOW), np.int64)
+def test_lm_model_is_a_distribution_and_knows_no_future():
+    model = attention_model.Model(attention_model.first_weights(np.arange(attention_model.SLOTS)))
+    x = np.zeros((128, attention_model.WINDOW), np.int64)
     x[:, 1] = 5
-    at = np.arange(lm_scoring.SLOTS) * lm_scoring.WINDOW + 1
-    assert np.exp(lm_scoring.log_probabilities(p, x, at, np.arange(lm_scoring.SLOTS))).sum() == pytest.approx(1, abs=1e-3)
+    at, every = np.arange(128) * attention_model.WINDOW + 1, np.arange(attention_model.SLOTS).reshape(-1, 128)
+    assert sum(np.exp(model.log_probabilities(x, at, t)).sum() for t in every) == pytest.approx(1, abs=1e-3)
     y = x.copy()
     y[:, 2:] = 7  # the future
-    assert np.allclose(lm_scoring.log_probabilities(p, x, at, at % 50), lm_scoring.log_probabilities(p, y, at, at % 50))
+    assert np.allclose(model.log_probabilities(x, at, at % 50), model.log_probabilities(y, at, at % 50))
+
+
+def test_lm_gradient_and_overflow():
+    flat, rng = attention_model.first_weights(np.arange(attention_model.SLOTS)), np.random.default_rng(2)
+    x, y = rng.integers(0, 1024, (3, attention_model.WINDOW)), rng.integers(-1, 1024, (3, attention_model.WINDOW))
+    at = np.flatnonzero(y.ravel() >= 0)
+    model, start = attention_model.Model(flat), 0
+    loss = lambda f: -attention_model.Model(f).log_probabilities(x, at, y.ravel()[at]).astype(float).mean()
+    model.add_gradient(x, y, len(at))
+    for name, shape in attention_model.SHAPES.items():
+        i = start + int(np.abs(model.g[start : start + np.prod(shape)]).argmax())
+        step = np.zeros_like(flat)
+        step[i] = 1e-2
+        assert model.g[i] == pytest.approx((loss(flat + step) - loss(flat - step)) / 2e-2, rel=0.1), name
+        start += int(np.prod(shape))
+    big = flat.copy()
+    attention_model.unpacked(big)["U"][:, -1, 3] = 500
+    assert np.isfinite(attention_model.Model(big).log_probabilities(x, at, y.ravel()[at])).all()
 
 
 def test_lm_scores_each_id_once():
-    p = lm_scoring.unpacked(lm_scoring.first_weights(np.ones(lm_scoring.SLOTS)))
+    model = attention_model.Model(attention_model.first_weights(np.ones(attention_model.SLOTS)))
     slots, none = np.arange(500) % 50 + 1, np.zeros(500)
     documents = [np.arange(n) for n in (0, 1, 31, 32, 33, 100, 499)]
-    whole = lm_scoring.score_ids(p, none, slots, documents)
-    assert np.allclose(whole, [lm_scoring.score_ids(p, none, slots, [d])[0] for d in documents], rtol=1e-4)
-    assert np.allclose(lm_scoring.score_ids(p, none - 1.0, slots, documents) - whole, [-len(d) / np.log(10) for d in documents], rtol=1e-3, atol=1e-3)
+    whole = lm_scoring.score_ids(model, none, slots, documents)
+    assert np.allclose(whole, [lm_scoring.score_ids(model, none, slots, [d])[0] for d in documents], rtol=1e-4)
+    assert np.allclose(lm_scoring.score_ids(model, none - 1.0, slots, documents) - whole, [-len(d) / np.log(10) for d in documents], rtol=1e-3, atol=1e-3)
+
+
+@given(st.lists(st.integers(0, 140), min_size=1, max_size=12), st.integers(0, 9))
+@settings(max_examples=50, deadline=None)
+def test_lm_windows_of_all_turns_hold_each_target_once(lengths, first):
+    documents = [np.arange(n) % 900 + 1 for n in lengths]
+    found = [lm_scoring.training_windows(documents, first, turn, 5)[0] for turn in range(5)]
+    targets = sorted(t for w in found for t in w[:, 1:].ravel().tolist() if t >= 0)
+    assert targets == sorted([0] * len(lengths) + [t for d in documents for t in d.tolist()])
+    pairs = sorted(x for w in found for a, b in zip(w[:, :-1].ravel().tolist(), w[:, 1:].ravel().tolist()) if b >= 0 for x in [(a, b)])
+    assert pairs == sorted(x for d in documents for x in zip([0, *d.tolist()], [*d.tolist(), 0]))
+
+
+def test_lm_base_and_counts_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "COUNTED_WORDS", 50)
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(f"{'wW'[k % 2]}{k % 300}" for k in rng.zipf(1.4, rng.integers(0, 60)))) for i in range(200)] + [(7, None), (8, "\x0b\x0c a \t B"), (None, "w1 É é")]
+    got = lm_scoring.lm_scores(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    tokens = [[*re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")), None] for _, t in rows]
+    held = [i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows]
+    c = Counter(w for t, h in zip(tokens, held) if not h for w in t)
+    n, v = sum(c.values()), len(c)
+    want = sorted((i or -1, h, len(t), sum(c[w] > 0 for w in t), n, round(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t), 6)) for (i, _), h, t in zip(rows, held, tokens))
+    assert sorted((r.doc_id or -1, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == want
+
+
+def test_lm_frequent_words_are_bounded(spark):
+    counts = spark.createDataFrame([(f"w{i}", i + 1) for i in range(1000)] + [("x" * 65, 9999)], "word string, c long")
+    few = lm_scoring.frequent_words(counts, 200)
+    assert 0 < len(few) <= 200 and min(few.values()) == 1001 - len(few) and len(lm_scoring.frequent_words(counts)) == 1000
 
 
 @pytest.mark.parametrize("n,words", [(3, 50), (250, 20_000)])
@@ -95,8 +146,8 @@ def test_lm_trains_on_every_id_at_every_size(spark, monkeypatch, n, words):
     class Seen(Exception):
         pass
 
-    def targets(windows, slot_counts):
-        raise Seen(sum(int((np.frombuffer(r.windows, np.int16).reshape(-1, lm_scoring.WINDOW + 1)[:, 1:] >= 0).sum()) for r in windows.toLocalIterator()))
+    def targets(ids, slots, slot_counts, dtype):
+        raise Seen(sum(len(r.ids) // np.dtype(dtype).itemsize + 1 for r in ids.toLocalIterator()))
 
     monkeypatch.setattr(lm_scoring, "train", targets)
     texts = spark.range(n).selectExpr("id AS doc_id", f"repeat('the house ', {words // 2}) AS text")
@@ -112,7 +163,15 @@ def test_ngram_join(docs, empty):
     assert got[8].class_id == got[9].class_id == 8 and got[8].n_links == 1 and got[3].class_size == 3 and got[0].class_size == 3
     assert got[10].class_size == 1 and got[10].n_links == 0
     assert ngram_join.ngram_jaccard_join(empty).count() == 0
-    assert {r.doc_id for r in ngram_join.one_of_each_class(docs).collect()} == {None, 0, 3, 5, 6, 8, 10, 11, 12}  # 7 holds 6 and two words more
+    kept = ngram_join.one_of_each_class(docs)  # 7 holds 6 and two words more; the null id is a copy of 3
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [0, 3, 5, 6, 8, 10, 11, 12]
+    assert ngram_join.one_of_each_class(empty).count() == 0
+
+
+def test_one_of_each_class_loses_no_text_to_repeated_or_null_ids(spark):
+    rows = [(3, "b b", 1), (5, "a a", 1), (5, "b b", 2), (7, "a a", 1), (None, "c c", 1), (None, "c c", 1), (None, "d d", 3), (None, None, 1), (9, "", 1), (2, "e e", 1), (2, "e e", 1), (2, "e e", 2)]
+    got = ngram_join.one_of_each_class(spark.createDataFrame(rows, "doc_id long, text string, key int").repartition(3)).collect()
+    assert sorted((r.text or "", r.doc_id or 0) for r in got) == [("", 9), ("a a", 5), ("b b", 3), ("c c", 0), ("d d", 0), ("e e", 2)]
 
 
 def test_ngram_join_against_all_pairs(spark):
@@ -229,6 +288,22 @@ def test_decontamination(spark, docs, empty):
     got = {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs, items).collect()}
     assert got == {(6, 1), (7, 1), (5, 4)}
     assert decontamination.contaminated(empty, items).count() == 0 == decontamination.contaminated(docs, items.where("false")).count()
+    kept = decontamination.without_contaminated(docs, items)
+    assert kept.columns == docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in docs.collect() if r.doc_id not in (5, 6, 7))
+    same = spark.createDataFrame([(1, ITEM, 0), (1, "clean", 0), (None, ITEM, 0), (None, "clean", 0)], "doc_id long, text string, item_id int")
+    assert [r.text for r in decontamination.without_contaminated(same, items).collect()] == ["clean", "clean"]
+
+
+def test_search_in_several_passes_and_bounded_slices(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    items = [(i, " ".join(f"i{k}" for k in rng.integers(0, 400, 30))) for i in range(60)]
+    docs = [(i, " ".join([*(f"i{k}" for k in rng.integers(0, 400, 300)), *([items[i % 60][1]] if i % 3 else []), *(f"w{k}" for k in rng.integers(0, 90, 200))])) for i in range(40)]
+    want = {(i, i % 60) for i in range(40) if i % 3}
+    for chars, positions in ((8_000_000, 1 << 15), (5_000, 40)):
+        monkeypatch.setattr(decontamination, "PASS_CHARS", chars)
+        monkeypatch.setattr(decontamination, "SEARCH_POSITIONS", positions)
+        found = decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+        assert {(r.doc_id, r.item_id) for r in found.collect()} == want
 
 
 def test_block_max_search_finds_all_above_the_threshold():
