@@ -2,31 +2,16 @@
 
 A text and each of its lines are brought to a canonical form (case, punctuation, copyright lines and
 equivalent spellings levelled); the SHA-256 of that form is hash-joined to the digests of known licences
-and licence notices. Whole units are compared, never keywords.
+and licence notices. Whole units are compared, never keywords. Catalyst chooses the join: it broadcasts the
+known digests if their size allows, and shuffles by digest beyond.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Licence texts and one-line notices, by SPDX identifier; the MIT, ISC and zlib texts are public.
-KNOWN_LICENSES = [
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Licensed under the MIT License."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("GPL-3.0-only", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-2.0-only", "This work is licensed under the GNU General Public License, version 2."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
-    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
-    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.\n\nPermission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:\n\n1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.\n\n2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.\n\n3. This notice may not be removed or altered from any source distribution."),
-]
-
-# Spellings that licence matching holds equal, after lower-casing.
-EQUAL_SPELLINGS = [("licence", "license"), ("sub-license", "sublicense"), ("non-infringement", "noninfringement"), ("copyright owner", "copyright holder"), ("acknowledgement", "acknowledgment"), ("favour", "favor"), ("behaviour", "behavior"), ("whilst", "while"), ("per cent", "percent"), ("organis", "organiz"), ("https:", "http:")]
+from lectern.llm.license_texts import EQUAL_SPELLINGS, KNOWN_LICENSES
 
 COPYRIGHT_LINE = r"(^|\n)[^a-z0-9\n]*(copyright|\(c\)|©)[^\n]*"
 NOT_WORD = r"[^\p{L}\p{N}\n]+"
@@ -45,32 +30,34 @@ def _digest(lines: Column) -> Column:
     return F.sha2(F.trim(F.regexp_replace(lines, "[ \n]+", " ")), 256)
 
 
-def license_scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 100_000) -> DataFrame:
+def read_licenses(spark: SparkSession, path: str) -> DataFrame:
+    """license_id, text: a row for each text file under path, named by the file without its ending."""
+    name = F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.txt)?$", 1)
+    return spark.read.text(path, wholetext=True).select(name.alias("license_id"), F.col("value").alias("text"))
+
+
+def license_scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, text_digest, license_id (the whole text is this licence), notices.
 
     notices: the licences that single lines are notices of, sorted, joined by '|'; null if there are none.
-    A null text counts as empty and matches nothing, as do texts and lines without letters or digits.
+    A null text counts as empty and matches nothing, as do texts and lines without letters or digits. Very
+    long texts and lines are digested whole; rows that repeat a document are scanned each; null ids stay null.
     known has license_id, text (default KNOWN_LICENSES); rows with nulls are ignored, and of licences with
-    one canonical text the first by name stands. It is broadcast up to broadcast_rows digests.
+    one canonical text the first by name stands. Other columns of docs and known, whatever their names, are
+    ignored; an empty docs gives no rows, an empty known no licences.
     """
     spark = docs.sparkSession
     known = known if known is not None else spark.createDataFrame(KNOWN_LICENSES, "license_id string, text string")
     known = known.where("license_id IS NOT NULL AND text IS NOT NULL").select("license_id", _digest(canonical_lines(F.col("text"))).alias("digest"))
     known = known.where(F.col("digest") != F.sha2(F.lit(""), 256)).groupBy("digest").agg(F.min("license_id").alias("license_id"))
-    n = known.count()
-    rows = docs.select(F.col(id_col).alias("doc_id"), canonical_lines(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("lines"))
-    if n <= broadcast_rows:
-        # A bounded table goes into the plan as a map, so that lines never leave their row.
-        pairs = {r.digest: r.license_id for r in known.collect()}
-        table = F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv]) if pairs else F.create_map().cast("map<string,string>")
-        rows = rows.withColumn("text_digest", _digest(F.col("lines")))
-        hits = F.array_sort(F.array_distinct(F.filter(F.transform(F.split("lines", "\n"), lambda x: F.try_element_at(table, F.sha2(F.trim(x), 256))), lambda x: x.isNotNull())))
-        return rows.select("doc_id", "text_digest", F.try_element_at(table, F.col("text_digest")).alias("license_id"), F.when(F.size(hits) > 0, F.array_join(hits, "|")).alias("notices"))
-    rows = rows.withColumn("row", F.monotonically_increasing_id()).withColumn("text_digest", _digest(F.col("lines")))
-    lines = rows.select("row", F.explode(F.split("lines", "\n")).alias("line")).where("trim(line) != ''").select("row", F.sha2(F.trim("line"), 256).alias("digest"))
-    notices = lines.join(known, "digest").groupBy("row").agg(F.array_join(F.array_sort(F.collect_set("license_id")), "|").alias("notices"))
-    whole = rows.join(known.withColumnRenamed("digest", "text_digest"), "text_digest", "left").join(notices, "row", "left")
-    return whole.select("doc_id", "text_digest", "license_id", "notices")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), canonical_lines(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("lines"))
+    rows = rows.select("row", "doc_id", _digest(F.col("lines")).alias("text_digest"), F.filter(F.transform(F.split("lines", "\n"), F.trim), lambda x: x != "").alias("lines"))
+    # The whole text's digest comes first, then its lines'; only it and the lines that are notices reach the exchange.
+    units = rows.select("row", "doc_id", "text_digest", F.posexplode(F.concat(F.array("text_digest"), F.transform("lines", lambda x: F.sha2(x, 256)))).alias("place", "digest"))
+    found = units.join(known, "digest", "left").where("place = 0 OR license_id IS NOT NULL")
+    own, notices = F.max(F.when(F.col("place") == 0, F.col("license_id"))), F.collect_set(F.when(F.col("place") > 0, F.col("license_id")))
+    out = found.groupBy("row", "doc_id", "text_digest").agg(own.alias("license_id"), F.array_join(F.array_sort(notices), "|").alias("notices"))
+    return out.select("doc_id", "text_digest", "license_id", F.when(F.col("notices") != "", F.col("notices")).alias("notices"))
 
 
 def op5_license_scan(spark, sf_dir: str) -> DataFrame:
