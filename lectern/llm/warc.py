@@ -276,12 +276,16 @@ def write_archives(pages: DataFrame, uri: str, id_col: str = "page_id", url_col:
 
     Payload: the html in UTF-8, null being empty. Of rows whose payloads are equal and REVISIT_BYTES long
     at least, those with the largest id are responses (several, if rows repeat it) and the others revisit
-    it; a null id is smaller than any. Shorter payloads are all responses.
+    it; a null id is smaller than any. Shorter payloads are all responses. Very long payloads are records
+    like others. Null urls are empty. Other columns of pages, whatever their names, are ignored; an empty table
+    gives no files.
     """
     payload = F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"), F.when(F.length(payload) >= REVISIT_BYTES, F.sha2(payload, 256)).alias("key"))
-    groups = checkpointed(rows.where("key IS NOT NULL").groupBy("key").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"))
-    rows = rows.join(groups, "key", "left")
+    keyed, short = rows.where("key IS NOT NULL"), rows.where("key IS NULL")
+    groups = checkpointed(keyed.groupBy("key").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    # Short payloads have no key and meet no one: they stay where they are.
+    rows = keyed.join(groups, "key", "left").unionByName(short.withColumn("first", F.lit(None).cast("long")))
     revisit = F.coalesce(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.lit(False))
     rows = rows.select("page_id", "url", "html", F.when(revisit, F.col("first")).alias("first"), revisit.alias("revisit"))
     return checkpointed(rows.mapInArrow(_archive_writer(uri), "path string, records long, bytes long"))
