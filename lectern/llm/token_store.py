@@ -3,9 +3,10 @@
 Layout under one folder, all Parquet: kind=chunk (chunk: SHA-256 of the ids as little-endian unsigned
 32-bit integers; n_ids; payload: the ids, narrowed and zstd-compressed), each distinct chunk once;
 documents (doc_id, start, n_tokens, recipe: its chunks' names in order, merkle: root over them), in
-ascending order of doc_id; manifest (part, first and last doc_id, n_tokens, merkle root over its
-documents). Id streams are cut where a rolling hash of 16 ids has its top bits clear, so documents that
-share long passages share chunks. Reading checks every payload against its name and every Merkle root.
+ascending order of doc_id; manifest (part, parts: how many there are, first and last doc_id, documents,
+start, n_tokens, merkle root over its documents). Id streams are cut where a rolling hash of 16 ids has its
+top bits clear, so documents that share long passages share chunks. Reading checks every payload against
+its name, every document's Merkle root, and every part against the manifest.
 """
 
 from __future__ import annotations
@@ -130,12 +131,27 @@ def _starts(offsets: dict[int, int]):
     return run
 
 
+def _part_roots(parts: pa.Array) -> pa.Array:
+    """Merkle root over the documents' roots of each part, in order."""
+    return pa.array([merkle_root([d["merkle"] for d in part]) for part in parts.to_pylist()], pa.binary())
+
+
+def _manifest(documents: DataFrame) -> DataFrame:
+    """What the manifest has to say of these documents: a row for each part of about part_rows documents."""
+    listed = F.array_sort(F.collect_list(F.struct("start", "merkle")))
+    found = documents.groupBy("part").agg(
+        F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"), F.count("*").alias("documents"), F.min("start").alias("start"), F.sum("n_tokens").alias("n_tokens"), listed.alias("listed")
+    )
+    return found.withColumn("merkle", F.arrow_udf(_part_roots, "binary")("listed")).drop("listed")
+
+
 def write_store(docs: DataFrame, uri: str, tokenizer_path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", part_rows: int = 50_000) -> None:
     """Encodes all of docs, each with end_id behind it, and writes the store to uri (a folder that does not exist yet).
 
-    Null texts are empty and give end_id alone. Null ids come first; rows that repeat an id are documents
-    of their own, side by side. An empty table gives a store without documents. Writes are Spark's own,
-    so a task that is run again leaves nothing behind.
+    Null texts are empty and give end_id alone; very long ones are cut into many chunks. Null ids come first;
+    rows that repeat an id are documents of their own, side by side. An empty table gives a store without
+    documents. Other columns of docs, whatever their names, are not stored. Writes are Spark's own, so a task
+    that is run again leaves nothing behind.
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -146,15 +162,30 @@ def write_store(docs: DataFrame, uri: str, tokenizer_path: str, end_id: int = 2,
     rows.write.partitionBy("kind").option("compression", "uncompressed").parquet(f"{uri}/stage")
     names = spark.read.schema(f"{schema.split(', ', 1)[1]}, kind string").parquet(f"{uri}/stage").where("kind = 'doc'").select("doc_id", "n_tokens", "recipe")
     parts = max(1, -(-names.count() // part_rows))
-    names = checkpointed(names.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "recipe").withColumn("part", F.spark_partition_id()))
+    # Rows that repeat a document differ only in where they lie, which parts them too.
+    order = [F.col("doc_id").asc_nulls_first(), F.col("recipe").asc(), F.col("at").asc()]
+    names = names.withColumn("at", F.monotonically_increasing_id()).repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
+    names = checkpointed(names.drop("at"))
     sums = sorted((r.part, r.n) for r in names.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect())  # one row a part
     offsets, total = {}, 0
     for part, n in sums:
         offsets[part], total = total, total + n
     listed = names.mapInArrow(_starts(offsets), f"doc_id {kind.simpleString()}, part int, start long, n_tokens long, recipe binary, merkle binary")
     listed.write.parquet(f"{uri}/documents")
-    part_root = F.udf(lambda xs: merkle_root([bytes(x.merkle) for x in xs]), "binary")
-    spark.read.parquet(f"{uri}/documents").groupBy("part").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"), F.sum("n_tokens").alias("n_tokens"), part_root(F.array_sort(F.collect_list(F.struct("start", "merkle")))).alias("merkle")).write.parquet(f"{uri}/manifest")
+    _manifest(spark.read.parquet(f"{uri}/documents")).withColumn("parts", F.lit(len(sums))).write.parquet(f"{uri}/manifest")
+
+
+def check_manifest(spark: SparkSession, uri: str) -> None:
+    """Raises ValueError if parts are missing from the manifest, or documents don't give what it says of their part."""
+    told = spark.read.parquet(f"{uri}/manifest")
+    found = _manifest(spark.read.parquet(f"{uri}/documents"))
+    facts = ["first_id", "last_id", "documents", "start", "n_tokens", "merkle"]
+    both = told.select("part", F.struct(*facts).alias("told")).join(found.select("part", F.struct(*facts).alias("found")), "part", "full_outer")
+    if bad := both.where(~F.col("told").eqNullSafe(F.col("found"))).head(1):
+        raise ValueError(f"part {bad[0].part} is not what the manifest says")
+    count = told.agg(F.count("*").alias("n"), F.max("parts").alias("parts")).first()
+    if count.n != (count.parts or 0):
+        raise ValueError(f"the manifest has {count.n} of {count.parts} parts")
 
 
 def _verified(dtype: str, width: int):
@@ -178,7 +209,7 @@ def _assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         crcs, n = [], []
         for parts, root, tokens, many in zip(batch.column("parts").to_pylist(), batch.column("merkle").to_pylist(), batch.column("n_tokens").to_pylist(), batch.column("many").to_pylist(), strict=True):
-            n.append(sum(p["n_ids"] for p in parts))
+            n.append(sum(p["n_ids"] or 0 for p in parts))
             if len(parts) != many or n[-1] != tokens or merkle_root([p["chunk"] for p in parts]) != root:
                 raise ValueError("a document's chunks do not give its Merkle root")
             crcs.append(crc32_joined([(p["crc"], 4 * p["n_ids"]) for p in parts]))
@@ -202,6 +233,7 @@ def read_digests(spark: SparkSession, uri: str, tokenizer_path: str) -> DataFram
 
     Payloads are read where they lie; only their checksums move, and a document's follows from its chunks'.
     """
+    check_manifest(spark, uri)
     dtype = word_encoder(tokenizer_path).dtype
     sums = _stored_chunks(spark, uri).mapInArrow(_verified(dtype.str, dtype.itemsize), "chunk binary, n_ids long, crc long")
     parts = F.array_sort(F.collect_list(F.struct("pos", "chunk", "n_ids", "crc"))).alias("parts")
@@ -210,18 +242,28 @@ def read_digests(spark: SparkSession, uri: str, tokenizer_path: str) -> DataFram
     return placed.mapInArrow(_assembled, schema)
 
 
-def read_ids(spark: SparkSession, uri: str, tokenizer_path: str) -> DataFrame:
-    """The documents themselves: doc_id, start, ids (array of int)."""
-    dtype = word_encoder(tokenizer_path).dtype
-
-    def unpack(parts: list) -> list[int]:
+def _unpacked(dtype: str, width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        d = zstandard.ZstdDecompressor()
-        return [int(i) for p in parts for i in np.frombuffer(d.decompress(bytes(p.payload), max_output_size=p.n_ids * dtype.itemsize), dtype)]
+        unpack = zstandard.ZstdDecompressor()
+        for batch in batches:
+            ids = []
+            for parts in batch.column("parts").to_pylist():
+                data = b"".join(unpack.decompress(p["payload"], max_output_size=p["n_ids"] * width) for p in parts)
+                ids.append(np.frombuffer(data, dtype).astype(np.int32))
+            ends = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("start"), pa.ListArray.from_arrays(ends, pa.array(np.concatenate([*ids, np.empty(0, np.int32)])))], ["doc_id", "start", "ids"])
+
+    return run
 
+
+def read_ids(spark: SparkSession, uri: str, tokenizer_path: str) -> DataFrame:
+    """The documents themselves: doc_id, start, ids (array of int)."""
+    check_manifest(spark, uri)
+    dtype = word_encoder(tokenizer_path).dtype
     whole = _placed(spark, uri).join(_stored_chunks(spark, uri), "chunk").groupBy("row", "doc_id", "start").agg(F.array_sort(F.collect_list(F.struct("pos", "n_ids", "payload"))).alias("parts"))
-    return whole.select("doc_id", "start", F.udf(unpack, "array<int>")("parts").alias("ids"))
+    return whole.mapInArrow(_unpacked(dtype.str, dtype.itemsize), whole.select("doc_id", "start", F.lit(None).cast("array<int>").alias("ids")).schema)
 
 
 def default_tokenizer() -> str:

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lectern.llm import attention_model, decontamination, exact_dedup, license_scan, lm_scoring, ngram_join, sharding, source_mixing, token_store, toxicity, warc
 from lectern.llm.components import connected_components
@@ -209,17 +210,37 @@ def test_license_scan(docs, empty, spark):
     assert got[12].license_id == "MIT" and got[12].notices == "MIT" and got[0].license_id is None and got[0].notices is None
     text = "Copyright 2020 A\n" + license_scan.KNOWN_LICENSES[8][1].replace("LICENSE", "LICENCE").upper()
     one = spark.createDataFrame([(1, text)], "doc_id int, text string")
-    assert license_scan.license_scan(one).first().license_id == "MIT" == license_scan.license_scan(one, broadcast_rows=0).first().license_id
+    assert license_scan.license_scan(one).first().license_id == "MIT"
+    clash = docs.select("doc_id", "text", *(F.lit("x").alias(c) for c in ("row", "digest", "license_id", "notices", "place", "lines")))
+    want = sorted(map(str, license_scan.license_scan(docs).collect()))
+    assert sorted(map(str, license_scan.license_scan(clash).collect())) == want
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert license_scan.license_scan(one).first().license_id == "MIT" and sorted(map(str, license_scan.license_scan(docs).collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert license_scan.license_scan(empty).count() == 0
 
 
+def test_licenses_are_found_as_whole_texts(spark, tmp_path):
+    texts = [(i, f"Copyright (c) {i} Someone\n\n" + t.replace('"', "'").replace("license", "licence") + "\n", t) for i, (_, t) in enumerate(license_scan.KNOWN_LICENSES)]
+    got = by_id(license_scan.license_scan(spark.createDataFrame(texts, "doc_id int, text string, digest string")))
+    assert [got[i].license_id for i in range(len(texts))] == [name for name, _ in license_scan.KNOWN_LICENSES]
+    near = spark.createDataFrame([(0, texts[12][2][:-20]), (1, texts[12][2] + " more")], "doc_id int, text string")
+    assert all(r.license_id is None for r in license_scan.license_scan(near).collect())
+    (tmp_path / "Own-1.0.txt").write_text("You may. " * 2000)
+    own = license_scan.read_licenses(spark, f"file://{tmp_path}")
+    assert license_scan.license_scan(spark.createDataFrame([(1, "you  may, " * 2000)], "doc_id int, text string"), own).first().license_id == "Own-1.0"
+
+
 def test_warc(spark):
     big, rows = "é" * 700, [(1, "http://b.org/x", "small"), (2, "http://b.org/x", "small")]
-    rows += [(3, "http://www.A.org/p?q=1#f", big), (4, None, big), (9, "http://[bad", big), (9, "http://[bad", big), (None, "u\r\nv", big), (10, "http://a.org/", None), (11, "http://a.org/", "")]
-    pages = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, refers_to string")
+    rows += [(3, "http://www.A.org/p?q=1#f", big), (4, None, big), (9, "http://[bad", big), (9, "http://[bad", big), (None, "u\r\nv", big), (10, "http://a.org/", None), (11, "http://a.org/", ""), (20, "http://a.org/long", "x" * 600_000), (21, None, "x" * 600_000)]
+    pages = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, first string")
     got = warc.archived_pages(pages).orderBy("range", "position").collect()
     assert len(got) == len(rows) and [r.url_key for r in got] == sorted(r.url_key for r in got)
     kinds = {r.page_id: (r.record_type, r.refers_to, r.payload_bytes) for r in got}
+    assert kinds[20] == ("revisit", 21, 600_000) and kinds[21][0] == "response"
     assert kinds[3] == ("revisit", 9, 1400) and kinds[9] == ("response", None, 1400) and kinds[1] == kinds[2] == ("response", None, 5) and kinds[None][1] == 9 and kinds[10][2] == 0
     assert warc.archived_pages(pages.where("false")).count() == 0
 
@@ -253,6 +274,28 @@ def test_token_store(docs, empty):
     assert token_store.stored_documents(empty).count() == 0
 
 
+def test_token_store_reads_ids_and_sees_what_is_lost(spark, tmp_path):
+    rows = [(i % 40, f"the house {i} " * (i % 7)) for i in range(200)] + [(3, "same")] * 90 + [(None, None)]
+    uri, path = f"file://{tmp_path}/store", token_store.default_tokenizer()
+    token_store.write_store(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), uri, path, part_rows=60)
+    encoder = word_encoder(path).tokenizer
+    want = sorted((-1 if i is None else i, [*encoder.encode(t or "", add_special_tokens=False).ids, 2]) for i, t in rows)
+    got = token_store.read_ids(spark, uri, path).collect()
+    assert sorted((-1 if r.doc_id is None else r.doc_id, list(r.ids)) for r in got) == want
+    manifest = spark.read.parquet(f"{uri}/manifest").collect()
+    assert len(manifest) == 5 and max(r.documents for r in manifest) < 120 and token_store.read_digests(spark, uri, path).count() == len(rows)
+    lost = max((tmp_path / "store/documents").glob("part-*"), key=lambda p: p.stat().st_size)
+    kept = lost.read_bytes()
+    lost.unlink()
+    with pytest.raises(ValueError, match="manifest"):
+        token_store.read_digests(spark, uri, path)
+    lost.write_bytes(kept)
+    chunks = max((tmp_path / "store/stage/kind=chunk").glob("part-*"), key=lambda p: p.stat().st_size)
+    chunks.unlink()
+    with pytest.raises(Exception, match="Merkle"):
+        token_store.read_digests(spark, uri, path).collect()
+
+
 @given(st.lists(st.text(max_size=60), min_size=1, max_size=20))
 @settings(max_examples=80, deadline=None)
 def test_cached_words_give_the_whole_texts_ids(texts):
