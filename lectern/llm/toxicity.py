@@ -1,10 +1,11 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words become symbols: insult, threat verb, target, negation, reporting verb, modal or other. Sequential
-transducers for negation, reported speech, targets and threats are composed into one; run over a clause,
-it rewrites each insult and threat by what stands around it (negated, reported, aimed at someone, plain).
+Words become symbols: insult, threat verb, target, negation, reporting verb, modal, intensifier or other.
+Sequential transducers with weights on their arcs, for insults, threats, negation, reported speech and
+targets, are composed into one; run over a clause, it rewrites each insult and threat by what stands around
+it (negated, reported, aimed at someone, plain) and adds the weights of the arcs taken to the word's own.
 Insult words and their weights are learned from labels beside a few given ones; so is the weight of each
-kind of match. Documents are scored by their matched clauses.
+kind of match, starting from given ones. Documents are scored by their matched clauses.
 """
 
 from __future__ import annotations
@@ -12,12 +13,15 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lectern.llm.ngram_join import one_of_each_class
+
 # Seed words of the grammar in four languages.
 INSULTS = "idiot moron stupid imbecile loser scum trash pathetic worthless disgusting dumb jerk bastard idiote imbécile crétin dumm trottel dummkopf idiota imbécil estúpido".split()
 THREATS = "kill hurt beat destroy murder punish tuer frapper töten schlagen matar golpear".split()
@@ -26,11 +30,15 @@ NEGATIONS = "not no never none cannot nicht kein keine nie pas jamais ne nunca n
 REPORTS = "said says say called calls wrote claims claimed quoted reported sagte sagt nannte dit disait dijo dice llamó".split()
 MODALS = "will shall should must gonna werde wirst soll vais va voy debe".split()
 
+INTENSIFIERS = "so such very really utterly total complete absolute so sehr völlig total si tellement vraiment tan muy".split()
+
 SEED_WEIGHT = 3.0
-#: At most about so many labelled rows are learned from, chosen by a hash of their id; words kept for the lexicon.
-TRAIN_ROWS, LEXICON_WORDS = 20_000, 2000
+#: At most about so many labelled rows are learned from, chosen by a hash of their id.
+TRAIN_ROWS = 20_000
 OTHER = "x"
-SYMBOLS = "xihtnrm"
+SYMBOLS = "xihtnrms"
+# Weights on the arcs that rewrite an insult or a threat, in the unit of word weights.
+ARC_WEIGHTS = {"intensified": 0.5, "aimed": 1.0, "threat": 1.0, "negated": -1.0, "reported": -0.5}
 KINDS = "iujqv"  # plain insult, insult at a target, negated, reported, threat
 FEATURES = [*KINDS, "clauses", "strongest"]
 PREDICT_FROM = 0.3
@@ -38,7 +46,7 @@ _TOKEN = re.compile(r"\w+|[.!?;:,\n]")
 
 
 class Transducer:
-    """A sequential transducer: a state and a symbol give the next state and the symbol put out."""
+    """A weighted sequential transducer: a state and a symbol give the next state, the symbol put out, and the arc's weight."""
 
     def __init__(self, start, step, alphabet: str):
         self.start, self.alphabet, self.arcs = start, alphabet, {}
@@ -51,49 +59,59 @@ class Transducer:
                     todo.append(self.arcs[s, a][0])
 
     def then(self, other: Transducer) -> Transducer:
-        """Composition: other reads what this one puts out."""
+        """Composition: other reads what this one puts out; weights add up."""
 
         def step(state, a):
-            s, out = self.arcs[state[0], a]
-            t, out = other.arcs[state[1], out]
-            return (s, t), out
+            s, out, w = self.arcs[state[0], a]
+            t, out, v = other.arcs[state[1], out]
+            return (s, t), out, w + v
 
         return Transducer((self.start, other.start), step, self.alphabet)
 
-    def run(self, symbols) -> list[str]:
-        state, out = self.start, []
+    def run(self, symbols) -> tuple[list[str], list[float]]:
+        state, out, weights = self.start, [], []
         for a in symbols:
-            state, b = self.arcs[state, a]
+            state, b, w = self.arcs[state, a]
             out.append(b)
-        return out
+            weights.append(w)
+        return out, weights
 
 
-def within(trigger: str, reach: int, rewrite: dict[str, str], alphabet: str, otherwise: dict[str, str] | None = None) -> Transducer:
-    """Rewrites symbols up to reach places after a trigger (0: to the end of the clause), and others as in otherwise."""
+def within(trigger: str, reach: int, rewrite: dict[str, str], alphabet: str, weight: float = 0.0, otherwise: dict[str, str] | None = None) -> Transducer:
+    """Rewrites symbols up to reach places after a trigger (0: to the end of the clause), on arcs with a weight, and others as in otherwise."""
 
     def step(left: int, a: str):
+        hit = left and a in rewrite
         b = (rewrite if left else otherwise or {}).get(a, a)
-        return (reach or 1) if a == trigger else left if left and not reach else max(0, left - 1), b
+        return (reach or 1) if a == trigger else left if left and not reach else max(0, left - 1), b, weight if hit else 0.0
 
     return Transducer(0, step, alphabet)
 
 
-def clause_grammar() -> Transducer:
-    """Threat verbs need a modal before them; negation outranks reported speech, which outranks targets."""
+#: The transducers in order. Threat verbs need a modal before them; negation outranks reported speech, which outranks targets.
+PARTS = ("insult", "threat", "negation", "reported", "target")
+
+
+def clause_grammar(parts: tuple[str, ...] = PARTS, weights: dict[str, float] = ARC_WEIGHTS) -> Transducer:
+    """The composed machine; parts: without some of them, to see what they do."""
     every = "".join(dict.fromkeys(SYMBOLS + KINDS))
-    threat = within("m", 4, {"h": "v"}, every, {"h": OTHER})
-    negation = within("n", 3, {"i": "j", "v": "j"}, every)
-    reported = within("r", 0, {"i": "q", "v": "q"}, every)
-    target = within("t", 4, {"i": "u"}, every)
-    return threat.then(negation).then(reported).then(target)
+    machines = {
+        "insult": within("s", 2, {"i": "i"}, every, weights["intensified"]),
+        "threat": within("m", 4, {"h": "v"}, every, weights["threat"], {"h": OTHER}),
+        "negation": within("n", 3, {"i": "j", "v": "j"}, every, weights["negated"]),
+        "reported": within("r", 0, {"i": "q", "v": "q"}, every, weights["reported"]),
+        "target": within("t", 4, {"i": "u"}, every, weights["aimed"]),
+    }
+    return reduce(Transducer.then, [machines[p] for p in PARTS if p in parts])
 
 
 class Scorer:
     """Features of texts under a lexicon of insult words with weights."""
 
-    def __init__(self, lexicon: dict[str, float]):
-        self.grammar, self.lexicon = clause_grammar(), lexicon
-        self.symbol = {w: s for words, s in ((MODALS, "m"), (REPORTS, "r"), (NEGATIONS, "n"), (TARGETS, "t"), (THREATS, "h"), (lexicon, "i")) for w in words} | dict.fromkeys(".!?;:,\n", "|")
+    def __init__(self, lexicon: dict[str, float], parts: tuple[str, ...] = PARTS):
+        self.grammar, self.lexicon = clause_grammar(parts), lexicon
+        lists = ((INTENSIFIERS, "s"), (MODALS, "m"), (REPORTS, "r"), (NEGATIONS, "n"), (TARGETS, "t"), (THREATS, "h"), (lexicon, "i"))
+        self.symbol = {w: s for words, s in lists for w in words} | dict.fromkeys(".!?;:,\n", "|")
 
     def features(self, text: str | None) -> np.ndarray:
         tokens = _TOKEN.findall((text or "").lower())
@@ -103,10 +121,10 @@ class Scorer:
         if "i" in symbols or "h" in symbols:
             for clause in symbols.split("|"):
                 if "i" in clause or "h" in clause:
-                    own = [(kind, self.lexicon.get(tokens[at + i], SEED_WEIGHT)) for i, kind in enumerate(self.grammar.run(clause)) if kind in KINDS]
+                    own = [(kind, max(0.0, self.lexicon.get(tokens[at + i], SEED_WEIGHT) + w)) for i, (kind, w) in enumerate(zip(*self.grammar.run(clause), strict=True)) if kind in KINDS]
                     for kind, w in own:
                         sums[kind] += w
-                    clauses += bool(own)
+                    clauses += any(kind not in "jq" for kind, _ in own)
                     strongest = max([strongest, *(w for kind, w in own if kind not in "jq")])
                 at += len(clause) + 1
         return np.array([*(np.log1p(sums[k]) for k in KINDS), np.log1p(clauses), strongest])
@@ -123,7 +141,10 @@ def _words_by_label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def learn_lexicon(train: DataFrame) -> dict[str, float]:
-    """Words that toxic rows hold beyond chance (G of 18 or more), with log odds; train: text, toxic (0 or 1)."""
+    """Words that toxic rows hold beyond chance (G of 18 or more), with log odds; train: text, toxic (0 or 1).
+
+    All such words are taken. They stand in three toxic rows at least, of a training sample of bounded size.
+    """
     totals = {r.toxic: r.n for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     p, n = totals.get(1, 0), totals.get(0, 0)
     seeds = dict.fromkeys(INSULTS, SEED_WEIGHT)
@@ -134,17 +155,18 @@ def learn_lexicon(train: DataFrame) -> dict[str, float]:
     share = F.col("pos") / (F.col("pos") + F.col("neg"))
     g = 2 * (F.col("pos") * F.log(share / rate) + F.when(F.col("neg") > 0, F.col("neg") * F.log((1 - share) / (1 - rate))).otherwise(0.0))
     odds = F.log((F.col("pos") + 0.5) / (p + 1)) - F.log((F.col("neg") + 0.5) / (n + 1))
-    found = words.where("pos >= 3").withColumn("g", g).withColumn("odds", odds).where("g >= 18 AND odds >= 1").orderBy(F.desc("g"), "word").limit(LEXICON_WORDS)
+    found = words.where("pos >= 3").withColumn("g", g).withColumn("odds", odds).where("g >= 18 AND odds >= 1")
     return seeds | {r.word: r.odds for r in found.select("word", "odds").collect() if r.word not in "|.!?;:,\n"}
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Weights of a logistic regression, the constant first, by Newton steps."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+    """Weights of a logistic regression, the constant first, by Newton steps. Features that rows say nothing of keep the weight they have in prior."""
     x = np.hstack([np.ones((len(x), 1)), x])
-    w, penalty = np.zeros(x.shape[1]), np.diag([1e-6, *[ridge] * (x.shape[1] - 1)])
-    for _ in range(30):
+    w, penalty = prior.astype(float), np.diag([1e-6, *[ridge] * (x.shape[1] - 1)])
+    for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + penalty, x.T @ (y - p) - penalty @ w)
+        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + penalty, x.T @ (y - p) - penalty @ (w - prior))
+        step *= min(1.0, 4.0 / np.abs(step).max())
         w = w + step
         if np.abs(step).max() < 1e-8:
             break
@@ -168,7 +190,7 @@ def _score_with(scorer, weights: np.ndarray | None, name: str):
     return run
 
 
-#: Weights if no labels of both kinds are there: the constant, then FEATURES.
+# Weights where labels say nothing: the constant, then FEATURES.
 DEFAULT_WEIGHTS = np.array([-3.0, 1.0, 1.5, -0.5, -0.5, 1.5, 0.3, 0.3])
 
 
@@ -184,18 +206,24 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         own = own.where(F.pmod(F.xxhash64("__id"), F.lit(1 << 24)) < int(train_rows / n * (1 << 24)))
     # The sample is bounded, so it may be broadcast; an id with several labels takes the highest.
     own = F.broadcast(own.groupBy("__id").agg(F.max("toxic").alias("toxic")))
-    train = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text")).join(own, "__id").select("text", "toxic")
-    lexicon = learn_lexicon(train)
+    train = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text")).join(own, "__id")
+    # Copies and near copies are evidence once: of each class of the n-gram join, one text of each label counts.
+    classes = [one_of_each_class(train.where(F.col("toxic") == k), "__id") for k in (0, 1)]
+    lexicon = learn_lexicon(classes[0].unionAll(classes[1]))
     scorer = docs.sparkSession.sparkContext.broadcast(Scorer(lexicon))
     rows = train.select("toxic", "text").mapInArrow(_score_with(scorer, None, "toxic"), "toxic int, x array<double>").collect()
     y = np.array([r.toxic for r in rows], float)
     if not len(y) or y.min() == y.max():
         return lexicon, DEFAULT_WEIGHTS
-    return lexicon, fit_logistic(np.array([r.x for r in rows]), y)
+    return lexicon, fit_logistic(np.array([r.x for r in rows]), y, DEFAULT_WEIGHTS)
 
 
 def score_toxicity(docs: DataFrame, lexicon: dict[str, float], weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, held_out, score (0 to 1), predicted. Null texts are scored as empty; null ids are not held out."""
+    """One row per row of docs: doc_id, held_out, score (0 to 1), predicted.
+
+    Null texts are scored as empty; null ids are not held out. Very long texts are scored whole; rows that
+    repeat a document score alike. Other columns, whatever their names, are ignored; an empty table gives no rows.
+    """
     scorer = docs.sparkSession.sparkContext.broadcast(Scorer(lexicon))
     kind = docs.schema[id_col].dataType.simpleString()
     scored = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("t")).mapInArrow(_score_with(scorer, weights, "doc_id"), f"doc_id {kind}, score double")

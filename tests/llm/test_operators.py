@@ -253,7 +253,9 @@ def test_loser_tree(runs):
 
 def test_toxicity_grammar(docs, empty):
     g = toxicity.clause_grammar()
-    assert g.run("xi")[1] == "i" and g.run("txi")[2] == "u" and g.run("nxi")[2] == "j" and g.run("rxxxxxxti")[-1] == "q" and g.run("mxht")[2] == "v" and g.run("h")[0] == "x"
+    last = lambda x: (g.run(x)[0][-1], g.run(x)[1][-1])
+    assert last("xi") == ("i", 0) and last("txi") == ("u", 1) and last("nxi") == ("j", -1) and last("rxxxxxxti") == ("q", -0.5) and last("mxh") == ("v", 1) and last("h") == ("x", 0)
+    assert last("tsi") == ("u", 1.5) and last("sxi") == ("i", 0.5) and last("nrti") == ("j", -1) and last("mnh") == ("j", 0)
     lexicon, weights = toxicity.train_toxicity(docs, docs.sparkSession.createDataFrame([], "doc_id long, toxic int"))
     got = by_id(toxicity.score_toxicity(docs, lexicon, weights))
     assert got[10].score > 0.3 > got[5].score == got[0].score and got[10].predicted == 1
@@ -262,6 +264,20 @@ def test_toxicity_grammar(docs, empty):
     assert kept.columns == docs.columns and 10 not in {r.doc_id for r in kept.collect()}
 
 
+def test_each_transducer_changes_scores():
+    scores = lambda text, parts: toxicity._scores(toxicity.Scorer(dict.fromkeys(toxicity.INSULTS, 3.0), parts), toxicity.DEFAULT_WEIGHTS, [text])[0]
+    for part, text, more in (("insult", "such an idiot", 1), ("threat", "i will hurt them", 1), ("negation", "he is not stupid", -1), ("reported", "she said idiot", -1), ("target", "you idiot", 1)):
+        whole, without = (scores(text, p) for p in (toxicity.PARTS, tuple(p for p in toxicity.PARTS if p != part)))
+        assert (whole - without) * more > 0.02, part
+
+
+def test_logistic_keeps_the_prior_where_rows_are_silent():
+    rng = np.random.default_rng(6)
+    x = np.hstack([rng.standard_normal((500, 1)), np.zeros((500, 1))])
+    w = toxicity.fit_logistic(x, (x[:, 0] > 0).astype(float), np.array([0.0, 0.0, 1.5]))
+    assert w[1] > 2 and w[2] == pytest.approx(1.5)
+
+
 def test_token_store(docs, empty):
     got = sorted(token_store.stored_documents(docs).collect(), key=lambda r: r.start)
     t, at = word_encoder(token_store.default_tokenizer()).tokenizer, 0
