@@ -37,7 +37,7 @@ POOL = 8192
 #: Words whose counts every task holds, and the most bytes of one; all others are joined.
 HOT_WORDS, HOT_BYTES = 1 << 18, 64
 #: Words counted by a task before it sends what it has.
-COUNTED_WORDS = 400_000
+COUNTED_WORDS = 200_000
 
 
 def _encoded(path: str, kind: pa.DataType):
