@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: What cleaning drops before segmentation, before normalization, and before re-binding: three sets on purpose.
+# What cleaning drops before segmentation, before normalization, and before re-binding: three sets on purpose.
 STRIP_SEGMENT, STRIP_NORMALIZE, STRIP_REBIND = "[]*#%&$^~̄̅", " #*%&$‴", "*#%&$^~̄̅"
 BLANKS = "[ \n\t\r]+"
 

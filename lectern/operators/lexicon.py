@@ -5,12 +5,13 @@ A lexicon is a DataFrame; joins leave the strategy to Catalyst, which broadcasts
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def majority(pairs: DataFrame, key: str, value: str, first: str) -> DataFrame:
-    """Most frequent value of each key; of equals, the one seen first."""
+def majority(pairs: DataFrame, key: str, value: str, first: Column | str) -> DataFrame:
+    """Most frequent value of each key; of equals, the one seen first (first: what orders the rows, a struct if it takes several columns)."""
     n = pairs.groupBy(key, value).agg(F.count("*").alias("n"), F.min(first).alias("__first"))
     best = F.min_by(F.struct(value, "n"), F.struct(-F.col("n"), F.col("__first"), F.col(value)))
     return n.groupBy(key).agg(best.alias("b")).select(key, F.col(f"b.{value}"), "b.n")
@@ -47,13 +48,15 @@ def new_entries(words: DataFrame, known: DataFrame, col: str) -> DataFrame:
 
 
 def lookup(words: DataFrame, table: DataFrame, key: str, value: str, default: Column) -> DataFrame:
-    """Left join with a unique key; a miss gives default. The table is joined to distinct words, and those to the rows."""
-    types = words.select(key).distinct().join(table, key, "left").withColumn(value, F.coalesce(value, default))
-    return words.join(types, key)
+    """Left join with a table; a miss, or a null key, gives default. Of rows of the table with one key the last by value counts. The table is joined to distinct words, and those to the rows."""
+    table = table.groupBy(key).agg(F.max(value).alias(value))
+    types = words.select(key).where(F.col(key).isNotNull()).distinct().join(table, key, "left").select(key, F.struct(value).alias("__hit"))
+    return words.join(types, key, "left").withColumn(value, F.coalesce(f"__hit.{value}", default)).drop("__hit")
 
 
 def fix_tags(words: DataFrame, fixes: DataFrame) -> DataFrame:
-    """words: word, tag. fixes: word, tag ('*': any), new_tag; the exact rule comes before the open one."""
+    """words: word, tag. fixes: word, tag ('*': any), new_tag; the exact rule comes before the open one, of equal rules the first by new_tag."""
+    fixes = fixes.groupBy("word", "tag").agg(F.min("new_tag").alias("new_tag"))
     exact = fixes.where("tag != '*'").withColumnRenamed("new_tag", "__exact")
     star = fixes.where("tag = '*'").select("word", F.col("new_tag").alias("__star"))
     return words.join(exact, ["word", "tag"], "left").join(star, "word", "left").withColumn("new_tag", F.coalesce("__exact", "__star", "tag")).drop("__exact", "__star")
@@ -67,17 +70,24 @@ def lemmatize(words: DataFrame, lexicon: DataFrame) -> DataFrame:
 
 
 def origin(words: DataFrame, entries: DataFrame, col: str = "word") -> DataFrame:
-    """entries: form, lang; 'abc*' is a prefix, '*abc' a suffix. Exact, then the shortest prefix, then the longest suffix."""
-    exact = entries.where("form NOT LIKE '%*%'").select(F.col("form").alias(col), F.col("lang").alias("__exact"))
+    """entries: form, lang; 'abc*' is a prefix, '*abc' a suffix. Exact, then the shortest prefix, then the longest suffix; null if there is none.
+
+    Words are cut only at the lengths that affixes have: a handful of numbers, collected.
+    """
+    exact = entries.where("form NOT LIKE '%*%'").groupBy(F.col("form").alias(col)).agg(F.min("lang").alias("__exact"))
     prefix = entries.where("form LIKE '%*'").select(F.expr("substring(form, 1, length(form) - 1)").alias("affix"), "lang")
     suffix = entries.where("form LIKE '*%'").select(F.expr("substring(form, 2)").alias("affix"), "lang")
-    types = words.select(col).distinct()
-    starts = types.select(col, F.explode(F.sequence(F.lit(1), F.greatest(F.length(col), F.lit(1)))).alias("n")).withColumn("affix", F.substring(col, F.lit(1), F.col("n")))
-    p = starts.join(prefix, "affix").groupBy(col).agg(F.min_by("lang", F.struct("n", "lang")).alias("__prefix"))
-    ends = types.select(col, F.explode(F.sequence(F.lit(1), F.greatest(F.length(col), F.lit(1)))).alias("n")).withColumn("affix", F.substring(col, F.col("n"), F.lit(1 << 30)))
-    s = ends.join(suffix, "affix").groupBy(col).agg(F.min_by("lang", F.struct("n", "lang")).alias("__suffix"))
+    types = words.select(col).where(F.col(col).isNotNull()).distinct()
+
+    def longest_or_shortest(affixes: DataFrame, cut, best: Column, name: str) -> DataFrame:
+        lengths = F.array(*[F.lit(r.n) for r in affixes.select(F.length("affix").alias("n")).distinct().collect()]).cast("array<int>")
+        cuts = types.select(col, F.explode(F.filter(lengths, lambda n: n <= F.length(col))).alias("n")).withColumn("affix", cut(F.col("n")))
+        return cuts.join(affixes, "affix").groupBy(col).agg(F.min_by("lang", best).alias(name))
+
+    p = longest_or_shortest(prefix, lambda n: F.substring(col, F.lit(1), n), F.struct("n", "lang"), "__prefix")
+    s = longest_or_shortest(suffix, lambda n: F.substring(col, F.length(col) - n + 1, n), F.struct(-F.col("n"), F.col("lang")), "__suffix")
     found = types.join(exact, col, "left").join(p, col, "left").join(s, col, "left").select(col, F.coalesce("__exact", "__prefix", "__suffix").alias("origin"))
-    return words.join(found, col)
+    return words.join(found, col, "left")
 
 
 def phrase_candidates(units: DataFrame, phrases: DataFrame, key: str, by: str, col: str, longest: int = 4) -> DataFrame:
@@ -89,14 +99,30 @@ def phrase_candidates(units: DataFrame, phrases: DataFrame, key: str, by: str, c
     return found.select(key, "st", (F.col("st") + F.col("r.n") - 1).alias("en"), F.col("r.p").alias("phrase")).join(phrases.select("phrase").distinct(), "phrase", "left_semi")
 
 
+def _greedy(spans: pa.Array) -> pa.Array:
+    """Which of each row's spans, by start and end, are taken: leftmost first, none before the last one's end."""
+    st, en = (spans.flatten().field(k).to_pylist() for k in ("st", "en"))
+    ends, keep = spans.offsets.to_pylist(), []
+    for a, b in zip(ends[:-1], ends[1:], strict=True):
+        last = None
+        for i in range(a - ends[0], b - ends[0]):
+            taken = last is None or st[i] > last
+            keep.append(taken)
+            last = en[i] if taken else last
+    return pa.ListArray.from_arrays(pa.array([e - ends[0] for e in ends], pa.int32()), pa.array(keep, pa.bool_()))
+
+
 def greedy_spans(candidates: DataFrame, key: str) -> DataFrame:
-    """Leftmost, then shortest, and none that overlaps one taken before; candidates of one key are folded as an array."""
-    spans = candidates.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("st", "en", "phrase"))).alias("c"))
-    kept = F.aggregate(
-        "c", F.struct(F.lit(-1).alias("last"), F.slice(F.col("c"), 1, 0).alias("out")),
-        lambda a, x: F.when(x["st"] > a["last"], F.struct(x["en"].alias("last"), F.concat(a["out"], F.array(x)).alias("out"))).otherwise(F.struct(a["last"].alias("last"), a["out"].alias("out"))),
-    )["out"]
-    return spans.select(key, F.inline(kept))
+    """Leftmost, then shortest, and none that overlaps one taken before.
+
+    A span that begins behind all before it is taken whatever was taken of these, so the pass runs apart over each island of spans that overlap.
+    """
+    before = F.max("en").over(Window.partitionBy(key).orderBy("st", "en").rowsBetween(Window.unboundedPreceding, -1))
+    c = candidates.withColumn("__new", F.when(F.coalesce(F.col("st") > before, F.lit(True)), 1).otherwise(0))
+    c = c.withColumn("__island", F.sum("__new").over(Window.partitionBy(key).orderBy("st", "en").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    islands = c.groupBy(key, "__island").agg(F.array_sort(F.collect_list(F.struct("st", "en", "phrase"))).alias("c"))
+    kept = islands.withColumn("__keep", F.arrow_udf(_greedy, "array<boolean>")("c"))
+    return kept.select(key, F.inline(F.filter("c", lambda _, i: F.get("__keep", i))))
 
 
 def prefix_morphs(word: Column, table: dict[str, str], prefixes: list[str], least: int = 2) -> Column:
@@ -117,9 +143,9 @@ def arbitrate(predicted: Column, alternatives: Column) -> Column:
 
 
 def cascade(rows: DataFrame, levels: list[tuple[DataFrame, list[str], str]], out: str) -> DataFrame:
-    """First hit of several left joins: (table, keys, value column)."""
+    """First hit of several left joins: (table, keys, value column). Of rows of a table with equal keys the least value counts."""
     names = []
     for i, (table, keys, value) in enumerate(levels):
         names.append(f"__level{i}")
-        rows = rows.join(table.select(*keys, F.col(value).alias(names[-1])), keys, "left")
+        rows = rows.join(table.groupBy(*keys).agg(F.min(value).alias(names[-1])), keys, "left")
     return rows.withColumn(out, F.coalesce(*names)).drop(*names)

@@ -24,21 +24,33 @@ def with_neighbours(u: DataFrame, col: str, key: str = "doc_id", by: str = "i",
     return u.withColumn("prev", fill(F.lag(col).over(w))).withColumn("next", fill(F.lead(col).over(w)))
 
 
-def circular(u: DataFrame, col: str, offsets: list[int], key: str, by: str) -> DataFrame:
-    """col at each offset from the row, going round at the ends of its sequence."""
-    n = u.groupBy(key).agg(F.max(by).alias("__last"))
-    base = u.join(n, key)
-    for k in offsets:
-        other = base.select(F.col(key), F.pmod(F.col(by) - k, F.col("__last") + 1).alias(by), F.col(col).alias(f"{col}{k:+d}"))
-        u = u.join(other, [key, by])
-    return u
+def circular(u: DataFrame, col: str, offsets: list[int], key: str, by: str, block: int = 4096) -> DataFrame:
+    """col at each offset from the row, going round at the ends of its sequence; by counts from 0 without gaps.
+
+    Sequences are dealt out in blocks of places, each with the few rows around it (those of the other end
+    at an end), so that a window serves all offsets and a very long sequence is no single task.
+    """
+    left, right = max(0, -min(offsets)), max(0, max(offsets))
+    n = u.groupBy(key).agg((F.max(by) + 1).alias("__n"))
+    turn = F.sequence(-F.ceil(F.lit(right) / F.col("__n")).cast("int"), F.ceil(F.lit(left) / F.col("__n")).cast("int"))
+    # A row's places: its own, and those at which it is seen from behind the ends. Turns go the other way: what is right of the end begins at the begin.
+    places = F.transform(turn, lambda m: (F.col(by) - m * F.col("__n")).cast("long"))
+    near = F.filter(places, lambda p: (p >= -left) & (p < F.col("__n") + right))
+    spread = u.join(n, key).withColumn("__place", F.explode(near))
+    first = F.greatest(F.lit(0), F.floor((F.col("__place") - right) / block))
+    last = F.least(F.floor((F.col("__n") - 1) / block), F.floor((F.col("__place") + left) / block))
+    spread = spread.withColumn("__block", F.explode(F.sequence(first.cast("long"), F.greatest(first, last).cast("long"))))
+    w = Window.partitionBy(key, "__block").orderBy("__place")
+    out = spread.select("*", *[F.lead(col, k).over(w).alias(f"{col}{k:+d}") if k > 0 else F.lag(col, -k).over(w).alias(f"{col}{k:+d}") for k in offsets])
+    own = (F.col("__place") == F.col(by)) & (F.floor(F.col("__place") / block) == F.col("__block"))
+    return out.where(own).select(*u.columns, *[f"{col}{k:+d}" for k in offsets])
 
 
 def distances(u: DataFrame, flag: Column, key: str = "doc_id", by: str = "i", missing: int = -1, ahead_missing: int = 5) -> DataFrame:
-    """Places since the last flagged row before this one, and until the next after it."""
-    w = order(key, by)
-    back = F.col(by) - F.last(F.when(flag, F.col(by)), True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    ahead = F.first(F.when(flag, F.col(by)), True).over(w.rowsBetween(1, Window.unboundedFollowing)) - F.col(by)
+    """Places since the last flagged row before this one, and until the next after it; both are running values, the second from the end."""
+    at = F.when(flag, F.col(by))
+    running = lambda w: F.last(at, True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    back, ahead = F.col(by) - running(order(key, by)), running(Window.partitionBy(key).orderBy(F.desc(by))) - F.col(by)
     return u.withColumn("since", F.coalesce(back, F.lit(missing))).withColumn("until", F.coalesce(ahead, F.lit(ahead_missing)))
 
 
@@ -65,10 +77,15 @@ def after(flag: Column, key: str = "doc_id", by: str = "i") -> Column:
 
 
 def central_shingle(by: Column, n: Column, span: int, stride: int) -> Column:
-    """Of shingles that begin at multiples of stride and go round at n, the begin of the one in which the place is most central."""
-    starts = F.sequence(F.lit(0), n - 1, F.lit(stride))
-    options = F.filter(F.transform(starts, lambda s: F.struct(F.abs(F.pmod(by - s, n) * 2 - (span - 1)).alias("d"), s.alias("s"), F.pmod(by - s, n).alias("o"))), lambda x: x["o"] < span)
-    return F.array_min(options)["s"]
+    """Of shingles that begin at multiples of stride and go round at n, the begin of the one in which the place is most central.
+
+    Only the starts that can cover the place are looked at: the nearest before it, and the last ones, which go round.
+    """
+    reach = range(-(-span // stride))
+    own, final = F.floor(by / stride) * stride, F.floor((n - 1) / stride) * stride
+    starts = F.array_distinct(F.array(*[(s - k * stride).cast("int") for s in (own, final) for k in reach]))
+    options = F.transform(starts, lambda s: F.struct(F.abs(F.pmod(by - s, n) * 2 - (span - 1)).alias("d"), s.alias("s"), F.pmod(by - s, n).alias("o")))
+    return F.array_min(F.filter(options, lambda x: (x["s"] >= 0) & (x["o"] < span)))["s"]
 
 
 def char_context(text: Column, at: Column) -> list[Column]:

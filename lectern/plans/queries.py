@@ -81,13 +81,13 @@ def q03_detect_profile(spark, d):
     return table(spark, d, "documents").select("doc_id", T.detect_profile(F.col("text"), MARKERS, "en").alias("profile"))
 
 
-@query(r"""SELECT conv_id, turn, regexp_replace(regexp_replace(text, '([.,:;])', ' \1 ', 'g'), ' +', ' ', 'g') AS spaced FROM conversations WHERE text NOT LIKE '%<%'""")
+@query(r"""SELECT conv_id, turn, CASE WHEN text = '' THEN '' ELSE regexp_replace(array_to_string(list_transform(regexp_extract_all(text, '<[^>]*>?|[^<]+'), lambda x: CASE WHEN x[1] = '<' THEN x ELSE regexp_replace(x, '([.,:;])', ' \1 ', 'g') END), ''), ' +', ' ', 'g') END AS spaced FROM conversations""")
 def q04_space_punct(spark, d):
     return table(spark, d, "conversations").select("conv_id", "turn", T.space_punctuation(F.col("text")).alias("spaced"))
 
 
-@query(f"""{TOK} SELECT c, count(*) AS n FROM (SELECT CASE WHEN regexp_matches(tok, '[0-9]') THEN 'd' WHEN tok = upper(tok) AND tok <> lower(tok) THEN 'u' WHEN tok = lower(tok) THEN 'l'
-WHEN tok[1] <> lower(tok[1]) AND tok[2:] = lower(tok[2:]) THEN 't' ELSE 'o' END AS c FROM tok WHERE NOT contains(tok, 'ß')) GROUP BY c""")
+@query(f"""{TOK} SELECT c, count(*) AS n FROM (SELECT CASE WHEN regexp_matches(tok, '[0-9]') THEN 'd' WHEN tok = upper(tok) AND tok <> lower(tok) AND NOT contains(tok, 'ß') THEN 'u' WHEN tok = lower(tok) THEN 'l'
+WHEN tok[1] <> lower(tok[1]) AND tok[2:] = lower(tok[2:]) THEN 't' ELSE 'o' END AS c FROM tok) GROUP BY c""")
 def q05_case_class(spark, d):
     return docs_units(spark, d).groupBy(T.case_class(F.col("tok")).alias("c")).agg(F.count("*").alias("n"))
 
@@ -120,11 +120,10 @@ def q09_para_insert(spark, d):
     return table(spark, d, "conversations").select("conv_id", "turn", T.insert_paragraphs(F.col("text"), "Th", "<p/>").alias("marked"))
 
 
-@query(f"""{TOK}, c AS (SELECT lower(tok) AS key, tok, count(*) AS n, min(doc_id * 100000 + i) AS f FROM tok GROUP BY ALL)
+@query(f"""{TOK}, c AS (SELECT lower(tok) AS key, tok, count(*) AS n, min(doc_id::HUGEINT * 4294967296 + i) AS f FROM tok GROUP BY ALL)
 SELECT key, tok, n FROM c QUALIFY row_number() OVER (PARTITION BY key ORDER BY n DESC, f, tok) = 1""")
 def q10_majority_norm(spark, d):
-    u = docs_units(spark, d).select(F.lower("tok").alias("key"), "tok", (F.col("doc_id") * 100000 + F.col("i")).alias("f"))
-    return L.majority(u, "key", "tok", "f")
+    return L.majority(docs_units(spark, d).withColumn("key", F.lower("tok")), "key", "tok", F.struct("doc_id", "i"))
 
 
 @query(f"""{TOK} SELECT lower(tok) AS word, string_agg(DISTINCT quality::VARCHAR, '|' ORDER BY quality::VARCHAR) AS "values" FROM tok JOIN labels USING (doc_id) GROUP BY 1""")
@@ -181,7 +180,7 @@ def q19_dist_punct(spark, d):
     return S.distances(docs_units(spark, d), F.col("tok").rlike("[.,]$")).select("doc_id", "i", "since", "until")
 
 
-@query(r"""WITH n AS (SELECT conv_id, turn, substr(text, 1, 8) AS t, max(turn) OVER (PARTITION BY conv_id) + 1 AS n FROM conversations)
+@query(r"""WITH n AS (SELECT conv_id, turn, text AS t, max(turn) OVER (PARTITION BY conv_id) + 1 AS n FROM conversations)
 SELECT a.conv_id, a.turn, a.t, b.t AS "t-2", c.t AS "t-1", e.t AS "t+1" FROM n a JOIN n b ON b.conv_id = a.conv_id AND b.turn = (a.turn - 2 + 2 * a.n) % a.n
 JOIN n c ON c.conv_id = a.conv_id AND c.turn = (a.turn - 1 + a.n) % a.n JOIN n e ON e.conv_id = a.conv_id AND e.turn = (a.turn + 1) % a.n""")
 def q20_skipgram(spark, d):
@@ -203,7 +202,7 @@ def q22_bies(spark, d):
 
 
 @query(f"""{TOK}, g AS (SELECT *, coalesce(sum(CASE WHEN tok LIKE '%.' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS s FROM tok)
-SELECT doc_id, 's' || lpad((s + 1)::VARCHAR, 4, '0') AS sent_id, min(i)::INT AS st, max(i)::INT AS en FROM g WHERE s < 9999 GROUP BY doc_id, s""")
+SELECT doc_id, printf('s%04d', s + 1) AS sent_id, min(i)::INT AS st, max(i)::INT AS en FROM g GROUP BY doc_id, s""")
 def q23_sentence_ids(spark, d):
     u = docs_units(spark, d)
     u = u.withColumn("s", S.group_ids(S.after(F.endswith("tok", F.lit(".")))))
@@ -430,6 +429,6 @@ def q49_feats_update(spark, d):
     return e.select("event_id", T.merge_features(F.col("m"), lit("new", "1")).alias("added"), T.drop_features(F.col("m"), ["A"]).alias("dropped"), T.union_features(F.col("m"), lit("A", "click")).alias("joined"))
 
 
-@query("SELECT conv_id, max(CASE WHEN role = 'user' THEN substr(text, 1, 20) END) AS user, max(CASE WHEN role = 'assistant' THEN substr(text, 1, 20) END) AS assistant FROM conversations GROUP BY conv_id")
+@query("SELECT conv_id, max(CASE WHEN role = 'user' THEN text END) AS user, max(CASE WHEN role = 'assistant' THEN text END) AS assistant FROM conversations GROUP BY conv_id")
 def q50_grid_pivot(spark, d):
     return table(spark, d, "conversations").groupBy("conv_id").pivot("role", ["user", "assistant"]).agg(F.max("text"))

@@ -11,6 +11,7 @@ from lectern.functions import text as T
 from lectern.operators import lexicon as L
 from lectern.operators.segmentation import Grammar, align, grammar_segment, merge_groups, stacked
 from lectern.operators.trees import FIELDS, parse_rules, rewrite_sentence, rewrite_trees
+from lectern.plans.queries import ORACLE_SQL, QUERIES
 from lectern.sources import formats as S
 
 
@@ -73,26 +74,34 @@ def test_trim_and_fused(spark):
     assert df.select(T.trim_separators("s")).first()[0] == "a|b"
 
 
-@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="driver tables absent")
-def test_queries_match_their_sql(spark):
-    import duckdb
+DRIVER_TABLES = "/root/testdata/sf0.001"
+
 
-    from lectern.plans.queries import ORACLE_SQL, QUERIES
+@pytest.fixture(scope="module")
+def duck():
+    import duckdb
 
     con = duckdb.connect()
-    for p in glob.glob("/root/testdata/sf0.001/*.parquet"):
+    for p in glob.glob(f"{DRIVER_TABLES}/*.parquet"):
         con.execute(f"CREATE VIEW {os.path.basename(p)[:-8]} AS SELECT * FROM read_parquet('{p}')")
+    return con
+
+
+def assert_rows_match(df, cur, name):
     rnd = lambda v: round(v, 6) if isinstance(v, float) else v
-    for name in ("q01_min_slice", "q13_ambig_table", "q19_dist_punct", "q28_origin_affix", "q30_mwe_greedy", "q37_span_pairing", "q42_entity_head", "q49_feats_update"):
-        df = QUERIES[name](spark, "/root/testdata/sf0.001")
-        cur = con.execute(ORACLE_SQL[name])
-        at = [[c[0] for c in cur.description].index(c) for c in df.columns]
-        assert sorted(repr(tuple(map(rnd, r))) for r in df.collect()) == sorted(repr(tuple(rnd(r[i]) for i in at)) for r in cur.fetchall()), name
+    have = [c[0] for c in cur.description]
+    assert sorted(df.columns) == sorted(have), name
+    at = [have.index(c) for c in df.columns]
+    assert sorted(repr(tuple(map(rnd, r))) for r in df.collect()) == sorted(repr(tuple(rnd(r[i]) for i in at)) for r in cur.fetchall()), name
 
 
-def test_conversation_queries_keep_whole_texts(spark, tmp_path):
-    from lectern.plans.queries import QUERIES
+@pytest.mark.skipif(not os.path.isdir(DRIVER_TABLES), reason="driver tables absent")
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_queries_match_their_sql(spark, duck, name):
+    assert_rows_match(QUERIES[name](spark, DRIVER_TABLES), duck.execute(ORACLE_SQL[name]), name)
 
+
+def test_conversation_queries_keep_whole_texts(spark, tmp_path):
     same = "one beginning of more than twenty letters, "
     turns = [(1, 0, "user", same + "a"), (1, 1, "assistant", "short"), (1, 2, "user", same + "b"), (1, 3, "assistant", same * 50), (2, 0, "user", None), (2, 1, "assistant", "")]
     spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").write.parquet(f"file://{tmp_path}/conversations.parquet")
@@ -123,8 +132,6 @@ def case_of(w):
 
 
 def test_space_punct_takes_all_rows(spark, tmp_path):
-    from lectern.plans.queries import QUERIES
-
     texts = ["a.b <i x='1.5'>c,d</i> e:f", "a > b. c", "x. <open, y. z", "<<a.b>c.d>e.f", "no tag; \n end.", "", None, "<p>." * 4000]
     spark.createDataFrame(list(enumerate(texts)), "conv_id long, text string").selectExpr("conv_id", "0 AS turn", "text").write.parquet(f"file://{tmp_path}/conversations.parquet")
     got = QUERIES["q04_space_punct"](spark, f"file://{tmp_path}")
@@ -132,8 +139,6 @@ def test_space_punct_takes_all_rows(spark, tmp_path):
 
 
 def test_case_class_takes_all_words(spark, tmp_path):
-    from lectern.plans.queries import QUERIES
-
     docs = ["Straße straße STRAßE STRASSE ß ẞ ß1 Aß aßB Maß. the The", None, "no stop"]
     spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").write.parquet(f"file://{tmp_path}/documents.parquet")
     got = QUERIES["q05_case_class"](spark, f"file://{tmp_path}")
@@ -141,8 +146,6 @@ def test_case_class_takes_all_words(spark, tmp_path):
 
 
 def test_sentence_ids_take_all_sentences(spark, tmp_path):
-    from lectern.plans.queries import QUERIES
-
     docs = ["w. " * 12_000, None, "no stop", "One. Two three"]
     spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").write.parquet(f"file://{tmp_path}/documents.parquet")
     want = []
