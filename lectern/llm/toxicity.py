@@ -20,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.ngram_join import one_of_each_class
+from lectern.llm.batches import text_slices
+from lectern.llm.ngram_join import shingle_sets
 
 # Seed words of the grammar in four languages.
 INSULTS = "idiot moron stupid imbecile loser scum trash pathetic worthless disgusting dumb jerk bastard idiote imbécile crétin dumm trottel dummkopf idiota imbécil estúpido".split()
@@ -130,6 +131,13 @@ class Scorer:
         return np.array([*(np.log1p(sums[k]) for k in KINDS), np.log1p(clauses), strongest])
 
 
+def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per row: label, the least hash of its five-word shingles (texts of similarity s share it with probability s), text."""
+    for batch in text_slices(batches, 1):
+        least = [int(s[0]) - (1 << 63) if len(s) else 0 for s in shingle_sets(batch.column(1).to_pylist())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(least, pa.int64()), batch.column(1)], ["toxic", "family", "text"])
+
+
 def _words_by_label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
@@ -207,9 +215,9 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     # The sample is bounded, so it may be broadcast; an id with several labels takes the highest.
     own = F.broadcast(own.groupBy("__id").agg(F.max("toxic").alias("toxic")))
     train = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text")).join(own, "__id")
-    # Copies and near copies are evidence once: of each class of the n-gram join, one text of each label counts.
-    classes = [one_of_each_class(train.where(F.col("toxic") == k), "__id") for k in (0, 1)]
-    lexicon = learn_lexicon(classes[0].unionAll(classes[1]))
+    # Near copies are evidence once: of rows with one label that share their least shingle, one text counts.
+    kinds = train.select("toxic", "text").mapInArrow(_families, "toxic int, family long, text string")
+    lexicon = learn_lexicon(kinds.groupBy("toxic", "family").agg(F.min("text").alias("text")))
     scorer = docs.sparkSession.sparkContext.broadcast(Scorer(lexicon))
     rows = train.select("toxic", "text").mapInArrow(_score_with(scorer, None, "toxic"), "toxic int, x array<double>").collect()
     y = np.array([r.toxic for r in rows], float)
