@@ -11,7 +11,7 @@ from lectern.functions import text as T
 from lectern.operators import lexicon as L
 from lectern.operators.segmentation import Grammar, align, grammar_segment, merge_groups, stacked
 from lectern.operators.trees import FIELDS, parse_rules, rewrite_sentence, rewrite_trees
-from lectern.plans.queries import ORACLE_SQL, QUERIES
+from lectern.plans.catalog import ORACLE_SQL, QUERIES
 from lectern.sources import formats as S
 
 
