@@ -1,150 +1,476 @@
-"""Tree-rewriting rules: node patterns, relations between them, actions on every solution."""
+"""Tree-rewriting rules: node patterns, relations between nodes, actions on every solution.
+
+A rule is a line 'nodes TAB relations TAB actions'. Nodes are parted by ';' and hold tests joined by '&':
+field=/regex/ or field!=/regex/ (the whole value has to match), position=/first|last|mid/, #S:key=/regex/ of the
+sentence, for which its first token stands. Relations between them: '#1>#2' dominates, '#1~#2' dominates by an enhanced edge, '#1.#2' stands
+before, '.n' at distance n, '.n,m' within, '.*' anywhere later, '#1:lemma==#2' have an equal field; chains
+such as '#1>#2.#3' stand for their pairs. Rules run in order over each sentence; the solutions of a rule are
+found before its actions run, on each solution in turn.
+"""
 
 from __future__ import annotations
 
+import json
 import re
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import product
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-#: Names a rule may use for a token's fields.
-ALIASES = {"form": "form", "text": "form", "lemma": "lemma", "pos": "pos", "xpos": "pos", "cpos": "cpos", "upos": "cpos", "func": "func", "deprel": "func", "morph": "morph", "feats": "morph", "head": "head", "id": "id", "misc": "misc"}
+# Names that a rule may use for a token's fields.
+ALIASES = {
+    "form": "form", "text": "form", "lemma": "lemma", "pos": "pos", "xpos": "pos", "xpostag": "pos", "cpos": "cpos", "upos": "cpos", "upostag": "cpos", "func": "func", "deprel": "func",
+    "morph": "morph", "feats": "morph", "head": "head", "id": "id", "num": "id", "misc": "misc", "func2": "misc", "storage": "storage", "storage2": "storage2", "storage3": "storage3",
+    "edep": "edep", "ehead": "ehead", "edom": "edom", "deps": "deps", "head2": "deps", "position": "position",
+}
 FIELDS = ["id", "form", "lemma", "pos", "cpos", "morph", "head", "func", "misc"]
+#: What rewritten sentences have beside FIELDS: enhanced edges ('head:rel|...'), the last id of a super-token (null on others), facts of the sentence as JSON.
+EXTRA = ["deps", "upto", "meta"]
 LATER = 1000
 
+_NODE_TEST = re.compile(r"(#S:[A-Za-z_]+|\w+)(!?)=/((?:[^/\\]|\\.)*)/")
+_RELATION = re.compile(r">|~|\.(?:\*|\d+(?:,\d+)?)?|:(\w+)==")
+_SET = re.compile(r"#(\d+):(\w+)([+,-]?)=([^;]*)")
+_PLAIN = re.compile(r"[^\\.^$*+?{}\[\]|()]*")
+
+
+@dataclass(frozen=True)
+class Test:
+    """One test of a node; groups: how many groups its pattern captures."""
+
+    field: str
+    negative: bool
+    pattern: str
+    groups: int
+    holds: Callable[[str], bool]
+    captured: Callable[[str], tuple]
+
+    def __reduce__(self):  # functions are made again on the other side
+        return make_test, (self.field, self.negative, self.pattern)
+
+
+def make_test(field: str, negative: bool, pattern: str) -> Test:
+    """A test in its cheapest form: always true, equality, membership in a list of words, or a pattern."""
+    compiled = re.compile(pattern)
+    words = pattern.removeprefix("(?:").removesuffix(")").split("|") if pattern.startswith("(?:") else pattern.split("|")
+    if pattern == ".*":
+        holds = lambda v: True
+    elif _PLAIN.fullmatch(pattern):
+        holds = pattern.__eq__
+    elif all(_PLAIN.fullmatch(w) for w in words):
+        holds = frozenset(words).__contains__
+    else:
+        holds = lambda v: compiled.fullmatch(v) is not None
+    test = holds if not negative else lambda v: not holds(v)
+    return Test(field, negative, pattern, compiled.groups, test, lambda v: compiled.fullmatch(v).groups(""))
+
 
 @dataclass(frozen=True)
 class Rule:
-    nodes: tuple[tuple[tuple[str, bool, re.Pattern], ...], ...]
+    nodes: tuple[tuple[Test, ...], ...]
     relations: tuple[tuple[int, str, int], ...]
     actions: tuple[str, ...]
+    text: str = ""
+
+    def order(self) -> list[int]:
+        """Nodes in the order in which they are looked for: the most selective first, then those that a relation ties to them."""
+        cost = [min((_cost(t) for t in node), default=9) for node in self.nodes]
+        out: list[int] = []
+        while len(out) < len(self.nodes):
+            tied = {b for a, _, b in self.relations if a in out} | {a for a, _, b in self.relations if b in out}
+            out.append(min((i for i in range(len(self.nodes)) if i not in out), key=lambda i: (bool(out) and i not in tied, cost[i], i)))
+        return out
+
+
+def _cost(test: Test) -> int:
+    """0 for a test that few tokens pass, up to 9."""
+    if test.pattern == ".*":
+        return 9
+    exact = bool(_PLAIN.fullmatch(test.pattern))
+    return (0 if test.field in ("form", "lemma") else 2 if test.field != "func" else 1) + (0 if exact else 3) + (4 if test.negative else 0)
+
+
+def _split_outside_patterns(text: str, separator: str) -> list[str]:
+    return [p for p in re.findall(rf"(?:/(?:[^/\\]|\\.)*/|[^{separator}/])+", text)]
+
+
+def _parse_node(text: str) -> tuple[Test, ...]:
+    out = []
+    for part in _split_outside_patterns(text.strip(), "&"):
+        m = _NODE_TEST.fullmatch(part.strip())
+        field = m and (m[1] if m[1].startswith("#S:") else ALIASES.get(m[1]))
+        if not field or field == "position" and m[3] not in ("first", "last", "mid"):
+            raise ValueError(f"invalid node definition: {part!r}")
+        out.append(make_test(field, m[2] == "!", m[3]))
+    if not out:
+        raise ValueError(f"invalid node definition: {text!r}")
+    return tuple(out)
+
+
+def _parse_relations(text: str, nodes: int) -> tuple[tuple[int, str, int], ...]:
+    """Pairs of places (from 0) with the operator between them."""
+    out = []
+    for chain in (c.strip() for c in text.split(";")):
+        if chain == "none":
+            if nodes > 1 or ";" in text:
+                raise ValueError("relation 'none' is for rules with one node")
+            continue
+        parts = re.split(r"#(\d+)", chain)
+        operators = [parts[i].strip() for i in range(2, len(parts) - 2, 2)]
+        m = _RELATION.fullmatch(operators[0]) if operators else None
+        if parts[0].strip() or not operators or parts[-1].strip() not in ("", f":{m and m[1]}") or not all(_RELATION.fullmatch(o) for o in operators):
+            raise ValueError(f"invalid relation: {chain!r}")
+        for k, operator in enumerate(operators):
+            own = _RELATION.fullmatch(operator)
+            if own[1] and own[1] not in ALIASES:
+                raise ValueError(f"unknown field in relation: {chain!r}")
+            out.append((int(parts[2 * k + 1]) - 1, operator, int(parts[2 * k + 3]) - 1))
+    if any(not 0 <= i < nodes for a, _, b in out for i in (a, b)):
+        raise ValueError(f"relation names a node that is not there: {text!r}")
+    return tuple(out)
+
+
+def _check_action(action: str, nodes: int) -> None:
+    m = re.fullmatch(r"#(\d+)(?:>|~|><)#(\d+)", action) or _SET.fullmatch(action)
+    if m:
+        named = [int(m[1]), *([int(m[2])] if m[2].isdigit() else [])]
+        if not all(1 <= i <= nodes for i in named) or not m[2].isdigit() and m[2] not in ALIASES and m[2] != "split":
+            raise ValueError(f"invalid action: {action!r}")
+        if not m[2].isdigit() and m[2] == "split" and "|" not in action:
+            raise ValueError(f"split without split points: {action!r}")
+    elif not re.fullmatch(r"#S:[A-Za-z_]+=.+|last|once", action):
+        raise ValueError(f"invalid action: {action!r}")
+
+
+def make_rule(nodes: str, relations: str = "none", actions: str = "") -> Rule:
+    """A checked rule from its three columns."""
+    parsed = tuple(_parse_node(n) for n in _split_outside_patterns(nodes, ";"))
+    own = tuple(a.strip() for a in actions.split(";") if a.strip() and a.strip() != "none")
+    for action in own:
+        _check_action(action, len(parsed))
+    return Rule(parsed, _parse_relations(relations, len(parsed)), own, f"{nodes}\t{relations}\t{actions}")
 
 
 def parse_rules(text: str) -> list[Rule]:
-    """Lines 'nodes TAB relations TAB actions'; ';' and '#' begin comments; '{x}=/re/' defines a variable."""
+    """Rules of a file: ';' and '#' begin comments (but '#S:' a rule); '{x}=/re/' defines a variable for what follows. A malformed line is an error that names it."""
     variables, out = {}, []
-    for line in text.splitlines():
+    for number, line in enumerate(text.splitlines(), 1):
         line = line.strip()
-        if not line or line[0] in ";" or line[0] == "#" and not line.startswith("#S:"):
+        if not line or line[0] == ";" or line[0] == "#" and not line.startswith("#S:"):
             continue
-        if m := re.fullmatch(r"\{(\w+)\}=/(.*)/", line):
+        if m := re.fullmatch(r"\{([^{}]+)\}=/(.*)/", line):
             variables[m[1]] = m[2]
             continue
         for k, v in variables.items():
             line = line.replace("{" + k + "}", v)
-        nodes, relations, actions = (line.split("\t") + ["none"])[:3]
-        parsed = []
-        for node in nodes.split(";"):
-            own = []
-            for test in re.findall(r"(\w+)(!?)=/((?:[^/\\]|\\.)*)/", node):
-                own.append((ALIASES[test[0]], test[1] == "!", re.compile(f"(?:{test[2]})$")))
-            parsed.append(tuple(own))
-        out.append(Rule(tuple(parsed), _relations(relations), tuple(a.strip() for a in actions.split(";") if a.strip() and a.strip() != "none")))
+        columns = line.split("\t")
+        if len(columns) != 3:
+            raise ValueError(f"line {number}: a rule has three columns")
+        try:
+            out.append(make_rule(*columns))
+        except (ValueError, re.error) as e:
+            raise ValueError(f"line {number}: {e}") from e
     return out
 
 
-def _relations(text: str) -> tuple[tuple[int, str, int], ...]:
-    """Pairs of a chain such as '#1>#2.#3'; operators: > dominates, . next, .n at distance n, .n,m within, .* anywhere later, :field== equal."""
-    out = []
-    for chain in text.split(";"):
-        parts = re.split(r"#(\d+)", chain.strip())
-        for i in range(1, len(parts) - 2, 2):
-            out.append((int(parts[i]) - 1, parts[i + 1].strip(), int(parts[i + 2]) - 1))
-    return tuple(out)
+def validate(text: str) -> list[str]:
+    """What is wrong with the rules of a file, line by line; an empty list if nothing is."""
+    report, defined = [], []
+    for number, line in enumerate(text.splitlines(), 1):
+        if re.fullmatch(r"\s*\{[^{}]+\}=/.*/\s*", line):
+            defined.append(line)
+            continue
+        try:
+            parse_rules("\n".join([*defined, line]))
+        except ValueError as e:
+            report.append(f"line {number}: {str(e).split(': ', 1)[1]}")
+    return report
+
+
+class RuleSet:
+    """Rules put together by calls: texts, lists of columns, variables."""
+
+    def __init__(self, text: str = ""):
+        self.variables: dict[str, str] = {}
+        self.rules: list[Rule] = parse_rules(text)
+
+    def variable(self, name: str, pattern: str) -> RuleSet:
+        self.variables[name] = pattern
+        return self
+
+    def add(self, *columns: str) -> RuleSet:
+        """One rule as a line or as three columns."""
+        line = "\t".join(columns)
+        defined = "\n".join("{%s}=/%s/" % kv for kv in self.variables.items())
+        self.rules += parse_rules(f"{defined}\n{line}")
+        return self
+
+
+class Sentence:
+    """Tokens in order, super-tokens among them (with upto), and facts of the sentence."""
+
+    def __init__(self, tokens: list[dict], meta: dict[str, str] | None = None):
+        self.tokens = [{"storage": "_", "storage2": "_", "storage3": "_", "upto": None, **t} for t in tokens]
+        self.meta = dict(meta or {})
+        for t in self.tokens:
+            own = [e.split(":", 1) for e in (t.get("deps") or "_").split("|") if ":" in e]
+            t["edges"] = [[int(h), r] for h, r in own]
 
+    def words(self) -> list[dict]:
+        return [t for t in self.tokens if t["upto"] is None]
 
-def _holds(a: dict, op: str, b: dict) -> bool:
+    def values(self, t: dict, field: str, last: int) -> list[str]:
+        """Values of a field: several for enhanced edges."""
+        if field.startswith("#S:"):
+            return [self.meta.get(field[3:], "_")]
+        if field in ("edep", "ehead", "edom"):
+            return [{"edep": r or "_", "ehead": str(h), "edom": f"{h}||{r or '_'}"}[field] for h, r in t["edges"]] or ["_"]
+        if field == "deps":
+            return [edges_text(t["edges"])]
+        if field == "position":
+            return [*(["first"] if t["id"] == 1 else []), *(["last"] if t["id"] == last else [])] or ["mid"]
+        return [str(t[field]) if t[field] is not None else "_"]
+
+
+def edges_text(edges: list[list]) -> str:
+    """Enhanced edges by head; of edges to one head the longest label stays."""
+    best: dict[int, str] = {}
+    for h, r in edges:
+        if len(r or "_") >= len(best.get(h, "")):
+            best[h] = r or "_"
+    return "|".join(f"{h}:{best[h]}" for h in sorted(best)) or "_"
+
+
+def _holds(sentence: Sentence, a: dict, op: str, b: dict) -> bool:
     if op == ">":
         return b["head"] == a["id"]
+    if op == "~":
+        return any(h == a["id"] for h, _ in b["edges"])
     if op.startswith("."):
-        lo, hi = (1, LATER) if op == ".*" else (1, 1) if op == "." else (int(op[1:].split(",")[0]), int(op[1:].split(",")[-1]))
+        lo, hi = _reach(op)
         return lo <= b["id"] - a["id"] <= hi
-    if m := re.fullmatch(r":(\w+)==", op):
-        return a[ALIASES[m[1]]] == b[ALIASES[m[1]]]
-    raise ValueError(f"unknown relation {op}")
-
-
-def _solutions(rule: Rule, tokens: list[dict]) -> list[list[dict]]:
-    found = [[t for t in tokens if all(bool(p.match(str(t[f] if t[f] is not None else "_"))) != negative for f, negative, p in node)] for node in rule.nodes]
-    if not all(found):
-        return []
-    out: list[list[dict]] = [[]]
-    for k, options in enumerate(found):
-        own = [r for r in rule.relations if max(r[0], r[2]) == k]
-        grown = []
-        for s, t in product(out, options):
-            if all(t is not x for x in s):
-                s2 = [*s, t]
-                if all(_holds(s2[a], op, s2[b]) for a, op, b in own):
-                    grown.append(s2)
-        out = grown
-    return out
+    field = ALIASES[op[1:-2]]
+    return sentence.values(a, field, 0) == sentence.values(b, field, 0)
+
+
+def _reach(op: str) -> tuple[int, int]:
+    if op == ".":
+        return 1, 1
+    return (1, LATER) if op == ".*" else (int(op[1:].split(",")[0]), int(op[1:].split(",")[-1]))
+
+
+def solutions(rule: Rule, sentence: Sentence) -> list[list[dict]]:
+    """All ways to give each node a token of its own so that tests and relations hold, by the places of the nodes' tokens.
+
+    A node that '>' or an order relation ties to one found before is looked for among that token's children, head or neighbours only.
+    """
+    words = sentence.words()
+    last = words[-1]["id"] if words else 0
+    by_id = {t["id"]: t for t in words}
+    children: dict[int, list[dict]] = {}
+    for t in words:
+        children.setdefault(t["head"], []).append(t)
+    passes: dict[tuple[int, int], bool] = {}
+
+    def fits(k: int, t: dict) -> bool:
+        key = k, t["id"]
+        if key not in passes:
+            once = any(test.field.startswith("#S:") for test in rule.nodes[k])
+            passes[key] = (not once or t is words[0]) and all((any if not test.negative else all)(test.holds(v) for v in sentence.values(t, test.field, last)) for test in rule.nodes[k])
+        return passes[key]
+
+    def candidates(k: int, found: dict[int, dict]) -> list[dict]:
+        for a, op, b in rule.relations:
+            if b == k and a in found:
+                if op == ">":
+                    return children.get(found[a]["id"], [])
+                if op[0] == ".":
+                    lo, hi = _reach(op)
+                    return [by_id[i] for i in range(found[a]["id"] + lo, min(found[a]["id"] + hi, last) + 1) if i in by_id]
+            if a == k and b in found:
+                if op == ">":
+                    return [by_id[found[b]["head"]]] if found[b]["head"] in by_id else []
+                if op[0] == ".":
+                    lo, hi = _reach(op)
+                    return [by_id[i] for i in range(max(found[b]["id"] - hi, 1), found[b]["id"] - lo + 1) if i in by_id]
+        return words
+
+    order, out = rule.order(), []
+
+    def extend(depth: int, found: dict[int, dict]) -> None:
+        if depth == len(order):
+            out.append([found[k] for k in range(len(order))])
+            return
+        k = order[depth]
+        for t in candidates(k, found):
+            if fits(k, t) and all(t is not x for x in found.values()):
+                more = {**found, k: t}
+                if all(_holds(sentence, more[a], op, more[b]) for a, op, b in rule.relations if k in (a, b) and a in more and b in more):
+                    extend(depth + 1, more)
+
+    extend(0, {})
+    return sorted(out, key=lambda s: [t["id"] for t in s])
 
 
 def _features(value: str | None) -> dict[str, str]:
     return dict(x.split("=", 1) for x in (value or "_").split("|") if "=" in x)
 
 
-def _act(action: str, s: list[dict], groups: list[str]) -> None:
-    if m := re.fullmatch(r"#(\d+)>#(\d+)", action):
-        a, b = s[int(m[1]) - 1], s[int(m[2]) - 1]
-        if a is not b:
+def _feature_text(have: dict[str, str]) -> str:
+    return "|".join(f"{k}={have[k]}" for k in sorted(have, key=str.lower)) or "_"
+
+
+def _filled(value: str, groups: list[str]) -> str:
+    """$n by the n-th captured group, $nU and $nL in upper and lower case."""
+    return re.sub(r"\$(\d+)([UL]?)", lambda g: {"U": str.upper, "L": str.lower}.get(g[2], str)(groups[int(g[1]) - 1]), value)
+
+
+def _set(t: dict, field: str, mode: str, value: str) -> None:
+    if field == "edep":
+        open_edges = [e for e in t["edges"] if e[1] is None] or t["edges"][-1:]
+        if not value:
+            t["edges"] = []
+        elif open_edges:
+            open_edges[0][1] = value
+    elif field == "ehead":
+        t["edges"].append([int(value), None])
+    elif field == "edom":
+        head, _, rel = value.partition("||")
+        t["edges"] = [e for e in t["edges"] if e[0] != int(head) or (e[1] or "").startswith(rel) or rel.startswith(e[1] or "")] + [[int(head), rel]]
+    elif not mode:
+        t[field] = int(value) if field in ("head", "id") else value
+    else:
+        have, new = _features(t[field]), _features(value)
+        if mode == "+":
+            have |= new
+        elif mode == "-":
+            have = {k: v for k, v in have.items() if k not in re.split(r"[|,]", value)}
+        else:
+            have |= {k: ",".join(sorted({*filter(None, have.get(k, "").split(",")), *v.split(",")})) for k, v in new.items()}
+        t[field] = _feature_text(have)
+
+
+def _join(sentence: Sentence, a: dict, b: dict) -> None:
+    """A super-token over a to b; a second one over the same tokens is not made."""
+    if any(t["upto"] == b["id"] and t["id"] == a["id"] for t in sentence.tokens if t["upto"] is not None):
+        return
+    misc = "SpaceAfter=No" if "SpaceAfter=No" in (b["misc"] or "") else "_"
+    for t in (a, b):
+        t["misc"] = _feature_text({k: v for k, v in _features(t["misc"]).items() if k != "SpaceAfter"})
+    blank = dict.fromkeys(("lemma", "pos", "cpos", "morph", "func", "storage", "storage2", "storage3"), "_")
+    new = {**blank, "id": a["id"], "upto": b["id"], "form": a["form"] + b["form"], "head": None, "misc": misc, "edges": []}
+    sentence.tokens.insert(next(i for i, t in enumerate(sentence.tokens) if t is a), new)
+
+
+def _cut(sentence: Sentence, t: dict, pieces: list[str]) -> None:
+    """The token becomes its pieces; what follows is numbered on, and heads, edges and super-tokens follow."""
+    more, at = len(pieces) - 1, t["id"]
+    shift = lambda i: i + more if i is not None and i > at else i
+    for x in sentence.tokens:
+        x["head"], x["edges"] = shift(x["head"]), [[shift(h), r] for h, r in x["edges"]]
+        if x["upto"] is not None:
+            x["upto"] = x["upto"] + more if x["upto"] >= at else x["upto"]
+        x["id"] = shift(x["id"])
+    glued = "SpaceAfter=No" in (t["misc"] or "")
+    t["form"], t["misc"] = pieces[0], _feature_text(_features(t["misc"]) | {"SpaceAfter": "No"})
+    place = next(i for i, x in enumerate(sentence.tokens) if x is t)
+    for k, piece in enumerate(pieces[1:], 1):
+        blank = dict.fromkeys(("lemma", "pos", "cpos", "morph", "storage", "storage2", "storage3"), "_")
+        misc = "SpaceAfter=No" if k < more or glued else "_"
+        sentence.tokens.insert(place + k, {**blank, "id": at + k, "upto": None, "form": piece, "head": at, "func": "dep", "misc": misc, "edges": []})
+
+
+def _act(sentence: Sentence, action: str, s: list[dict], groups: list[str]) -> None:
+    if m := re.fullmatch(r"#(\d+)(>|~|><)#(\d+)", action):
+        a, b = s[int(m[1]) - 1], s[int(m[3]) - 1]
+        if a is b:
+            return
+        if m[2] == ">":
             b["head"] = a["id"]
+        elif m[2] == "~":
+            b["edges"].append([a["id"], None])
+        else:
+            _join(sentence, a, b)
         return
-    m = re.fullmatch(r"#(\d+):(\w+)([+,-]?)=(.*)", action)
-    if not m:
-        raise ValueError(f"unknown action {action}")
-    t, name, value = s[int(m[1]) - 1], ALIASES[m[2]], m[4]
-    value = re.sub(r"\$(\d+)([UL]?)", lambda g: {"U": str.upper, "L": str.lower}.get(g[2], str)(groups[int(g[1]) - 1]), value)
-    if not m[3]:
-        t[name] = int(value) if name == "head" else value
+    if action.startswith("#S:"):
+        key, value = action[3:].split("=", 1)
+        sentence.meta[key] = _filled(value, groups)
         return
-    have = _features(t[name])
-    if m[3] == "+":
-        have |= _features(value)
-    elif m[3] == "-":
-        have = {k: v for k, v in have.items() if k not in re.split(r"[|,]", value)}
+    m = _SET.fullmatch(action)
+    t, value = s[int(m[1]) - 1], _filled(m[4], groups)
+    if m[2] == "split":
+        _cut(sentence, t, value.split("|"))
     else:
-        for k, v in _features(value).items():
-            have[k] = ",".join(sorted({*filter(None, have.get(k, "").split(",")), *v.split(",")}))
-    t[name] = "|".join(f"{k}={have[k]}" for k in sorted(have, key=str.lower)) or "_"
+        _set(t, ALIASES[m[2]], m[3], value)
+
+
+def _groups(rule: Rule, sentence: Sentence, s: list[dict]) -> list[str]:
+    """What the tests captured, in the order of nodes."""
+    out, last = [], s[-1]["id"]
+    for node, t in zip(rule.nodes, s, strict=True):
+        for test in node:
+            if not test.negative and test.groups:
+                out += next(test.captured(v) for v in sentence.values(t, test.field, last) if test.holds(v))
+    return out
 
 
-def rewrite_sentence(tokens: list[dict], rules: list[Rule]) -> list[dict]:
-    """Rules in order. All solutions of one are found before its actions run: action by action, each on every solution. 'once' keeps the first solution, 'last' ends the sentence."""
-    tokens = [dict(t) for t in tokens]
+def apply_rules(sentence: Sentence, rules: list[Rule], trace: Callable[[Rule, Sentence], None] | None = None) -> Sentence:
+    """The sentence after all rules. 'once' ends the actions of a rule where it stands, 'last' the sentence's rules. trace is called after each rule."""
     for rule in rules:
-        solutions = _solutions(rule, tokens)
-        if "once" in rule.actions:
-            solutions = solutions[:1]
-        groups = []
-        for s in solutions:
-            own = []
-            for node, t in zip(rule.nodes, s, strict=True):
-                for f, negative, p in node:
-                    if not negative:
-                        own += [g or "" for g in p.match(str(t[f] if t[f] is not None else "_")).groups()]
-            groups.append(own)
-        for action in rule.actions:
-            if action not in ("once", "last"):
-                for s, g in zip(solutions, groups, strict=True):
-                    _act(action, s, g)
-        if solutions and "last" in rule.actions:
+        found = solutions(rule, sentence)
+        captured = [_groups(rule, sentence, s) for s in found]
+        stop = None
+        for s, groups in zip(found, captured, strict=True):
+            for action in rule.actions:
+                if action in ("once", "last"):
+                    stop = action
+                    break
+                _act(sentence, action, s, groups)
+            if stop:
+                break
+        if trace:
+            trace(rule, sentence)
+        if stop == "last":
             break
-    return tokens
+    return sentence
+
+
+def rewrite_sentence(tokens: list[dict], rules: list[Rule], trace: Callable[[Rule, Sentence], None] | None = None) -> list[dict]:
+    """Tokens (FIELDS, and EXTRA if given) after the rules; what is given stays as it was."""
+    meta = next((json.loads(t["meta"]) for t in tokens if t.get("meta")), {})
+    s = apply_rules(Sentence([{k: v for k, v in t.items() if k != "meta"} for t in tokens], meta), rules, trace)
+    facts = json.dumps(s.meta, sort_keys=True, ensure_ascii=False) if s.meta else None
+    return [{**{k: t[k] for k in FIELDS}, "deps": edges_text(t["edges"]), "upto": t["upto"], "meta": facts} for t in s.tokens]
+
+
+_KINDS = {"id": pa.int32(), "head": pa.int32(), "upto": pa.int32()}
+
+
+def _rewriter(rules: list[Rule], keys: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sentences = [rewrite_sentence(tokens, rules) for tokens in batch.column("tokens").to_pylist()]
+            of = pa.array([i for i, s in enumerate(sentences) for _ in s], pa.int64())
+            columns = [batch.column(k).take(of) for k in keys]
+            columns += [pa.array([t[f] for s in sentences for t in s], _KINDS.get(f, pa.string())) for f in [*FIELDS, *EXTRA]]
+            yield pa.RecordBatch.from_arrays(columns, [*keys, *FIELDS, *EXTRA])
+
+    return run
 
 
 def rewrite_trees(tokens: DataFrame, rules: list[Rule], keys: list[str]) -> DataFrame:
-    """tokens: keys of a sentence and FIELDS. Each sentence is rewritten on its own."""
-    import pandas as pd
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("id")
-        own = [{k: (None if pd.isna(v) else int(v) if k in ("id", "head") else v) for k, v in r.items()} for r in frame[FIELDS].to_dict("records")]
-        done = pd.DataFrame(rewrite_sentence(own, rules), columns=FIELDS)
-        for k in keys:
-            done[k] = frame[k].iloc[0]
-        return done[[*keys, *FIELDS]]
-
-    return tokens.select(*keys, *FIELDS).groupBy(*keys).applyInPandas(run, tokens.select(*keys, *FIELDS).schema)
+    """tokens: keys of a sentence, FIELDS, and of EXTRA what there is. Gives keys, FIELDS and EXTRA; each sentence is rewritten on its own."""
+    have = [c for c in [*FIELDS, *EXTRA] if c in tokens.columns]
+    typed = [F.col(c).cast("int" if c in _KINDS else "string").alias(c) for c in have]
+    place = F.struct("id", F.col("upto").isNull().alias("word")) if "upto" in have else F.struct("id")
+    listed = F.transform(F.array_sort(F.collect_list(F.struct(place.alias("__place"), F.struct(*typed).alias("t")))), lambda x: x["t"])
+    grouped = tokens.groupBy(*keys).agg(listed.alias("tokens"))
+    kinds = [f"`{k}` {tokens.schema[k].dataType.simpleString()}" for k in keys]
+    kinds += [f"{f} {'int' if f in _KINDS else 'string'}" for f in [*FIELDS, *EXTRA]]
+    return grouped.mapInArrow(_rewriter(rules, keys), ", ".join(kinds))
+
+
+def without_super_tokens(tokens: DataFrame) -> DataFrame:
+    return tokens.where("upto IS NULL")

@@ -10,6 +10,7 @@ import pytest
 from lectern.functions import text as T
 from lectern.operators import lexicon as L
 from lectern.operators.segmentation import Grammar, align, grammar_segment, merge_groups, stacked
+from lectern.operators import trees
 from lectern.operators.trees import FIELDS, parse_rules, rewrite_sentence, rewrite_trees
 from lectern.plans.catalog import ORACLE_SQL, QUERIES
 from lectern.sources import formats as S
@@ -162,3 +163,28 @@ def test_stream(spark, tmp_path):
     q = stream_units(document_stream(spark, f"file://{tmp_path}")).writeStream.format("memory").queryName("units_seen").trigger(availableNow=True).start()
     q.awaitTermination()
     assert [r.clean for r in spark.table("units_seen").orderBy("i").collect()] == ["one", "two", "three"]
+
+
+def test_malformed_rules_are_errors():
+    for bad in ("pos=N.*\tnone\t#1:func=x", "pos=/N/\t#1>#2\t#1:func=x", "pos=/N/;pos=/V/\tnone\t#1:func=x", "pos=/N/\tnone\t#2:func=x", "pos=/N/\tnone\t#1:split=a", "colour=/N/\tnone\t#1:func=x", "pos=/(/\tnone\t#1:func=x", "pos=/N/\t#1:func=x", "pos=/N/;pos=/V/\t#1?#2\t#1:func=x"):
+        with pytest.raises(ValueError, match="line 1"):
+            trees.parse_rules(bad)
+    assert trees.validate("; c\npos=/N/\tnone\t#1:func=x\npos=N\tnone\tlast") == ["line 3: invalid node definition: 'pos=N'"]
+    assert len(trees.parse_rules("form=/a;b&c/&pos!=/x|y/;lemma=/.*/\t#1.*#2\t#1:func=$1;last".replace("$1", "q"))) == 1
+
+
+def test_tree_control_flow_and_trace():
+    tokens = [dict(zip(FIELDS, t, strict=True)) for t in SENTENCE]
+    seen = []
+    rules = trees.parse_rules("form=/.*/\tnone\t#1:func=a;once\nfunc=/a/\tnone\t#1:lemma=first;last\nform=/.*/\tnone\t#1:func=z")
+    out = rewrite_sentence(tokens, rules, lambda rule, s: seen.append((rule.text.split("\t")[2], [t["func"] for t in s.tokens])))
+    assert [t["func"] for t in out] == ["a", "nsubj", "root"] and out[0]["lemma"] == "first" and [r for r, _ in seen] == ["#1:func=a;once", "#1:lemma=first;last"]
+
+
+def test_split_renumbers_heads_edges_and_ranges():
+    tokens = [dict(zip(FIELDS, t, strict=True)) for t in SENTENCE]
+    tokens[0]["deps"] = "3:x"
+    rules = trees.parse_rules("form=/the/;form=/cat/\t#1.#2\t#1><#2\nform=/c(at)/\tnone\t#1:split=k|$1\nform=/at/;form=/sleeps/\t#1.#2\t#1~#2;#2:edep=late;#1>#1")
+    out = rewrite_sentence(tokens, rules)
+    assert [(t["id"], t["upto"], t["form"], t["head"]) for t in out] == [(1, 3, "thecat", None), (1, None, "the", 2), (2, None, "k", 4), (3, None, "at", 2), (4, None, "sleeps", 0)]
+    assert out[1]["deps"] == "4:x" and out[4]["deps"] == "3:late" and out[2]["misc"] == "SpaceAfter=No"
