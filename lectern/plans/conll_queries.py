@@ -160,7 +160,7 @@ m AS (SELECT b.doc_id, b.sent, b.id, v.id AS new_head FROM r3 b JOIN r3 a ON a.d
 
 @query(f"""{_STEP} SELECT r3.doc_id, r3.sent, r3.id, coalesce(new_head, head)::INT AS head, f2 AS func,
 CASE WHEN c AND def THEN 'Case=Yes|Def=Yes' WHEN c THEN 'Case=Yes' WHEN def THEN 'Def=Yes' ELSE '_' END AS morph,
-CASE WHEN r3.id = 1 THEN 'First=' || upper(lemma[1]) || CASE WHEN art THEN '|Next=n' ELSE '' END WHEN art THEN 'Next=n' ELSE '_' END AS misc,
+CASE WHEN r3.id = 1 THEN 'First=' || replace(upper(lemma[1]), '|', '') || CASE WHEN art THEN '|Next=n' ELSE '' END WHEN art THEN 'Next=n' ELSE '_' END AS misc,
 CASE WHEN r3.id = 2 AND f2 = 'amod' AND NOT c AND NOT def THEN 'ADJ' ELSE '_' END AS cpos, '{{"opened": "yes"}}' AS meta FROM r3 LEFT JOIN m USING (doc_id, sent, id)""")
 def q72_tree_rules(spark, d):
     """Six rules of several nodes over every sentence, by the rule engine; SQL says what each does by joins."""
