@@ -17,14 +17,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.attention_model import LOT, SLOTS, WINDOW, Model, first_weights
 from lectern.llm.batches import text_slices
 from lectern.llm.exact_dedup import joined_bytes
-from lectern.llm.subwords import word_encoder
-from lectern.llm.token_store import default_tokenizer
+from lectern.llm.subwords import Slice, word_encoder
+from lectern.llm.token_store import ENCODE_BYTES, default_tokenizer
 from lectern.plans.durable import checkpointed, new_folder
 
 TAIL, END = SLOTS - 1, 0
@@ -44,9 +45,9 @@ def _encoded(path: str, kind: pa.DataType):
     """Per row its lower-cased text, words (with the end) and ids; beside them, rows with the counts of words of training texts."""
     names = ["doc_id", "held", "t", "n_tokens", "ids", "word", "c"]
 
-    def doc_rows(batch: pa.RecordBatch, texts: list[bytes], words: list[list[bytes]], ids: list[bytes]) -> pa.RecordBatch:
+    def doc_rows(batch: pa.RecordBatch, texts: pa.Array, found: Slice) -> pa.RecordBatch:
         n = len(texts)
-        columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(w) + 1 for w in words], pa.int64()), pa.array(ids, pa.binary()), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64())]
+        columns = [batch.column(0), batch.column(1), texts, pa.array(found.word_counts() + 1, pa.int64()), pa.array([x.tobytes() for x in found.texts()], pa.binary()), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64())]
         return pa.RecordBatch.from_arrays(columns, names)
 
     def count_rows(counts: Counter) -> pa.RecordBatch:
@@ -56,15 +57,14 @@ def _encoded(path: str, kind: pa.DataType):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, counts = word_encoder(path), Counter()
-        for batch in text_slices(batches, 2):
-            data, at = joined_bytes(batch.column(2))
-            data = data.lower()
-            texts = [data[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-            words = [t.split() for t in texts]
-            for own, held in zip(words, batch.column(1).to_pylist(), strict=True):
-                if not held:
-                    counts.update(own)
-            yield doc_rows(batch, texts, words, encoder.ids(words))
+        for batch in text_slices(batches, 2, ENCODE_BYTES, 10_000):
+            texts = pc.ascii_lower(batch.column(2).fill_null(""))
+            found = encoder.slice(texts)
+            learned = np.repeat(~batch.column(1).to_numpy(zero_copy_only=False), np.diff(found.word_ends))
+            for word, n in zip(found.words, np.bincount(found.codes[learned], minlength=len(found.words)).tolist(), strict=True):
+                if n and word:
+                    counts[word] += n
+            yield doc_rows(batch, texts, found)
             if len(counts) > COUNTED_WORDS:
                 yield count_rows(counts)
                 counts.clear()
@@ -80,10 +80,9 @@ def _id_counts(path: str):
         encoder = word_encoder(path)
         total = np.zeros(encoder.tokenizer.get_vocab_size(), np.int64)
         for batch in text_slices(batches, 0):
-            data, at = joined_bytes(batch.column(0))
-            ids = encoder.ids([[data[a:b]] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)])
-            many = np.repeat(batch.column(1).to_numpy(), [len(x) // encoder.dtype.itemsize for x in ids])
-            total += np.bincount(np.frombuffer(b"".join(ids), encoder.dtype), many, len(total)).astype(np.int64)
+            found = encoder.slice(batch.column(0))
+            many = np.repeat(batch.column(1).to_numpy(), np.diff(found.ends))
+            total += np.bincount(found.ids, many, len(total)).astype(np.int64)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["id", "n"])
 

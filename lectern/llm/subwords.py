@@ -1,19 +1,23 @@
 """Subword ids of public tokenizers, with a cache of words.
 
 The tokenizer named word_bpe drops white space and lower-cases; no id spans ASCII white space, so a text's
-ids are those of its words in turn. Words of a worker's earlier batches are not encoded again.
+ids are those of its words in turn. Words of a worker's earlier batches are not encoded again, and a slice of
+texts looks each of its distinct words up once.
 """
 
 from __future__ import annotations
 
 import os
 from functools import lru_cache
-from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 CACHED_WORDS = 500_000
 _MARKS = b".,#%&*$|;:!?"
+_MARK_BYTES = frozenset(_MARKS[i : i + 1] for i in range(len(_MARKS)))
 
 
 class WordEncoder:
@@ -45,27 +49,69 @@ class WordEncoder:
         found = self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)
         return out | {pieces[i]: np.array(e.ids, self.dtype).tobytes() for i, e in zip(rest, found, strict=True)}
 
-    def ids(self, documents: list[list[bytes]]) -> list[bytes]:
-        """Per document (its words between ASCII white space): its ids as little-endian integers of self.dtype."""
+    def _pieces(self, words: list[bytes]) -> list[bytes]:
+        """Per word, of which each is named once: its ids as little-endian integers of self.dtype."""
         known = self.known
-        new, found = set(chain.from_iterable(documents)).difference(known), {}
+        out = list(map(known.get, words))
+        new = [i for i, x in enumerate(out) if x is None]
         if new:
-            # Marks behind a letter or digit are tokens of their own, so that word and marks are looked up apart.
-            stems = {w: stem for w in new if w[-1] in _MARKS and (stem := w.rstrip(_MARKS))[-1:].isalnum()} if self.ends is not None else {}
-            pieces = new.difference(stems)
-            pieces.update(stems.values(), [w[len(stem) :] for w, stem in stems.items()])
-            found = self._encoded(list(pieces.difference(known)))
-            known.update(found)
-            both = {w: known[stem] + known[w[len(stem) :]] for w, stem in stems.items()}
-            known.update(both)
-            found |= both
-        get = known.__getitem__
-        out = [b"".join(map(get, words)) for words in documents]
-        if len(known) > CACHED_WORDS:  # the words that come first are the frequent ones: they stay
-            for w in found:
-                del known[w]
+            fresh, stems = {}, {}
+            if self.ends is not None:  # marks behind a letter or digit are tokens of their own, so that word and marks are looked up apart
+                stems = {i: stem for i in new if (w := words[i])[-1:] in _MARK_BYTES and (stem := w.rstrip(_MARKS))[-1:].isalnum()}
+            parts = {words[i] for i in new if i not in stems}
+            for i, stem in stems.items():
+                parts.add(stem)
+                parts.add(words[i][len(stem) :])
+            fresh = self._encoded(list(parts.difference(known)))
+            of = lambda w: fresh.get(w) or known.get(w) or b""
+            for i in new:
+                stem = stems.get(i)
+                out[i] = of(words[i]) if stem is None else of(stem) + of(words[i][len(stem) :])
+            if len(known) < CACHED_WORDS:  # the words that come first are the frequent ones: they stay
+                known.update(fresh)
+                known.update((words[i], out[i]) for i in stems)
         return out
 
+    def lowered(self, texts: pa.Array) -> pa.Array:
+        """Texts with A-Z in lower case if the vocabulary is of lower-cased text, but for texts with names of special tokens."""
+        texts = texts.fill_null("")
+        if self.ends is None:
+            return texts
+        return pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+
+    def slice(self, texts: pa.Array) -> Slice:
+        """Ids of whole texts (strings without nulls), and their distinct words."""
+        lists = pc.ascii_split_whitespace(texts)
+        offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        coded = lists.flatten().dictionary_encode()
+        codes, words = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.cast(pa.binary()).to_pylist()
+        pieces = self._pieces(words)
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces)) // self.dtype.itemsize
+        first, n = np.cumsum(size) - size, size[codes]
+        upto = np.concatenate([[0], np.cumsum(n)])
+        at = np.repeat(first[codes] - upto[:-1], n) + np.arange(upto[-1])
+        return Slice(np.frombuffer(b"".join(pieces), self.dtype)[at], upto[offsets], words, codes, offsets)
+
+
+class Slice(NamedTuple):
+    """Of some texts: all their ids, where each text's begin and end among them, distinct words (b'' among them for white space at an end), the words' codes, and where each text's begin."""
+
+    ids: np.ndarray
+    ends: np.ndarray
+    words: list[bytes]
+    codes: np.ndarray
+    word_ends: np.ndarray
+
+    def texts(self) -> list[np.ndarray]:
+        """Each text's ids."""
+        return [self.ids[a:b] for a, b in zip(self.ends[:-1].tolist(), self.ends[1:].tolist(), strict=True)]
+
+    def word_counts(self) -> np.ndarray:
+        """How many words each text has."""
+        filled = np.array([bool(w) for w in self.words], bool)[self.codes] if self.words else np.empty(0, bool)
+        upto = np.concatenate([[0], np.cumsum(filled)])
+        return np.diff(upto[self.word_ends])
+
 
 @lru_cache(maxsize=4)
 def word_encoder(path: str) -> WordEncoder:

@@ -21,11 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.exact_dedup import chunk_ends, joined_bytes, rolling_cuts
+from lectern.llm.batches import text_slices
+from lectern.llm.exact_dedup import chunk_ends, rolling_cuts
 from lectern.llm.subwords import word_encoder
 from lectern.plans.durable import checkpointed, new_folder
 
 MIN_IDS, MAX_IDS, CUT_BITS = 256, 8192, 9
+#: Text encoded at a time.
+ENCODE_BYTES = 8 << 20
 _POLY = 0xEDB88320
 
 
@@ -71,15 +74,12 @@ def _encode(path: str, end_id: int, kind: pa.DataType):
 
         encoder, pack = word_encoder(path), zstandard.ZstdCompressor(level=1)
         gear = np.random.Generator(np.random.PCG64(20240502)).integers(0, 1 << 32, 1 << 16, dtype=np.uint32)
-        end, seen = np.array([end_id], encoder.dtype).tobytes(), set()
-        for batch in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
-            data, at = joined_bytes(batch.column(1))
-            if encoder.ends is not None and b"<|" not in data:  # this vocabulary is of lower-cased text, but for the names of special tokens
-                data = data.lower()
-            streams = [x + end for x in encoder.ids([data[a:b].split() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)])]
-            ids = np.frombuffer(b"".join(streams), encoder.dtype)
+        seen = set()
+        for batch in text_slices(batches, 1, ENCODE_BYTES, 10_000):
+            found = encoder.slice(encoder.lowered(batch.column(1)))
+            ids = np.insert(found.ids, found.ends[1:], encoder.dtype.type(end_id))
+            ends = (found.ends + np.arange(len(found.ends))).tolist()
             cuts = rolling_cuts(gear[ids & 0xFFFF], CUT_BITS, (1, 2, 4, 8))
-            ends = np.cumsum([0, *(len(s) // encoder.dtype.itemsize for s in streams)]).tolist()
             wide, recipes, fresh = ids.astype("<u4"), [], []
             for a, b in zip(ends[:-1], ends[1:], strict=True):
                 names, last = [], a
