@@ -51,7 +51,7 @@ def license_scan(docs: DataFrame, known: DataFrame | None = None, id_col: str =
     known = known.where("license_id IS NOT NULL AND text IS NOT NULL").select("license_id", _digest(canonical_lines(F.col("text"))).alias("digest"))
     known = known.where(F.col("digest") != F.sha2(F.lit(""), 256)).groupBy("digest").agg(F.min("license_id").alias("license_id"))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), canonical_lines(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("lines"))
-    rows = rows.select("row", "doc_id", _digest(F.col("lines")).alias("text_digest"), F.filter(F.transform(F.split("lines", "\n"), F.trim), lambda x: x != "").alias("lines"))
+    rows = rows.select("row", "doc_id", _digest(F.col("lines")).alias("text_digest"), F.filter(F.transform(F.split("lines", "\n"), lambda x: F.trim(x)), lambda x: x != "").alias("lines"))
     # The whole text's digest comes first, then its lines'; only it and the lines that are notices reach the exchange.
     units = rows.select("row", "doc_id", "text_digest", F.posexplode(F.concat(F.array("text_digest"), F.transform("lines", lambda x: F.sha2(x, 256)))).alias("place", "digest"))
     found = units.join(known, "digest", "left").where("place = 0 OR license_id IS NOT NULL")

@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from lectern.llm.attention_model import LOT, SLOTS, WINDOW, Model, first_weights
 from lectern.llm.batches import text_slices
 from lectern.llm.exact_dedup import joined_bytes
-from lectern.llm.subwords import Slice, word_encoder
-from lectern.llm.token_store import ENCODE_BYTES, default_tokenizer
+from lectern.llm.subwords import Slice, forget_words, word_encoder
+from lectern.llm.token_store import default_tokenizer
 from lectern.plans.durable import checkpointed, new_folder
 
 TAIL, END = SLOTS - 1, 0
@@ -39,6 +39,8 @@ POOL = 8192
 HOT_WORDS, HOT_BYTES = 1 << 18, 64
 #: Words counted by a task before it sends what it has.
 COUNTED_WORDS = 200_000
+#: Text encoded at a time.
+ENCODE_BYTES = 4 << 20
 
 
 def _encoded(path: str, kind: pa.DataType):
@@ -112,6 +114,7 @@ def _learner(weights, slot_of, dtype: str, turn: int):
     """One row: the weights after this task's windows of the turn, times how many these are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_words()
         model, slots, random = Model(weights.value), slot_of.value, np.random.Generator(np.random.PCG64(turn))
         seen, n, pool, size = 0, 0, [], 0
 
@@ -186,6 +189,7 @@ def score_ids(model: Model, tail: np.ndarray, slots: np.ndarray, documents: list
 
 def _score(model_data, hot_words, dtype: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_words()
         flat, slots, tail = model_data.value
         model, get = Model(flat), hot_words.value.get
         for batch in text_slices(batches, 1):

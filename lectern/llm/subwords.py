@@ -7,6 +7,7 @@ texts looks each of its distinct words up once.
 
 from __future__ import annotations
 
+import gc
 import os
 from functools import lru_cache
 from typing import NamedTuple
@@ -117,3 +118,9 @@ class Slice(NamedTuple):
 def word_encoder(path: str) -> WordEncoder:
     """The worker's own encoder for the file at path."""
     return WordEncoder(path)
+
+
+def forget_words() -> None:
+    """Frees the encoders of this worker, which later stages don't use."""
+    word_encoder.cache_clear()
+    gc.collect()

@@ -19,6 +19,7 @@ from lectern.llm.subwords import word_encoder
 ITEM = "the quick brown fox jumps over the lazy dog near the old mill. it then sleeps until noon by the door."
 LONG = " ".join(f"w{i % 997}x{i}" for i in range(20_000))
 TEXTS = [None, "", "  \n", "Alpha beta", "alpha BETA", "one two three four five six seven", ITEM.upper(), f"before {ITEM} after", LONG, LONG + " tail", "you are a stupid idiot. really", "é É Σας idiot.", "Released under the MIT license"]
+NOTICES = "Some text.\n  Licensed under the Apache Licence, version 2.0!  \n(Released under the MIT License.)\nMIT"
 
 
 @pytest.fixture(scope="module")
@@ -208,6 +209,7 @@ def test_mixing(docs, empty):
 def test_license_scan(docs, empty, spark):
     got = by_id(license_scan.license_scan(docs))
     assert got[12].license_id == "MIT" and got[12].notices == "MIT" and got[0].license_id is None and got[0].notices is None
+    assert license_scan.license_scan(spark.createDataFrame([(1, NOTICES)], "doc_id int, text string")).first().notices == "Apache-2.0|MIT"
     text = "Copyright 2020 A\n" + license_scan.KNOWN_LICENSES[8][1].replace("LICENSE", "LICENCE").upper()
     one = spark.createDataFrame([(1, text)], "doc_id int, text string")
     assert license_scan.license_scan(one).first().license_id == "MIT"
