@@ -20,7 +20,7 @@ def clean_raw(text: Column, foreign: list[str] = FOREIGN) -> Column:
 
 def joined_lines(text: Column, hyphen: str = "‐") -> Column:
     """Lines put together: one that ends in a hyphen loses it and runs on, others get a blank; empty ones go."""
-    lines = F.filter(F.transform(F.split(text, "\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
     piece = lambda x: F.when(F.endswith(x, F.lit(hyphen)), F.regexp_replace(x, f"{hyphen}$", "")).otherwise(F.concat(x, F.lit(" ")))
     return F.array_join(F.transform(lines, piece), "")
 
@@ -187,6 +187,7 @@ def repaired_breaks(units: DataFrame, key: str = "doc_id", by: str = "i", flag:
         return pa.array([fix(*x) for x in zip(tags.to_pylist(), groups.to_pylist(), flags.to_pylist(), strict=True)], pa.list_(pa.bool_()))
 
     docs = units.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(by, tag, group, flag))).alias("u"))
-    fields = [F.transform("u", lambda x, c=c: x[c]) for c in (tag, group, flag)]
+    field = lambda c: F.transform("u", lambda x: x[c])
+    fields = [field(c) for c in (tag, group, flag)]
     docs = docs.withColumn("n", F.arrow_udf(run, "array<boolean>")(*fields))
     return docs.select(key, F.explode(F.arrays_zip("u", "n")).alias("z")).select(key, "z.u.*", F.col("z.n").alias("new_break"))

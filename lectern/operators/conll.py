@@ -201,7 +201,7 @@ def entity_properties(spans: DataFrame, tokens: DataFrame, key: str = "doc_id")
 
 def document_names(text: Column) -> Column:
     """Names that '# newdoc id = ...' lines give."""
-    return F.transform(F.regexp_extract_all(text, F.lit(r"(?m)^# ?newdoc id ?= ?(.+)$"), F.lit(1)), F.trim)
+    return F.transform(F.regexp_extract_all(text, F.lit(r"(?m)^# ?newdoc id ?= ?(.+)$"), F.lit(1)), lambda x: F.trim(x))
 
 
 def universal_rows(tokens: DataFrame, key: str = "doc_id") -> DataFrame:

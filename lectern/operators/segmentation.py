@@ -240,7 +240,8 @@ def analyze(docs: DataFrame, stack: Stack, key: str = "doc_id", text: str = "tex
         out = out.withColumn("seg", F.array_join(F.transform(F.split("seg", "[|]"), stack.morphs), "|"))
     out = context_overrides(out, list(stack.context_rules), stack.literal, list(stack.substrings), key)
     forms = out.select("dirty", "clean", "seg").distinct()
-    forms = forms.withColumn("surface_seg", attach(F.col("dirty"), align_column("clean", "seg"), stack.strip))
+    forms = forms.withColumn("__aligned", align_column("clean", "seg"))
+    forms = forms.withColumn("surface_seg", attach(F.col("dirty"), F.col("__aligned"), stack.strip)).drop("__aligned")
     return out.join(forms, ["dirty", "clean", "seg"], "left").select(key, "i", "dirty", "norm", "seg", "surface_seg")
 
 
