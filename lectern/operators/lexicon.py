@@ -149,3 +149,28 @@ def cascade(rows: DataFrame, levels: list[tuple[DataFrame, list[str], str]], out
         names.append(f"__level{i}")
         rows = rows.join(table.groupBy(*keys).agg(F.min(value).alias(names[-1])), keys, "left")
     return rows.withColumn(out, F.coalesce(*names)).drop(*names)
+
+
+def origin_by_tag(words: DataFrame, exceptions: list[tuple[str, str, str | None]], col: str = "word", tag: str = "tag") -> DataFrame:
+    """words with origin after exceptions: (word, tag, origin or null)."""
+    out = F.col("origin")
+    for word, t, value in reversed(exceptions):
+        out = F.when((F.col(col) == word) & (F.col(tag) == t), F.lit(value).cast("string")).otherwise(out)
+    return words.withColumn("origin", out)
+
+
+def lemmas_in_context(words: DataFrame, rules: list[tuple[str, str, list[str], str]], key: str = "doc_id", by: str = "i", col: str = "word") -> DataFrame:
+    """words with lemma after rules: (word, 'prev' or 'next', neighbours, lemma); the first that holds counts."""
+    w = Window.partitionBy(key).orderBy(by)
+    side = {"prev": F.lag(col).over(w), "next": F.lead(col).over(w)}
+    out = F.col("lemma")
+    for word, where, near, lemma in reversed(rules):
+        out = F.when((F.col(col) == word) & F.coalesce(side[where].isin(near), F.lit(False)), lemma).otherwise(out)
+    return words.withColumn("lemma", out)
+
+
+def without_rare(lexicon: DataFrame, counts: DataFrame, share: float = 0.1, col: str = "word", seed: str = "rare") -> DataFrame:
+    """lexicon without a share of its words that counts (word, n) has once or never; which ones is a hash of the word."""
+    chance = F.pmod(F.xxhash64(col, F.lit(seed)), F.lit(1 << 20)) / float(1 << 20)
+    n = counts.groupBy(col).agg(F.sum("n").alias("__n"))
+    return lexicon.join(n, col, "left").where((F.coalesce("__n", F.lit(0)) > 1) | (chance >= share)).drop("__n")

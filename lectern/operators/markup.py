@@ -27,16 +27,18 @@ def milestones(events: DataFrame, key: str) -> DataFrame:
     return events.withColumn("until", F.lead("pos").over(Window.partitionBy(key, "tag").orderBy("pos")))
 
 
-def paired_spans(events: DataFrame, key: str) -> DataFrame:
-    """Opening and closing tags of one name, matched by depth: key, tag, st, en, depth. What has no partner is left out."""
+def paired_spans(events: DataFrame, key: str, strict: bool = False) -> DataFrame:
+    """Opening and closing tags of one name, matched by depth: key, tag, st, en, depth. What has no partner is left out, or, if strict, a closing tag without one is an error."""
     w = Window.partitionBy(key, "tag").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     e = events.where("kind != 'unary'").withColumn("level", F.sum(F.when(F.col("kind") == "open", 1).otherwise(-1)).over(w))
+    if strict:
+        message = F.concat(F.lit("unmatched closing tag: "), "raw")
+        e = e.withColumn("level", F.when(F.col("level") < 0, F.raise_error(message).cast("long")).otherwise(F.col("level")))
     e = e.withColumn("depth", F.when(F.col("kind") == "open", F.col("level")).otherwise(F.col("level") + 1))
-    nth = F.row_number().over(Window.partitionBy(key, "tag", "depth", "kind").orderBy("pos"))
-    e = e.withColumn("nth", nth)
-    o = e.where("kind = 'open'").select(key, "tag", "depth", "nth", F.col("pos").alias("st"))
-    c = e.where("kind = 'close'").select(key, "tag", "depth", "nth", F.col("pos").alias("en"))
-    return o.join(c, [key, "tag", "depth", "nth"]).where("st < en").select(key, "tag", "st", "en", "depth")
+    # At one depth, what closes an opening tag is the next tag.
+    at_depth = Window.partitionBy(key, "tag", "depth").orderBy("pos")
+    e = e.withColumn("en", F.when(F.lead("kind").over(at_depth) == "close", F.lead("pos").over(at_depth)))
+    return e.where("kind = 'open' AND en IS NOT NULL").select(key, "tag", F.col("pos").alias("st"), "en", "depth")
 
 
 def opening_order(spans: DataFrame, key: str) -> DataFrame:

@@ -133,18 +133,29 @@ def merge_groups(groups: list[str], bound: dict[str, float], aggressive: dict[st
     return list(out.values())
 
 
-def attach(dirty: Column, segmented: Column, strip: str, separators: str = "|-") -> Column:
+def attached(dirty: str, segmented: str, strip: str, separators: str = "|-") -> str:
     """The boundaries of the segmentation of a cleaned form, put into the form before cleaning; cleaned-off characters go with what stands before them."""
-    letters = F.filter(F.split(segmented, ""), lambda c: c != "")
-    is_sep = lambda c: F.lit(separators).contains(c)
-    # For each boundary: how many letters stand before it.
-    cuts = F.filter(F.transform(letters, lambda c, i: F.when(is_sep(c), F.struct(F.size(F.filter(F.slice(letters, 1, i), lambda x: ~is_sep(x))).alias("n"), c.alias("c")))), lambda x: x.isNotNull())
-    signs = F.filter(F.split(dirty, ""), lambda c: c != "")
-    kept = F.transform(signs, lambda c: F.when(F.lit(strip).contains(c), 0).otherwise(1))
-    # A boundary of n letters stands in front of the sign that is the letter behind it.
-    before = lambda i: F.aggregate(F.slice(kept, 1, i), F.lit(0), lambda a, x: a + x)
-    piece = lambda c, i: F.when(F.get(kept, i) == 1, F.concat(F.array_join(F.transform(F.filter(cuts, lambda x: x["n"] == before(i)), lambda x: x["c"]), ""), c)).otherwise(c)
-    return F.array_join(F.transform(signs, piece), "")
+    before: dict[int, str] = {}
+    n = 0
+    for c in segmented:
+        if c in separators:
+            before[n] = before.get(n, "") + c
+        else:
+            n += 1
+    out, n = "", 0
+    for c in dirty:
+        if c not in strip:
+            out, n = out + before.get(n, ""), n + 1
+        out += c
+    return out
+
+
+def attach(dirty: Column, segmented: Column, strip: str, separators: str = "|-") -> Column:
+    """attached, over Arrow batches; null where one of the two is null."""
+    def run(a: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.array([None if x is None or y is None else attached(x, y, strip, separators) for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.string())
+
+    return F.arrow_udf(run, "string")(dirty, segmented)
 
 
 def context_overrides(groups: DataFrame, rules: list[tuple[str, str, list[str], str]], literal: dict[str, str], substrings: list[tuple[str, str]], key: str = "doc_id", by: str = "i", col: str = "seg", separator: str = "|") -> DataFrame:
@@ -240,8 +251,7 @@ def analyze(docs: DataFrame, stack: Stack, key: str = "doc_id", text: str = "tex
         out = out.withColumn("seg", F.array_join(F.transform(F.split("seg", "[|]"), stack.morphs), "|"))
     out = context_overrides(out, list(stack.context_rules), stack.literal, list(stack.substrings), key)
     forms = out.select("dirty", "clean", "seg").distinct()
-    forms = forms.withColumn("__aligned", align_column("clean", "seg"))
-    forms = forms.withColumn("surface_seg", attach(F.col("dirty"), F.col("__aligned"), stack.strip)).drop("__aligned")
+    forms = forms.withColumn("surface_seg", attach(F.col("dirty"), align_column("clean", "seg"), stack.strip))
     return out.join(forms, ["dirty", "clean", "seg"], "left").select(key, "i", "dirty", "norm", "seg", "surface_seg")
 
 

@@ -323,8 +323,8 @@ def q36_sgml_events(spark, d):
 
 
 _SPANS = f"""{_EVENTS}, l AS (SELECT *, sum(CASE WHEN kind = 'open' THEN 1 ELSE -1 END) OVER (PARTITION BY page_id, tag ORDER BY pos) AS level FROM e WHERE kind <> 'unary'),
-dp AS (SELECT *, CASE WHEN kind = 'open' THEN level ELSE level + 1 END AS depth FROM l), n AS (SELECT *, row_number() OVER (PARTITION BY page_id, tag, depth, kind ORDER BY pos) AS nth FROM dp),
-sp AS (SELECT o.page_id, o.tag, o.pos AS st, c.pos AS en, o.depth::BIGINT AS depth FROM n o JOIN n c ON c.page_id = o.page_id AND c.tag = o.tag AND c.depth = o.depth AND c.nth = o.nth AND c.kind = 'close' WHERE o.kind = 'open' AND o.pos < c.pos)"""
+dp AS (SELECT *, CASE WHEN kind = 'open' THEN level ELSE level + 1 END AS depth FROM l), n AS (SELECT *, lead(kind) OVER o AS next, lead(pos) OVER o AS en FROM dp WINDOW o AS (PARTITION BY page_id, tag, depth ORDER BY pos)),
+sp AS (SELECT page_id, tag, pos AS st, en, depth::BIGINT AS depth FROM n WHERE kind = 'open' AND next = 'close')"""
 
 
 @query(f"WITH {_SPANS} SELECT page_id, tag, st, en, depth FROM sp")

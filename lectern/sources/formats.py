@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 LEXICONS = {
     "norm": "orig string, norm string", "segmentation": "norm string, seg string", "morph": "unit string, analysis string", "lemma": "word string, tag string, lemma string", "origin": "form string, lang string",
     "tag_fix": "word string, tag string, new_tag string", "phrases": "phrase string", "frequency": "word string, freq long", "detok": "word string, n_bound long, n_not_bound long, p double",
-    "identities": "text string, head string, etype string, link string, freq long", "overrides": "doc_key string, text string, etype string, link string",
+    "tagger": "word string, tag string, freq long", "identities": "text string, head string, etype string, link string, freq long", "overrides": "doc_key string, text string, etype string, link string",
 }
 CONLL = ["id", "form", "lemma", "cpos", "pos", "morph", "head", "func", "deps", "misc"]
 
@@ -20,17 +20,32 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_lexicon(spark: SparkSession, path: str, kind: str, strict: bool = False) -> DataFrame:
-    """A tab-separated table without header; lines that begin with '#' are comments. strict: a malformed line is an error."""
-    return spark.read.csv(path, sep="\t", schema=LEXICONS[kind], quote="", comment="#", mode="FAILFAST" if strict else "PERMISSIVE")
+    """A tab-separated table without header. Lines without a tab are skipped (but in phrases), and '#' begins comments in detok, identities and overrides.
+
+    strict: a line with another number of columns is an error; else it is skipped.
+    """
+    schema = T.StructType.fromDDL(LEXICONS[kind])
+    lines = spark.read.text(path).select(F.regexp_replace("value", "\r$", "").alias("value")).where("value != ''")
+    if kind in ("detok", "identities", "overrides"):
+        lines = lines.where(~F.startswith("value", F.lit("#")))
+    if len(schema) > 1:
+        lines = lines.where(F.col("value").contains("\t"))
+    c = F.split("value", "\t")
+    right = F.size(c) == len(schema)
+    if strict:
+        lines = lines.where(F.when(right, True).otherwise(F.raise_error(F.concat(F.lit("malformed line: "), "value")).cast("boolean")))
+    else:
+        lines = lines.where(right)
+    return lines.select(*[F.try_element_at(c, F.lit(i + 1)).cast(f.dataType).alias(f.name) for i, f in enumerate(schema)])
 
 
 def parse_conllu(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row a token: key, sent (from 0), pos_in_sent, super_token, and CONLL; comments are left out."""
+    """One row a token: key, sent (from 0), line_no, super_token, ellipsis (ids such as 3.1), and CONLL; comments are left out. Lines of eight columns have no deps and misc."""
     sentences = F.filter(F.split(F.regexp_replace(text, "\r", ""), "\n\n+"), lambda s: F.trim(s) != "")
     lines = docs.select(key, F.posexplode(sentences).alias("sent", "s")).select(key, "sent", F.posexplode(F.filter(F.split("s", "\n"), lambda x: (x != "") & ~F.startswith(x, F.lit("#")))).alias("line_no", "line"))
     c = F.split("line", "\t")
     fields = [F.when(F.size(c) > i, c[i]).alias(n) for i, n in enumerate(CONLL)]
-    return lines.select(key, "sent", "line_no", c[0].contains("-").alias("super_token"), *fields)
+    return lines.select(key, "sent", "line_no", c[0].contains("-").alias("super_token"), c[0].contains(".").alias("ellipsis"), *fields)
 
 
 def conllu_comments(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
