@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.batches import bounds, text_slices
+from lectern.llm.caches import only
 from lectern.plans.durable import checkpointed
 
 K1, B, SHINGLE = 1.2, 0.75, 5
@@ -182,6 +183,7 @@ def _matches(index: tuple, texts: list[str | None], min_question: float, min_ans
 
 def _searcher(index, min_question: float, min_answer: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only()
         for batch in text_slices(batches, 1, SEARCH_BYTES):
             columns = list(zip(*_matches(index.value, batch.column(1).to_pylist(), min_question, min_answer), strict=True)) or [()] * 5
             out = [batch.column(0).take(pa.array(columns[0], pa.int64())), *(pa.array(x, k) for x, k in zip(columns[1:], (pa.int64(), *[pa.float64()] * 3), strict=True))]
@@ -226,6 +228,7 @@ def without_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "tex
 
     def clean_under(index):
         def clean(texts: pa.Array) -> pa.Array:
+            only()
             out = np.ones(len(texts), bool)
             for start, end in bounds(texts, SEARCH_BYTES):
                 for doc, *_ in _matches(index.value, texts.slice(start, end - start).to_pylist(), min_question, min_answer):

@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from lectern.llm.attention_model import LOT, SLOTS, WINDOW, Model, first_weights
 from lectern.llm.batches import text_slices
+from lectern.llm.caches import only
 from lectern.llm.exact_dedup import joined_bytes
-from lectern.llm.subwords import Slice, forget_words, word_encoder
+from lectern.llm.subwords import Slice, word_encoder
 from lectern.llm.token_store import default_tokenizer
 from lectern.plans.durable import checkpointed, new_folder
 
@@ -58,6 +59,7 @@ def _encoded(path: str, kind: pa.DataType):
         return pa.RecordBatch.from_arrays(columns, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("words")
         encoder, counts = word_encoder(path), Counter()
         for batch in text_slices(batches, 2, ENCODE_BYTES, 10_000):
             texts = pc.ascii_lower(batch.column(2).fill_null(""))
@@ -79,6 +81,7 @@ def _id_counts(path: str):
     """How often each id stands in the training texts, from the counts of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("words")
         encoder = word_encoder(path)
         total = np.zeros(encoder.tokenizer.get_vocab_size(), np.int64)
         for batch in text_slices(batches, 0):
@@ -114,7 +117,7 @@ def _learner(weights, slot_of, dtype: str, turn: int):
     """One row: the weights after this task's windows of the turn, times how many these are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forget_words()
+        only()
         model, slots, random = Model(weights.value), slot_of.value, np.random.Generator(np.random.PCG64(turn))
         seen, n, pool, size = 0, 0, [], 0
 
@@ -189,7 +192,7 @@ def score_ids(model: Model, tail: np.ndarray, slots: np.ndarray, documents: list
 
 def _score(model_data, hot_words, dtype: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forget_words()
+        only()
         flat, slots, tail = model_data.value
         model, get = Model(flat), hot_words.value.get
         for batch in text_slices(batches, 1):

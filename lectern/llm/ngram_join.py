@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.batches import text_slices
+from lectern.llm.caches import keeps, only
 from lectern.llm.components import connected_components
 from lectern.plans.durable import checkpointed
 
@@ -49,6 +50,7 @@ class WordHashes(dict):
 
 
 _WORDS = WordHashes()
+keeps("shingles", _WORDS.clear)
 
 
 def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
@@ -145,6 +147,7 @@ def _pairs(block: np.ndarray, first: int, second: int) -> tuple[np.ndarray, np.n
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per row: id, key, name of its set, a hash for each band, and the low byte of each MinHash value (unequal values agree in one case of 256)."""
+    only("shingles")
     for batch in text_slices(batches, 2):
         sets = shingle_sets(batch.column(2).to_pylist())
         bands, low = [], []
@@ -240,6 +243,7 @@ def _verify(threshold: float):
 
 
 def _shingles_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    only("shingles")
     for batch in text_slices(batches, "t"):
         sets = shingle_sets(batch.column("t").to_pylist())
         yield pa.RecordBatch.from_arrays([batch.column("name"), pa.array([s.tobytes() for s in sets], pa.binary())], ["name", "shingles"])

@@ -7,7 +7,6 @@ texts looks each of its distinct words up once.
 
 from __future__ import annotations
 
-import gc
 import os
 from functools import lru_cache
 from typing import NamedTuple
@@ -16,7 +15,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHED_WORDS = 500_000
+from lectern.llm.caches import keeps
+
+CACHED_WORDS = 300_000
 _MARKS = b".,#%&*$|;:!?"
 _MARK_BYTES = frozenset(_MARKS[i : i + 1] for i in range(len(_MARKS)))
 
@@ -120,7 +121,4 @@ def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def forget_words() -> None:
-    """Frees the encoders of this worker, which later stages don't use."""
-    word_encoder.cache_clear()
-    gc.collect()
+keeps("words", word_encoder.cache_clear)

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm.batches import text_slices
+from lectern.llm.caches import only
 from lectern.llm.exact_dedup import chunk_ends, rolling_cuts
 from lectern.llm.subwords import word_encoder
 from lectern.plans.durable import checkpointed, new_folder
@@ -72,6 +73,7 @@ def _encode(path: str, end_id: int, kind: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
+        only("words")
         encoder, pack = word_encoder(path), zstandard.ZstdCompressor(level=1)
         gear = np.random.Generator(np.random.PCG64(20240502)).integers(0, 1 << 32, 1 << 16, dtype=np.uint32)
         seen = set()

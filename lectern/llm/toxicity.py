@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.batches import text_slices
+from lectern.llm.caches import only
 from lectern.llm.ngram_join import shingle_sets
 
 # Seed words of the grammar in four languages.
@@ -133,6 +134,7 @@ class Scorer:
 
 def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per row: label, the least hash of its five-word shingles (texts of similarity s share it with probability s), text."""
+    only("shingles")
     for batch in text_slices(batches, 1):
         least = [int(s[0]) - (1 << 63) if len(s) else 0 for s in shingle_sets(batch.column(1).to_pylist())]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(least, pa.int64()), batch.column(1)], ["toxic", "family", "text"])
@@ -244,6 +246,7 @@ def without_toxic(docs: DataFrame, lexicon: dict[str, float], weights: np.ndarra
     scorer = docs.sparkSession.sparkContext.broadcast(Scorer(lexicon))
 
     def score(texts: pa.Array) -> pa.Array:
+        only()
         return pa.array(_scores(scorer.value, weights, texts.to_pylist()))
 
     return docs.where(F.arrow_udf(score, "double")(F.col(text_col).cast("string")) < PREDICT_FROM)
