@@ -107,3 +107,25 @@ def union_features(features: Column, more: Column) -> Column:
 def features_text(features: Column) -> Column:
     pairs = F.array_sort(F.transform(F.map_entries(features), lambda e: F.struct(F.lower(e["key"]).alias("l"), F.concat(e["key"], F.lit("="), e["value"]).alias("t"))))
     return F.when(F.size(pairs) > 0, F.array_join(F.transform(pairs, lambda p: p["t"]), "|")).otherwise("_")
+
+
+def encode_capitals(text: Column, mark: str = "~") -> Column:
+    """Capitals as the small letter with a mark behind it, so that case survives steps that know small letters only. A mark of the text's own is doubled."""
+    t = F.regexp_replace(text, mark, mark + mark)
+    letters = F.split(t, "")
+    return F.array_join(F.transform(letters, lambda c: F.when((F.lower(c) != c) & (F.length(F.lower(c)) == 1), F.concat(F.lower(c), F.lit(mark))).otherwise(c)), "")
+
+
+def decode_capitals(text: Column, mark: str = "~") -> Column:
+    """The reverse of encode_capitals for letters that have one capital."""
+    parts = F.regexp_extract_all(text, F.lit(rf"(?s){mark}{mark}|[^{mark}]{mark}(?!{mark})|[^{mark}]{mark}(?={mark}{mark})|."), F.lit(0))
+    one = lambda p: F.when(p == mark + mark, F.lit(mark)).when((F.length(p) == 2) & F.endswith(p, F.lit(mark)), F.upper(F.substring(p, 1, 1))).otherwise(p)
+    return F.array_join(F.transform(parts, one), "")
+
+
+def number_lines(text: Column, element: str = "lb") -> Column:
+    """Each line with its number in a tag before it; lines of tags alone stay as they are and are not counted."""
+    lines = F.split(text, "\n")
+    plain = F.transform(lines, lambda x: F.when(x.rlike(r"^(\s*<[^>]*>\s*)+$"), 0).otherwise(1))
+    place = lambda i: F.aggregate(F.slice(plain, 1, i + 1), F.lit(0), lambda a, x: a + x).cast("string")
+    return F.array_join(F.transform(lines, lambda x, i: F.when(F.get(plain, i) == 0, x).otherwise(F.concat(F.lit(f'<{element} n="'), place(i), F.lit('"/>'), x))), "\n")

@@ -138,3 +138,23 @@ def sentence_features(tokens: DataFrame, frequent: DataFrame, key: str = "doc_id
     near = [F.coalesce((F.lag(tag, abs(d)) if d < 0 else F.lead(tag, d)).over(w), F.lit("_")).alias(f"tag{d:+d}") for d in (-2, -1, 1, 2)]
     case = F.when((F.col(col) == F.upper(col)) & (F.col(col) != F.lower(col)), "u").when(F.col(col) == F.lower(col), "l").otherwise("t")
     return t.select(key, by, F.when(F.col("__f"), F.col(col)).otherwise(F.col(tag)).alias("word"), case.alias("case"), F.length(col).alias("length"), F.coalesce(F.col(by) - last(w), F.lit(-1)).alias("since"), F.coalesce(last(back) - F.col(by), F.lit(5)).alias("until"), *near)
+
+
+def letter_context(docs: DataFrame, text: str, key: str = "doc_id", left: int = 8, right: int = 18, separator: str = "_", pad: str = "#") -> DataFrame:
+    """key, n, before, after, label: for each letter of a text without separators, the letters up to it and behind it, padded, and whether a separator follows."""
+    plain = F.replace(F.col(text), F.lit(separator), F.lit(""))
+    padded = F.split(F.concat(F.repeat(F.lit(pad), left - 1), plain, F.repeat(F.lit(pad), right)), "")
+    pieces = F.filter(F.split(text, separator), lambda p: p != "")
+    labels = F.flatten(F.transform(pieces, lambda p, i: F.concat(F.array_repeat(F.lit(0), F.length(p) - 1), F.array(F.when(i == F.size(pieces) - 1, 0).otherwise(1)))))
+    # Made once for each text, below the explosion.
+    made = docs.select(key, F.filter(padded, lambda c: c != "").alias("p"), labels.alias("l"))
+    rows = made.select(key, "p", F.posexplode("l").alias("n", "label"))
+    window = lambda start, n: F.array_join(F.slice("p", start, n), "")
+    return rows.select(key, "n", window(F.col("n") + 1, left).alias("before"), window(F.col("n") + left + 1, right).alias("after"), "label")
+
+
+def unit_roles(units: DataFrame, prefixes: list[str], suffixes: list[str], key: list[str], by: str, col: str = "norm") -> DataFrame:
+    """units with role: P for a prefix before other units of its group, S for a suffix behind others, W else."""
+    w = Window.partitionBy(*key)
+    i, n = F.row_number().over(w.orderBy(by)), F.count("*").over(w)
+    return units.withColumn("role", F.when(F.col(col).isin(prefixes) & (i < n), "P").when(F.col(col).isin(suffixes) & (i > 1), "S").otherwise("W"))

@@ -14,7 +14,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SEED = 42
@@ -108,6 +108,14 @@ def accept_grammar(rows: DataFrame, trust: str = "p", grammar: str = "seg", mode
     return rows.withColumn("chosen", F.when((F.col(trust) >= threshold) & F.col(grammar).contains("|"), F.col(grammar)).otherwise(F.col(model)))
 
 
+def split_sentences(features: DataFrame, model: PipelineModel, key: str = "doc_id", by: str = "i", threshold: float = 0.5) -> DataFrame:
+    """features (sentence_features) with sent: a sentence begins where the model says so with threshold or more, and with the text."""
+    p = probability(model, features).withColumn("__b", (F.col("p") >= threshold).cast("int"))
+    w = Window.partitionBy(key).orderBy(by)
+    first = F.row_number().over(w) == 1
+    return p.withColumn("sent", F.sum(F.when(first, 0).otherwise(F.col("__b"))).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("__b")
+
+
 BINDING_STRATEGIES = ("naive", "table", "stacked", "logistic", "trees")
 
 

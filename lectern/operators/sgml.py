@@ -189,3 +189,30 @@ def sentence_tagging_rows(units: DataFrame, key: str = "doc_id", group: str = "g
     place = F.when(n == 1, "S").when(i == 1, "B").when(i == n, "E").otherwise("I")
     first = F.row_number().over(Window.partitionBy(key, sentence).orderBy("unit")) == 1
     return units.select(key, "unit", "norm", place.alias("place"), F.when(first, "SENT").otherwise("O").alias("label"))
+
+
+def milestone_spans(events: DataFrame, elements: list[str], key: str = "doc_id") -> DataFrame:
+    """Events in which unary tags of the elements are spans: each closes the one before, and the last ones close at the end, in order of their names."""
+    m = (F.col("kind") == "unary") & F.col("tag").isin(elements)
+    w = Window.partitionBy(key, "tag").orderBy("line_no")
+    spans = events.where(m).withColumn("first", F.row_number().over(w) == 1)
+    none, no_text = F.lit(None).cast("map<string,string>"), F.lit(None).cast("string")
+    closes = spans.where("NOT first").select(key, "line_no", F.lit(0).alias("__s"), F.lit("close").alias("kind"), "tag", none.alias("attrs"), no_text.alias("text"))
+    last = events.groupBy(key).agg(F.max("line_no").alias("line_no"))
+    ends = spans.select(key, "tag").distinct().join(last, key).select(key, F.col("line_no") + 1, F.lit(0), F.lit("close"), "tag", none, no_text)
+    opens = events.select(key, "line_no", F.lit(1).alias("__s"), F.when(m, "open").otherwise(F.col("kind")).alias("kind"), "tag", "attrs", "text")
+    both = opens.unionAll(closes).unionAll(ends)
+    return both.withColumn("line_no", F.row_number().over(Window.partitionBy(key).orderBy("line_no", "__s", "tag")) - 1).select(key, "line_no", "kind", "tag", "attrs", "text")
+
+
+def super_token_rows(tokens: DataFrame, key: str = "doc_id") -> DataFrame:
+    """key, sent, id, form, place, tag: training rows of a tagger, with the place of each token in its super-token (B, I, E; O outside of any). tokens: with upto."""
+    w = Window.partitionBy(key, "sent").orderBy("id", F.col("upto").isNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    t = tokens.withColumn("__end", F.last("upto", True).over(w)).withColumn("__begin", F.last(F.when(F.col("upto").isNotNull(), F.col("id")), True).over(w)).where("upto IS NULL")
+    place = F.when(F.col("id") > F.col("__end"), "O").when(F.col("id") == F.col("__begin"), "B").when(F.col("id") == F.col("__end"), "E").when(F.col("__end").isNotNull(), "I").otherwise("O")
+    return t.select(key, "sent", "id", "form", place.alias("place"), F.col("pos").alias("tag"))
+
+
+def documents_with(events: DataFrame, name: str, values: list[str], key: str = "doc_id") -> DataFrame:
+    """key of the documents whose meta element has one of the values: those checked by hand, say."""
+    return events.where(_opens("meta") & F.col("attrs")[name].isin(values)).select(key).distinct()

@@ -6,7 +6,7 @@ import importlib
 
 from lectern.plans.queries import ORACLE_SQL, QUERIES
 
-for _name in ("sgml_queries", "conll_queries", "entity_queries", "eval_queries", "norm_queries", "seg_queries", "model_queries", "api_queries"):
+for _name in ("sgml_queries", "conll_queries", "entity_queries", "eval_queries", "norm_queries", "seg_queries", "model_queries", "api_queries", "more_queries"):
     importlib.import_module(f"lectern.plans.{_name}")
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
