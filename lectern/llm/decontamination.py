@@ -40,6 +40,10 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
+def _words(texts: pa.Array) -> pa.Array:
+    return pa.array([words_of(t) for t in texts.to_pylist()], pa.list_(pa.string()))
+
+
 def question_and_answer(text: str) -> tuple[list[str], list[str]]:
     """The item's words before its last sentence, and those of it; of one sentence, the last quarter is the answer."""
     parts = [p for p in re.split(r"(?<=[.!?])\s+", text.strip()) if _WORD.search(p)]
@@ -196,8 +200,8 @@ def _indexes(items: DataFrame, item_col: str, item_text_col: str) -> Iterator[tu
     """An index, broadcast, for each pass over the texts: one, unless the items have more than PASS_CHARS characters."""
     spark = items.sparkSession
     items = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")).where("item_id IS NOT NULL AND text IS NOT NULL")
-    tokens = F.udf(words_of, "array<string>")("text")
-    items = checkpointed(items.withColumn("words", tokens))
+    tokens = F.arrow_udf(_words, "array<string>")
+    items = checkpointed(items.withColumn("words", tokens("text")))
     stats = items.where("size(words) > 0").agg(F.count("*").alias("n"), F.avg(F.size("words")).alias("mean"), F.sum(F.length("text")).alias("chars")).first()
     passes = -(-2 * stats.chars // PASS_CHARS) if (stats.chars or 0) > PASS_CHARS else 1
     frequency = items.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
