@@ -118,7 +118,8 @@ def encode_capitals(text: Column, mark: str = "~") -> Column:
 
 def decode_capitals(text: Column, mark: str = "~") -> Column:
     """The reverse of encode_capitals for letters that have one capital."""
-    parts = F.regexp_extract_all(text, F.lit(rf"(?s){mark}{mark}|[^{mark}]{mark}(?!{mark})|[^{mark}]{mark}(?={mark}{mark})|."), F.lit(0))
+    # A letter with an odd number of marks behind it was a capital; the other marks are pairs.
+    parts = F.regexp_extract_all(text, F.lit(rf"(?s)[^{mark}]{mark}(?=(?:{mark}{mark})*(?:[^{mark}]|$))|{mark}{mark}|."), F.lit(0))
     one = lambda p: F.when(p == mark + mark, F.lit(mark)).when((F.length(p) == 2) & F.endswith(p, F.lit(mark)), F.upper(F.substring(p, 1, 1))).otherwise(p)
     return F.array_join(F.transform(parts, one), "")
 

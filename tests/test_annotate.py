@@ -194,3 +194,52 @@ def test_rare_words_are_thinned(spark):
     counts = words.where("word < 'w2'").withColumn("n", F.lit(5))
     kept = L.without_rare(words, counts)
     assert 0.05 < 1 - kept.join(counts, "word", "left_anti").count() / words.join(counts, "word", "left_anti").count() < 0.15 and kept.join(counts, "word").count() == counts.count()
+
+
+def test_step_log():
+    from lectern.plans.steplog import StepLog
+
+    log = StepLog(quiet=True)
+    with log.step("one"):
+        pass
+    with pytest.raises(KeyError), log.step("two"):
+        raise KeyError
+    assert [n for n, _ in log.seconds] == ["one", "two"] and log.total() >= 0
+
+
+def test_document_names_and_checked_documents(spark):
+    docs = spark.createDataFrame([("d", "# newdoc id = a b\n1\tx\n\n# newdoc id = c\n"), ("e", "x")], "doc_id string, text string")
+    assert [list(r[0]) for r in docs.select(C.document_names(F.col("text"))).collect()] == [["a b", "c"], []]
+    tt = spark.createDataFrame([("d", '<meta tagging="gold">\nx\n</meta>'), ("e", '<meta tagging="automatic">\nx\n</meta>'), ("f", "x")], "doc_id string, text string")
+    assert [r.doc_id for r in sgml.documents_with(S.parse_sgml(tt), "tagging", ["gold", "checked"]).collect()] == ["d"]
+
+
+def test_unseen_categories_are_gated(spark):
+    seen, new = spark.createDataFrame([("a",)], "c string"), spark.createDataFrame([("a",), ("b",), (None,)], "c string")
+    assert sorted(str(r.c) for r in X.gated(new, seen, ["c"]).collect()) == ["_", "_", "a"]
+
+
+def test_grammar_or_model(spark):
+    rows = spark.createDataFrame([(0.9, "a|b", "ab"), (0.05, "a|b", "ab"), (0.9, "ab", "a|b")], "p double, seg string, model_seg string")
+    assert [r.chosen for r in M.accept_grammar(rows).collect()] == ["a|b", "ab", "a|b"]
+
+
+def test_long_sequences_go_round_in_blocks(spark):
+    from lectern.operators.sequences import circular
+
+    lengths = {1: 1, 2: 2, 3: 3, 4: 25}
+    u = spark.createDataFrame([(k, i, f"{k}.{i}") for k, n in lengths.items() for i in range(n)], "k int, i int, t string")
+    for block in (4, 5, 4096):
+        got = circular(u, "t", [-3, -1, 2], "k", "i", block).collect()
+        assert len(got) == sum(lengths.values())
+        for r in got:
+            n = lengths[r.k]
+            assert (r["t-3"], r["t-1"], r["t+2"]) == tuple(f"{r.k}.{(r.i + d) % n}" for d in (-3, -1, 2)), (block, r)
+
+
+def test_capitals_come_back(spark):
+    from lectern.functions.text import decode_capitals, encode_capitals
+
+    texts = ["aBc", "~", "A~b~~", "É~Ω", "", "~A~"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("m", encode_capitals(F.col("t")))
+    assert [r[0] for r in df.select(decode_capitals(F.col("m"))).collect()] == texts and df.where("t = 'aBc'").first().m == "ab~c"
