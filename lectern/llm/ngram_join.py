@@ -221,9 +221,11 @@ def common_counts(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.nd
 
 def _verify(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("shingles")
         for batch in batches:
             names, roots, links = [], [], []
-            for i, j, members in zip(*(batch.column(c).to_pylist() for c in ("i", "j", "members")), strict=True):
+            for k in range(batch.num_rows):  # one group of members as objects at a time
+                i, j, members = (batch.column(c)[k].as_py() for c in ("i", "j", "members"))
                 members = sorted(members, key=lambda m: m["name"])
                 a, b = _pairs(np.array([m["block"] for m in members]), i, j)
                 a, b = surviving_pairs(np.frombuffer(b"".join([m["low"] for m in members]), np.uint8).reshape(len(members), -1), a, b)
@@ -232,11 +234,11 @@ def _verify(threshold: float):
                 keep = common_counts(sets, a, b) * (1 + threshold) >= threshold * (size[a] + size[b]) - 1e-6
                 a, b = a[keep], b[keep]
                 n = np.bincount(a, copies[b], len(sets)) + np.bincount(b, copies[a], len(sets))
-                for k, root in enumerate(forest(len(sets), a, b)):
-                    if n[k]:
-                        names.append(members[k]["name"])
+                for own, root in enumerate(forest(len(sets), a, b)):
+                    if n[own]:
+                        names.append(members[own]["name"])
                         roots.append(members[root]["name"])
-                        links.append(int(n[k]))
+                        links.append(int(n[own]))
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(roots, pa.binary()), pa.array(links, pa.int64())], ["a", "b", "links"])
 
     return run
