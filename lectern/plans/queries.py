@@ -123,7 +123,9 @@ def q09_para_insert(spark, d):
 @query(f"""{TOK}, c AS (SELECT lower(tok) AS key, tok, count(*) AS n, min(doc_id::HUGEINT * 4294967296 + i) AS f FROM tok GROUP BY ALL)
 SELECT key, tok, n FROM c QUALIFY row_number() OVER (PARTITION BY key ORDER BY n DESC, f, tok) = 1""")
 def q10_majority_norm(spark, d):
-    return L.majority(docs_units(spark, d).withColumn("key", F.lower("tok")), "key", "tok", F.struct("doc_id", "i"))
+    # One number that orders by document, then place: hash aggregation can hold it, which it can't a struct.
+    place = F.col("doc_id").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(11,0)") + F.col("i")
+    return L.majority(docs_units(spark, d).withColumn("key", F.lower("tok")), "key", "tok", place)
 
 
 @query(f"""{TOK} SELECT lower(tok) AS word, string_agg(DISTINCT quality::VARCHAR, '|' ORDER BY quality::VARCHAR) AS "values" FROM tok JOIN labels USING (doc_id) GROUP BY 1""")
