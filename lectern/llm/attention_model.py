@@ -49,14 +49,14 @@ class Model:
         new = lambda *shape: np.zeros(shape, np.float32)
         self.table, self.places = new(SLOTS, 4 * d + 1), new(WINDOW, 4 * d + 1)
         self.table[:, -1] = 1
-        self.x, self.dx = new(LOT, WINDOW, 4 * d + 1), new(LOT, WINDOW, 4 * d)
-        self.a, self.da = new(LOT, WINDOW, WINDOW), new(LOT, WINDOW, WINDOW)
-        self.o, self.mix = new(LOT, WINDOW, d + 1), new(n, d)
+        self.x, self.dx = new(LOT, WINDOW, 4 * d + 1), new(LOT, WINDOW, 3 * d)
+        self.a, self.da = new(n, WINDOW), new(LOT, WINDOW, WINDOW)
+        self.o, self.mix = new(n, d + 1), new(n, d)
         self.h, self.r, self.z = new(n, d + 1), new(n, HIDDEN), new(n, d + 1)
         self.h[:, d] = self.z[:, d] = 1
         self.zs, self.lp, self.lc = new(n, d + 1), new(n, SIDE), new(n, SIDE)
         self.dz, self.dp, self.dh, self.dr, self.do = new(n, d + 1), new(n, d + 1), new(n, d), new(n, HIDDEN), new(n, d)
-        self.sorted_dx, self.one = new(n, 4 * d), new(n, SIDE)
+        self.de, self.sorted_de = new(n, d), new(n, d)
         self.rows, self.side = np.arange(n), np.arange(SIDE + 1)
         self.past = np.tril(np.ones((WINDOW, WINDOW), np.float32))
         self.g, self.m, self.v, self.step = new(N_WEIGHTS), new(N_WEIGHTS), new(N_WEIGHTS), 0
@@ -65,30 +65,31 @@ class Model:
         self._tables()
 
     def _tables(self) -> None:
-        """Queries, keys and values follow from slot and place alone: one row each, to be added."""
+        """Queries, keys and values follow from slot and place alone: one row each, to be added. Values are put out at once, so that what attention gives needs no product with O."""
         d = WIDTH
         self.qkv = self.p["QKV"].copy()
         self.qkv[:, :d] *= np.float32(d**-0.5)
+        self.qkv[:, 2 * d :] = self.p["QKV"][:, 2 * d :] @ self.p["O"]
         for table, weights in ((self.table, self.p["E"]), (self.places, self.p["P"])):
             table[:, :d] = weights
             np.matmul(weights, self.qkv, out=table[:, d : 4 * d])
 
-    def _body(self, x: np.ndarray, safe: bool) -> None:
-        d, b = WIDTH, len(x)
-        n, e = b * WINDOW, self.x[: len(x)]
+    def _body(self, x: np.ndarray, safe: bool, first: int = 0) -> None:
+        """Leaves what the head takes for the places from first on; those before it have keys and values only."""
+        d, b, past = WIDTH, len(x), self.past[first:]
+        n, e = b * len(past), self.x[: len(x)]
         np.take(self.table, x, axis=0, out=e, mode="clip")
         e += self.places
-        a, o, h, r, z = self.a[:b], self.o[:b], self.h[:n], self.r[:n], self.z[:n]
-        np.matmul(e[..., d : 2 * d], e[..., 2 * d : 3 * d].transpose(0, 2, 1), out=a)
+        a, o, h, r, z = self.a[:n].reshape(b, -1, WINDOW), self.o[:n].reshape(b, -1, d + 1), self.h[:n], self.r[:n], self.z[:n]
+        np.matmul(e[:, first:, d : 2 * d], e[..., 2 * d : 3 * d].transpose(0, 2, 1), out=a)
         if safe:
-            a -= np.where(self.past > 0, a, -np.inf).max(axis=2, keepdims=True)
+            a -= np.where(past > 0, a, -np.inf).max(axis=2, keepdims=True)
             np.minimum(a, 0, out=a)
         np.exp(a, out=a)
-        a *= self.past
+        a *= past
         np.matmul(a, e[..., 3 * d :], out=o)
         o[..., :d] /= o[..., d:]
-        np.matmul(o.reshape(n, d + 1)[:, :d], self.p["O"], out=self.mix[:n])
-        np.add(e.reshape(n, 4 * d + 1)[:, :d], self.mix[:n], out=h[:, :d])
+        np.add(e[:, first:, :d], o[..., :d], out=h.reshape(b, -1, d + 1)[..., :d])
         np.matmul(h, self.p["W1"], out=r)
         np.maximum(r, 0, out=r)
         np.matmul(r, self.p["W2"], out=self.mix[:n])
@@ -115,13 +116,14 @@ class Model:
         self.sums = lp @ ones, lc @ ones
         return out - np.log(self.sums[0]) - np.log(self.sums[1]), edges
 
-    def log_probabilities(self, x: np.ndarray, at: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Natural log of the probability of each target slot. x: at most LOT windows; at: places in the flattened windows."""
+    def log_probabilities(self, x: np.ndarray, at: np.ndarray, target: np.ndarray, first: int = 0) -> np.ndarray:
+        """Natural log of the probability of each target slot. x: at most LOT windows; at: places in the flattened windows, all from a window's place first on."""
         order = np.argsort(target.astype(np.int16), kind="stable")
+        at = at - first * (at // WINDOW + 1)
         out = np.empty(len(at), np.float32)
         for safe in (False, True):  # again below 1, if exp ran over
             with np.errstate(all="ignore"):
-                self._body(x, safe)
+                self._body(x, safe, first)
                 out[order] = self._head(at[order], target[order], safe)[0]
             if np.isfinite(out).all():
                 break
@@ -155,43 +157,35 @@ class Model:
         dz += dp
         dh[:] = 0
         dh[order] = dz[:, :d]
-        a, o, h, r, e, da, dx = self.a[:b], self.o[:b], self.h[:n], self.r[:n], self.x[:b], self.da[:b], self.dx[:b]
+        a, o, h, r, e, da, dx = self.a[:n].reshape(b, WINDOW, WINDOW), self.o[:n].reshape(b, WINDOW, d + 1), self.h[:n], self.r[:n], self.x[:b], self.da[:b], self.dx[:b]
         g["W2"] += r.T @ dh
         np.matmul(dh, p["W2"].T, out=dr)
         dr *= r > 0
         g["W1"] += h.T @ dr
         dh += dr @ p["W1"][:d].T
-        g["O"] += o.reshape(n, d + 1)[:, :d].T @ dh
-        np.matmul(dh, p["O"].T, out=do)
         do = do.reshape(b, WINDOW, d)
-        do /= o[..., d:]
+        np.divide(dh.reshape(b, WINDOW, d), o[..., d:], out=do)
         q, k, v = e[..., d : 2 * d], e[..., 2 * d : 3 * d], e[..., 3 * d : 4 * d]
-        dx[..., :d] = dh.reshape(b, WINDOW, d)
-        np.matmul(a.transpose(0, 2, 1), do, out=dx[..., 3 * d :])
+        np.matmul(a.transpose(0, 2, 1), do, out=dx[..., 2 * d :])
         np.matmul(do, v.transpose(0, 2, 1), out=da)
         da -= np.einsum("bwd,bwd->bw", do, o[..., :d])[:, :, None]
         da *= a
-        np.matmul(da, k, out=dx[..., d : 2 * d])
-        np.matmul(da.transpose(0, 2, 1), q, out=dx[..., 2 * d : 3 * d])
-        places, table = dx.sum(0), self._by_slot(x.ravel(), dx.reshape(n, 4 * d))
-        g["E"] += table[:, :d] + table[:, d:] @ self.qkv.T
-        g["P"] += places[:, :d] + places[:, d:] @ self.qkv.T
-        dqkv = p["E"].T @ table[:, d:] + p["P"].T @ places[:, d:]
+        np.matmul(da, k, out=dx[..., :d])
+        np.matmul(da.transpose(0, 2, 1), q, out=dx[..., d : 2 * d])
+        flat_dx, de = dx.reshape(n, 3 * d), self.de[:n]
+        dqkv = e.reshape(n, 4 * d + 1)[:, :d].T @ flat_dx
         dqkv[:, :d] *= np.float32(d**-0.5)
+        g["O"] += p["QKV"][:, 2 * d :].T @ dqkv[:, 2 * d :]
+        dqkv[:, 2 * d :] = dqkv[:, 2 * d :] @ p["O"].T
         g["QKV"] += dqkv
-
-    def _by_slot(self, x: np.ndarray, dx: np.ndarray) -> np.ndarray:
-        """Sums of the rows of dx by slot: by products with 0/1 matrices, cluster by cluster."""
-        order = np.argsort(x.astype(np.int16), kind="stable")
-        slots, rows, one = x[order], self.sorted_dx[: len(x)], self.one[: len(x)]
-        np.take(dx, order, axis=0, out=rows, mode="clip")
-        one[:] = 0
-        one[self.rows[: len(x)], slots % SIDE] = 1
-        edges, out = np.searchsorted(slots // SIDE, self.side).tolist(), np.zeros((SIDE, SIDE, dx.shape[1]), np.float32)
-        for c in range(SIDE):
-            if edges[c] < edges[c + 1]:
-                np.matmul(one[edges[c] : edges[c + 1]].T, rows[edges[c] : edges[c + 1]], out=out[c])
-        return out.reshape(SLOTS, -1)
+        np.matmul(flat_dx, self.qkv.T, out=de)
+        de += dh
+        g["P"] += de.reshape(b, WINDOW, d).sum(0)
+        order = np.argsort(x.ravel().astype(np.int16), kind="stable")
+        rows, many = self.sorted_de[:n], np.bincount(x.ravel(), minlength=SLOTS)
+        np.take(de, order, axis=0, out=rows, mode="clip")
+        slots = np.flatnonzero(many)
+        g["E"][slots] += np.add.reduceat(rows, (np.cumsum(many) - many)[slots], axis=0)
 
     def train(self, windows: np.ndarray, rate: float) -> None:
         """A step of Adam on all the windows: rows of WINDOW + 1 slots, -1 behind their end."""

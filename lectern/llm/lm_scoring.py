@@ -179,14 +179,15 @@ def score_ids(model: Model, tail: np.ndarray, slots: np.ndarray, documents: list
     first = k * (WINDOW - OVERLAP)
     out = np.array([tail[d].sum() for d in documents])
     steps = np.arange(WINDOW)
-    for i in range(0, len(doc), LOT):
-        d, f = doc[i : i + LOT], first[i : i + LOT]
-        t = f[:, None] + steps
-        inside = t < length[d][:, None]
-        place = np.minimum(begin[d][:, None] + t, len(s) - 2)
-        at = np.flatnonzero(inside & ((steps >= OVERLAP) | (f == 0)[:, None]))
-        found = model.log_probabilities(np.where(inside, s[place], END), at, s[place.ravel()[at] + 1])
-        out += np.bincount(d[at // WINDOW], found, len(documents))
+    for some, known in ((np.flatnonzero(first == 0), 0), (np.flatnonzero(first), OVERLAP)):  # known: ids that the window before has scored
+        for i in range(0, len(some), LOT):
+            d, f = doc[some[i : i + LOT]], first[some[i : i + LOT]]
+            t = f[:, None] + steps
+            inside = t < length[d][:, None]
+            place = np.minimum(begin[d][:, None] + t, len(s) - 2)
+            at = np.flatnonzero(inside & (steps >= known))
+            found = model.log_probabilities(np.where(inside, s[place], END), at, s[place.ravel()[at] + 1], known)
+            out += np.bincount(d[at // WINDOW], found, len(documents))
     return out / np.log(10)
 
 

@@ -113,6 +113,37 @@ def test_lm_scores_each_id_once():
     assert np.allclose(lm_scoring.score_ids(model, none - 1.0, slots, documents) - whole, [-len(d) / np.log(10) for d in documents], rtol=1e-3, atol=1e-3)
 
 
+def test_lm_scores_against_a_plain_model_and_takes_no_row_twice(monkeypatch):
+    d, w, rng = attention_model.WIDTH, attention_model.WINDOW, np.random.default_rng(5)
+    flat = attention_model.first_weights(np.arange(attention_model.SLOTS)) + rng.standard_normal(attention_model.N_WEIGHTS).astype(np.float32) * 0.1
+    p = {k: x.astype(float) for k, x in attention_model.unpacked(flat).items()}
+
+    def plain(x):  # log probabilities of all slots behind each place of a window
+        e = p["E"][x] + p["P"][: len(x)]
+        q, k, v = np.split(e @ p["QKV"], 3, axis=1)
+        a = np.exp(q @ k.T / np.sqrt(d)) * np.tril(np.ones((len(x), len(x))))
+        h = e + a / a.sum(1, keepdims=True) @ v @ p["O"]
+        one = lambda y: np.column_stack([y, np.ones(len(y))])
+        z = one(h + np.maximum(one(h) @ p["W1"], 0) @ p["W2"])
+        log = lambda y: y - np.log(np.exp(y).sum(-1, keepdims=True))
+        return (log(z @ p["C"])[:, :, None] + log(np.einsum("td,cdp->tcp", z, p["U"]))).reshape(len(x), -1)
+
+    def score(ids):
+        s, total = np.array([0, *ids, 0]), 0.0
+        for first in range(0, max(1, len(ids) + 1 - lm_scoring.OVERLAP), w - lm_scoring.OVERLAP):
+            x = s[first : min(first + w, len(s) - 1)]
+            known = lm_scoring.OVERLAP if first else 0
+            total += plain(x)[np.arange(known, len(x)), s[first + known + 1 : first + len(x) + 1]].sum()
+        return total / np.log(10)
+
+    rows, matmul = [], np.matmul
+    monkeypatch.setattr(attention_model.np, "matmul", lambda a, b, **k: (b.shape == (d + 1, attention_model.HIDDEN) and rows.append(len(a)), matmul(a, b, **k))[1])
+    documents = [rng.integers(1, attention_model.SLOTS, n) for n in (0, 5, 31, 32, 57, 58, 700)]
+    got = lm_scoring.score_ids(attention_model.Model(flat), np.zeros(attention_model.SLOTS), np.arange(attention_model.SLOTS), documents)
+    assert np.allclose(got, [score(x) for x in documents], rtol=1e-4)
+    assert sum(rows) <= sum(len(x) + 1 + w for x in documents)  # ids that a window has as context only are not put through the hidden layer again
+
+
 @given(st.lists(st.integers(0, 140), min_size=1, max_size=12), st.integers(0, 9))
 @settings(max_examples=50, deadline=None)
 def test_lm_windows_of_all_turns_hold_each_target_once(lengths, first):
