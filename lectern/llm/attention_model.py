@@ -1,8 +1,7 @@
 """A causal self-attention model of slots in numpy: forward, gradient and Adam steps in buffers that are used again.
 
 A slot is one of SLOTS classes of ids, put out in two steps: cluster (slot // SIDE) and place (slot % SIDE).
-One attention layer, one hidden layer; a unit column beside the activations carries the biases. Weights
-of attention are not normalised: the row of ones beside the values sums them, and what they gave is divided.
+One attention layer, one hidden layer; a unit column beside the activations carries the biases.
 """
 
 from __future__ import annotations
@@ -14,6 +13,8 @@ SLOTS = SIDE * SIDE
 WIDTH, HIDDEN, WINDOW = 24, 48, 32
 #: Windows in memory at a time.
 LOT = 128
+#: Runs of rows that products over all rows of a lot are cut into.
+PARTS = 8
 
 SHAPES = {"E": (SLOTS, WIDTH), "P": (WINDOW, WIDTH), "QKV": (WIDTH, 3 * WIDTH), "O": (WIDTH, WIDTH), "W1": (WIDTH + 1, HIDDEN), "W2": (HIDDEN, WIDTH), "C": (WIDTH + 1, SIDE), "U": (SIDE, WIDTH + 1, SIDE)}
 N_WEIGHTS = sum(int(np.prod(s)) for s in SHAPES.values())
@@ -39,25 +40,36 @@ def first_weights(slot_counts: np.ndarray) -> np.ndarray:
     return np.concatenate([p[k].ravel() for k in SHAPES]).astype(np.float32)
 
 
+def crossed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a.T @ b, summed over PARTS runs of rows: BLAS is slow where the inner dimension is long and the result small."""
+    n = len(a) // PARTS * PARTS
+    out = np.matmul(a[:n].reshape(PARTS, -1, a.shape[1]).transpose(0, 2, 1), b[:n].reshape(PARTS, -1, b.shape[1])).sum(0)
+    if n < len(a):
+        out += a[n:].T @ b[n:]
+    return out
+
+
 class Model:
-    """The model under weights that may change, with buffers for LOT windows. Windows are rows of slots."""
+    """The model under weights that may change, with buffers for LOT windows. Windows are rows of slots.
+
+    Rows of width d + 1 are added whole: a unit column stays 1, as what is added to it is 0.
+    """
 
     def __init__(self, flat: np.ndarray):
         d, n = WIDTH, LOT * WINDOW
         self.flat = flat.astype(np.float32)  # a copy: steps change it
         self.p = unpacked(self.flat)
         new = lambda *shape: np.zeros(shape, np.float32)
-        self.table, self.places = new(SLOTS, 4 * d + 1), new(WINDOW, 4 * d + 1)
-        self.table[:, -1] = 1
-        self.x, self.dx = new(LOT, WINDOW, 4 * d + 1), new(LOT, WINDOW, 3 * d)
-        self.a, self.da = new(n, WINDOW), new(LOT, WINDOW, WINDOW)
-        self.o, self.mix = new(n, d + 1), new(n, d)
-        self.h, self.r, self.z = new(n, d + 1), new(n, HIDDEN), new(n, d + 1)
-        self.h[:, d] = self.z[:, d] = 1
+        self.embedded, self.table, self.embedded_places, self.places = new(SLOTS, d + 1), new(SLOTS, 3 * d + 1), new(WINDOW, d + 1), new(WINDOW, 3 * d + 1)
+        self.embedded[:, d] = 1
+        self.w2 = new(HIDDEN, d + 1)
+        self.e, self.x, self.dx = new(n, d + 1), new(LOT, WINDOW, 3 * d + 1), new(LOT, WINDOW, 3 * d)
+        self.a, self.da, self.turned = new(n, WINDOW), new(LOT, WINDOW, WINDOW), new(LOT, d, WINDOW)
+        self.o, self.h, self.r, self.z = new(n, d + 1), new(n, d + 1), new(n, HIDDEN), new(n, d + 1)
         self.zs, self.lp, self.lc = new(n, d + 1), new(n, SIDE), new(n, SIDE)
-        self.dz, self.dp, self.dh, self.dr, self.do = new(n, d + 1), new(n, d + 1), new(n, d), new(n, HIDDEN), new(n, d)
-        self.de, self.sorted_de = new(n, d), new(n, d)
-        self.rows, self.side = np.arange(n), np.arange(SIDE + 1)
+        self.dz, self.dp, self.dh, self.dr, self.on = new(n + 1, d + 1), new(n, d + 1), new(n, d + 1), new(n, HIDDEN), new(n, HIDDEN)
+        self.de, self.sorted_de, self.none = new(n, d), new(n, d), new(n, HIDDEN)
+        self.rows, self.side, self.at = np.arange(n) * SIDE, np.arange(SIDE + 1), np.zeros(n, np.int64)
         self.past = np.tril(np.ones((WINDOW, WINDOW), np.float32))
         self.g, self.m, self.v, self.step = new(N_WEIGHTS), new(N_WEIGHTS), new(N_WEIGHTS), 0
         self.spare = new(N_WEIGHTS)
@@ -70,35 +82,45 @@ class Model:
         self.qkv = self.p["QKV"].copy()
         self.qkv[:, :d] *= np.float32(d**-0.5)
         self.qkv[:, 2 * d :] = self.p["QKV"][:, 2 * d :] @ self.p["O"]
-        for table, weights in ((self.table, self.p["E"]), (self.places, self.p["P"])):
-            table[:, :d] = weights
-            np.matmul(weights, self.qkv, out=table[:, d : 4 * d])
+        for embedded, table, weights in ((self.embedded, self.table, self.p["E"]), (self.embedded_places, self.places, self.p["P"])):
+            embedded[:, :d] = weights
+            np.matmul(weights, self.qkv, out=table[:, : 3 * d])
+        self.w2[:, :d] = self.p["W2"]
+
+    def _turned(self, x: np.ndarray) -> np.ndarray:
+        """Each window's transpose, as a copy: with a view the product takes longer than copy and product."""
+        out = self.turned[: len(x)]
+        np.copyto(out, x.transpose(0, 2, 1))
+        return out
 
     def _body(self, x: np.ndarray, safe: bool, first: int = 0) -> None:
         """Leaves what the head takes for the places from first on; those before it have keys and values only."""
         d, b, past = WIDTH, len(x), self.past[first:]
-        n, e = b * len(past), self.x[: len(x)]
-        np.take(self.table, x, axis=0, out=e, mode="clip")
-        e += self.places
-        a, o, h, r, z = self.a[:n].reshape(b, -1, WINDOW), self.o[:n].reshape(b, -1, d + 1), self.h[:n], self.r[:n], self.z[:n]
-        np.matmul(e[:, first:, d : 2 * d], e[..., 2 * d : 3 * d].transpose(0, 2, 1), out=a)
+        n, kv = b * len(past), self.x[: len(x)]
+        np.take(self.table, x, axis=0, out=kv, mode="clip")
+        kv += self.places
+        a, e, o, h, r, z = self.a[:n], self.e[:n], self.o[:n], self.h[:n], self.r[:n], self.z[:n]
+        np.take(self.embedded, x[:, first:], axis=0, out=e.reshape(b, -1, d + 1), mode="clip")
+        e.reshape(b, -1, d + 1)[:] += self.embedded_places[first:]
+        by_window = a.reshape(b, -1, WINDOW)
+        np.matmul(kv[:, first:, :d], self._turned(kv[..., d : 2 * d]), out=by_window)
         if safe:
-            a -= np.where(past > 0, a, -np.inf).max(axis=2, keepdims=True)
+            by_window -= np.where(past > 0, by_window, -np.inf).max(axis=2, keepdims=True)
             np.minimum(a, 0, out=a)
         np.exp(a, out=a)
-        a *= past
-        np.matmul(a, e[..., 3 * d :], out=o)
-        o[..., :d] /= o[..., d:]
-        np.add(e[:, first:, :d], o[..., :d], out=h.reshape(b, -1, d + 1)[..., :d])
+        by_window *= past
+        a *= (1 / (a @ self.past[-1]))[:, None]
+        np.matmul(by_window, kv[..., 2 * d :], out=o.reshape(b, -1, d + 1))
+        np.add(e, o, out=h)
         np.matmul(h, self.p["W1"], out=r)
-        np.maximum(r, 0, out=r)
-        np.matmul(r, self.p["W2"], out=self.mix[:n])
-        np.add(h[:, :d], self.mix[:n], out=z[:, :d])
+        np.maximum(r, self.none[:n], out=r)  # with an array: with a number it takes three times as long
+        np.matmul(r, self.w2, out=z)
+        z += h
 
     def _head(self, order: np.ndarray, target: np.ndarray, safe: bool) -> tuple[np.ndarray, list[int]]:
-        """Log probability of each target; order: its place, so that targets ascend. Leaves exp(logits) and their sums."""
+        """Log probability of each target; order: its place, so that targets ascend. Leaves exp(logits), their sums and where the targets' are."""
         n = len(order)
-        cluster, place, rows = target // SIDE, target % SIDE, self.rows[:n]
+        cluster = target // SIDE
         edges = np.searchsorted(cluster, self.side).tolist()
         zs, lp, lc = self.zs[:n], self.lp[:n], self.lc[:n]
         np.take(self.z, order, axis=0, out=zs, mode="clip")
@@ -109,7 +131,8 @@ class Model:
         if safe:
             lp -= lp.max(axis=1, keepdims=True)
             lc -= lc.max(axis=1, keepdims=True)
-        out = lp[rows, place] + lc[rows, cluster]
+        self.hits = self.rows[:n] + target % SIDE, self.rows[:n] + cluster
+        out = lp.reshape(-1)[self.hits[0]] + lc.reshape(-1)[self.hits[1]]
         np.exp(lp, out=lp)
         np.exp(lc, out=lc)
         ones = self.past[-1]
@@ -143,11 +166,11 @@ class Model:
             if np.isfinite(found).all():
                 break
         m = len(order)
-        lp, lc, zs, dz, dp, dh, dr, do = self.lp[:m], self.lc[:m], self.zs[:m], self.dz[:m], self.dp[:m], self.dh[:n], self.dr[:n], self.do[:n]
-        for logits, sums, index in ((lp, self.sums[0], target % SIDE), (lc, self.sums[1], target // SIDE)):
+        lp, lc, zs, dz, dp, dh, dr, on = self.lp[:m], self.lc[:m], self.zs[:m], self.dz[:m], self.dp[:m], self.dh[:n], self.dr[:n], self.on[:n]
+        for logits, sums, hits in ((lp, self.sums[0], self.hits[0]), (lc, self.sums[1], self.hits[1])):
             logits *= (np.float32(1 / total) / sums)[:, None]
-            logits[self.rows[:m], index] -= np.float32(1 / total)
-        g["C"] += zs.T @ lc
+            logits.reshape(-1)[hits] -= np.float32(1 / total)
+        g["C"] += crossed(zs, lc)
         np.matmul(lc, p["C"].T, out=dz)
         for c in range(SIDE):
             i, j = edges[c], edges[c + 1]
@@ -155,31 +178,34 @@ class Model:
                 g["U"][c] += zs[i:j].T @ lp[i:j]
                 np.matmul(lp[i:j], p["U"][c].T, out=dp[i:j])
         dz += dp
-        dh[:] = 0
-        dh[order] = dz[:, :d]
-        a, o, h, r, e, da, dx = self.a[:n].reshape(b, WINDOW, WINDOW), self.o[:n].reshape(b, WINDOW, d + 1), self.h[:n], self.r[:n], self.x[:b], self.da[:b], self.dx[:b]
-        g["W2"] += r.T @ dh
-        np.matmul(dh, p["W2"].T, out=dr)
-        dr *= r > 0
-        g["W1"] += h.T @ dr
-        dh += dr @ p["W1"][:d].T
-        do = do.reshape(b, WINDOW, d)
-        np.divide(dh.reshape(b, WINDOW, d), o[..., d:], out=do)
-        q, k, v = e[..., d : 2 * d], e[..., 2 * d : 3 * d], e[..., 3 * d : 4 * d]
+        # Row m of dz, which is 0, goes to the places without a target. The last column of dh is of a constant, and not used.
+        self.dz[m], at = 0, self.at[:n]
+        at[:] = m
+        at[order] = np.arange(m)
+        np.take(self.dz, at, axis=0, out=dh, mode="clip")
+        a, o, h, r, kv, da, dx = self.a[:n].reshape(b, WINDOW, WINDOW), self.o[:n], self.h[:n], self.r[:n], self.x[:b], self.da[:b], self.dx[:b]
+        g["W2"] += crossed(r, dh[:, :d])
+        np.matmul(dh[:, :d], p["W2"].T, out=dr)
+        np.copyto(on, r > 0)
+        dr *= on
+        g["W1"] += crossed(h, dr)
+        dh += np.matmul(dr, p["W1"].T, out=self.z[:n])
+        do = dh.reshape(b, WINDOW, d + 1)[..., :d]
+        q, k, v = kv[..., :d], kv[..., d : 2 * d], kv[..., 2 * d : 3 * d]
         np.matmul(a.transpose(0, 2, 1), do, out=dx[..., 2 * d :])
-        np.matmul(do, v.transpose(0, 2, 1), out=da)
-        da -= np.einsum("bwd,bwd->bw", do, o[..., :d])[:, :, None]
+        np.matmul(do, self._turned(v), out=da)
+        da -= np.einsum("nd,nd->n", dh[:, :d], o[:, :d]).reshape(b, WINDOW, 1)
         da *= a
         np.matmul(da, k, out=dx[..., :d])
         np.matmul(da.transpose(0, 2, 1), q, out=dx[..., d : 2 * d])
         flat_dx, de = dx.reshape(n, 3 * d), self.de[:n]
-        dqkv = e.reshape(n, 4 * d + 1)[:, :d].T @ flat_dx
+        dqkv = crossed(self.e[:n, :d], flat_dx)
         dqkv[:, :d] *= np.float32(d**-0.5)
         g["O"] += p["QKV"][:, 2 * d :].T @ dqkv[:, 2 * d :]
         dqkv[:, 2 * d :] = dqkv[:, 2 * d :] @ p["O"].T
         g["QKV"] += dqkv
         np.matmul(flat_dx, self.qkv.T, out=de)
-        de += dh
+        de += dh[:, :d]
         g["P"] += de.reshape(b, WINDOW, d).sum(0)
         order = np.argsort(x.ravel().astype(np.int16), kind="stable")
         rows, many = self.sorted_de[:n], np.bincount(x.ravel(), minlength=SLOTS)
@@ -197,18 +223,16 @@ class Model:
         for i in range(0, len(w), LOT):
             self.add_gradient(np.maximum(w[i : i + LOT, :-1], 0), w[i : i + LOT, 1:], total)
         self.step += 1
-        g, m, v, t = self.g, self.m, self.v, self.spare
-        np.subtract(g, m, out=t)
-        t *= np.float32(0.1)
-        m += t
+        g, m, v, t = self.g, self.m, self.v, self.spare  # m: 10 times the first moment, v: 100 times the second
+        m *= np.float32(0.9)
+        m += g
         np.multiply(g, g, out=t)
-        t -= v
-        t *= np.float32(0.01)
+        v *= np.float32(0.99)
         v += t
         np.sqrt(v, out=t)
-        t *= np.float32((1 - 0.99**self.step) ** -0.5)
-        t += np.float32(1e-7)
+        scale = 0.1 * (1 - 0.99**self.step) ** -0.5
+        t += np.float32(1e-7 / scale)
         np.divide(m, t, out=t)
-        t *= np.float32(rate / (1 - 0.9**self.step))
+        t *= np.float32(0.1 * rate / (1 - 0.9**self.step) / scale)
         self.flat -= t
         self._tables()

@@ -12,8 +12,10 @@ with all counts.
 
 from __future__ import annotations
 
-from collections import Counter
+import math
 from collections.abc import Iterator
+from itertools import compress, repeat
+from operator import add, not_
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +47,7 @@ ENCODE_BYTES = 4 << 20
 
 
 def _encoded(path: str, kind: pa.DataType):
-    """Per row its lower-cased text, words (with the end) and ids; beside them, rows with the counts of words of training texts."""
+    """Per row its lower-cased text, words (with the end) and ids; beside them, rows with the counts of words of training texts, and of their ids (id in n_tokens)."""
     names = ["doc_id", "held", "t", "n_tokens", "ids", "word", "c"]
 
     def doc_rows(batch: pa.RecordBatch, texts: pa.Array, found: Slice) -> pa.RecordBatch:
@@ -53,43 +55,36 @@ def _encoded(path: str, kind: pa.DataType):
         columns = [batch.column(0), batch.column(1), texts, pa.array(found.word_counts() + 1, pa.int64()), pa.array([x.tobytes() for x in found.texts()], pa.binary()), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64())]
         return pa.RecordBatch.from_arrays(columns, names)
 
-    def count_rows(counts: Counter) -> pa.RecordBatch:
+    def count_rows(counts: dict[bytes, int]) -> pa.RecordBatch:
         n = len(counts)
         columns = [pa.nulls(n, kind), pa.nulls(n, pa.bool_()), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())]
         return pa.RecordBatch.from_arrays(columns, names)
 
+    def id_rows(total: np.ndarray) -> pa.RecordBatch:
+        some = np.flatnonzero(total)
+        n = len(some)
+        columns = [pa.nulls(n, kind), pa.nulls(n, pa.bool_()), pa.nulls(n, pa.string()), pa.array(some), pa.nulls(n, pa.binary()), pa.nulls(n, pa.string()), pa.array(total[some])]
+        return pa.RecordBatch.from_arrays(columns, names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only("words")
-        encoder, counts = word_encoder(path), Counter()
+        encoder, counts = word_encoder(path), {}
+        total = np.zeros(encoder.tokenizer.get_vocab_size(), np.int64)
         for batch in text_slices(batches, 2, ENCODE_BYTES, 10_000):
             texts = pc.ascii_lower(batch.column(2).fill_null(""))
-            found = encoder.slice(texts)
-            learned = np.repeat(~batch.column(1).to_numpy(zero_copy_only=False), np.diff(found.word_ends))
-            for word, n in zip(found.words, np.bincount(found.codes[learned], minlength=len(found.words)).tolist(), strict=True):
-                if n and word:
-                    counts[word] += n
+            found, training = encoder.slice(texts), ~batch.column(1).to_numpy(zero_copy_only=False)
+            n = np.bincount(found.codes[np.repeat(training, np.diff(found.word_ends))], minlength=len(found.words))
+            some = np.flatnonzero(n)
+            words = [found.words[i] for i in some.tolist()]
+            counts.update(zip(words, map(add, map(counts.get, words, repeat(0)), n[some].tolist()), strict=True))
+            counts.pop(b"", None)
+            total += np.bincount(found.ids[np.repeat(training, np.diff(found.ends))], minlength=len(total))
             yield doc_rows(batch, texts, found)
             if len(counts) > COUNTED_WORDS:
                 yield count_rows(counts)
                 counts.clear()
         yield count_rows(counts)
-
-    return run
-
-
-def _id_counts(path: str):
-    """How often each id stands in the training texts, from the counts of words."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        only("words")
-        encoder = word_encoder(path)
-        total = np.zeros(encoder.tokenizer.get_vocab_size(), np.int64)
-        for batch in text_slices(batches, 0):
-            found = encoder.slice(batch.column(0))
-            many = np.repeat(batch.column(1).to_numpy(), np.diff(found.ends))
-            total += np.bincount(found.ids, many, len(total)).astype(np.int64)
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["id", "n"])
+        yield id_rows(total)
 
     return run
 
@@ -192,6 +187,8 @@ def score_ids(model: Model, tail: np.ndarray, slots: np.ndarray, documents: list
 
 
 def _score(model_data, hot_words, dtype: str):
+    """hot_words: words, and log10 of their counts and one."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only()
         flat, slots, tail = model_data.value
@@ -201,19 +198,20 @@ def _score(model_data, hot_words, dtype: str):
             known, base, rare = [], [], []
             for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
                 words = data[a:b].split()
-                c = [get(w, 0) for w in words]
-                known.append(len(c) - c.count(0))
-                base.append(float(np.log10(np.array(c, np.float64) + 1).sum()))
-                rare.append(b" ".join([w for w, n in zip(words, c, strict=True) if not n]))
+                logs = list(map(get, words, repeat(0.0)))
+                others = list(compress(words, map(not_, logs)))
+                known.append(len(words) - len(others))
+                base.append(sum(logs, 0.0))
+                rare.append(b" ".join(others))
             score = score_ids(model, tail, slots, [np.frombuffer(x, dtype) for x in batch.column(3).to_pylist()])
-            columns = [batch.column(0), batch.column(2), pa.array(known, pa.int64()), pa.array(base), pa.array(rare, pa.string()), pa.array(score)]
+            columns = [batch.column(0), batch.column(2), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(rare, pa.string()), pa.array(score)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "known", "base", "rare", "score"])
 
     return run
 
 
 def frequent_words(counts: DataFrame, most: int = HOT_WORDS) -> dict[bytes, int]:
-    """Words of at most HOT_BYTES bytes with their counts, from a count on that at most about most words reach; found by a histogram, without sorting."""
+    """Words of at most HOT_BYTES bytes with their counts, from a count on that at most about most words reach, the most frequent first; found by a histogram, without sorting all words."""
     short = counts.where(F.octet_length("word") <= HOT_BYTES).withColumn("bin", F.floor(F.log2("c") * 8).cast("int"))
     upto, least = 0, None
     for r in sorted(short.groupBy("bin").agg(F.count("*").alias("n")).collect(), reverse=True):  # 8 bins a doubling
@@ -223,7 +221,8 @@ def frequent_words(counts: DataFrame, most: int = HOT_WORDS) -> dict[bytes, int]
         least = r.bin
     if least is None:
         return {}
-    return {r.word.encode(): r.c for r in short.where(F.col("bin") >= least).select("word", "c").toLocalIterator()}
+    found = [(r.word.encode(), r.c) for r in short.where(F.col("bin") >= least).select("word", "c").toLocalIterator()]
+    return dict(sorted(found, key=lambda x: -x[1]))  # what is looked up most lies together
 
 
 def lm_scores(docs: DataFrame, tokenizer_path: str | None = None, id_col: str = "doc_id", text_col: str = "text", modulus: int = 7, held_out: int = 2) -> DataFrame:
@@ -253,7 +252,7 @@ def lm_scores(docs: DataFrame, tokenizer_path: str | None = None, id_col: str =
     total = counts.agg(F.count("*").alias("v"), F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first()
     n, v = total.n + ends, total.v + bool(ends)
     id_counts = np.zeros(encoder.tokenizer.get_vocab_size(), np.int64)
-    for r in counts.mapInArrow(_id_counts(path), "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():  # one row an id of the vocabulary at most
+    for r in stored.where("t IS NULL AND word IS NULL").groupBy(F.col("n_tokens").alias("id")).agg(F.sum("c").alias("n")).collect():  # one row an id of the vocabulary at most
         id_counts[r.id] = r.n
     top = np.argsort(-id_counts, kind="stable")[: SLOTS - 2]
     slots = np.full(len(id_counts), TAIL, np.int16)
@@ -262,7 +261,7 @@ def lm_scores(docs: DataFrame, tokenizer_path: str | None = None, id_col: str =
     tail = np.where(slots == TAIL, np.log(np.maximum(rest, 1e-300) / rest.sum()), 0.0)
     flat = train(training.select("ids"), slots, np.array([ends, *id_counts[top], rest.sum()]), encoder.dtype.str)
     scored = texts.select("doc_id", "t", "n_tokens", "ids").mapInArrow(
-        _score(sc.broadcast((flat, slots, tail)), sc.broadcast(frequent_words(counts)), encoder.dtype.str),
+        _score(sc.broadcast((flat, slots, tail)), sc.broadcast({w: math.log10(c + 1) for w, c in frequent_words(counts).items()}), encoder.dtype.str),
         f"doc_id {kind.simpleString()}, n_tokens long, known long, base double, rare string, score double",
     )
     scored = checkpointed(scored.withColumn("row", F.monotonically_increasing_id()))

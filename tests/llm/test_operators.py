@@ -168,6 +168,29 @@ def test_lm_base_and_counts_against_brute_force(spark, monkeypatch):
     assert sorted((r.doc_id or -1, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == want
 
 
+def test_lm_counts_ids_where_it_encodes(monkeypatch):
+    monkeypatch.setattr(lm_scoring, "ENCODE_BYTES", 40)  # many slices
+    path, texts = token_store.default_tokenizer(), ["The house", None, "a b  the HOUSES", "held out", " é ü " * 9, ""]
+    held = [t == "held out" for t in texts]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(held), pa.array(texts, pa.string())], ["doc_id", "held", "t"])
+    rows = pa.Table.from_batches(lm_scoring._encoded(path, pa.int64())(iter([batch]))).to_pylist()
+    encode = lambda t: word_encoder(path).tokenizer.encode((t or "").lower(), add_special_tokens=False).ids
+    want = Counter(i for t, h in zip(texts, held) if not h for i in encode(t))
+    assert {r["n_tokens"]: r["c"] for r in rows if r["t"] is None and r["word"] is None} == want
+    assert [r["n_tokens"] for r in rows if r["t"] is not None] == [len((t or "").split()) + 1 for t in texts]
+
+
+def test_lm_products_over_many_rows_are_cut_into_runs(monkeypatch):
+    rng, longest, matmul = np.random.default_rng(3), [], np.matmul
+    for n in (0, 5, 8, 4096, 4099):
+        a, b = rng.standard_normal((n, 25)).astype(np.float32), rng.standard_normal((n, 48)).astype(np.float32)
+        assert np.allclose(attention_model.crossed(a[:, :24], b), a[:, :24].T @ b, atol=1e-3)
+    monkeypatch.setattr(attention_model.np, "matmul", lambda x, y, **k: (y.ndim == 3 and longest.append(y.shape[-2]), matmul(x, y, **k))[1])
+    model = attention_model.Model(attention_model.first_weights(np.ones(attention_model.SLOTS)))
+    model.train(rng.integers(0, attention_model.SLOTS, (attention_model.LOT, attention_model.WINDOW + 1)), 1e-3)
+    assert attention_model.LOT * attention_model.WINDOW // attention_model.PARTS in longest
+
+
 def test_lm_frequent_words_are_bounded(spark):
     counts = spark.createDataFrame([(f"w{i}", i + 1) for i in range(1000)] + [("x" * 65, 9999)], "word string, c long")
     few = lm_scoring.frequent_words(counts, 200)
