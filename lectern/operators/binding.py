@@ -92,17 +92,21 @@ def place_without_separators(text: Column, n: Column, separators: str = "|-_ ")
 
 def letter_rows(docs: DataFrame, text: str, key: str = "doc_id", separators: str = " _") -> DataFrame:
     """key, n (from 0, separators not counted), c, sep: whether a separator follows."""
-    c = docs.select(key, F.posexplode(F.split(text, "")).alias("i", "c")).where("c != ''")
-    w = Window.partitionBy(key).orderBy("i")
-    is_sep = F.lit(separators).contains(F.col("c"))
-    c = c.withColumn("sep", F.coalesce(F.lead(is_sep).over(w), F.lit(False))).where(~is_sep)
-    return c.select(key, (F.row_number().over(w) - 1).alias("n"), "c", "sep")
+    c = docs.select(key, F.posexplode(_letters(F.col(text), separators)).alias("n", "l"))
+    return c.select(key, "n", F.substring("l", 1, 1).alias("c"), (F.length("l") > 1).alias("sep"))
+
+
+def _letters(text: Column, separators: str) -> Column:
+    """The letters of a text in order, each with a separator that follows it."""
+    own = "".join("\\" + c for c in separators)
+    return F.regexp_extract_all(text, F.lit(f"[^{own}][{own}]?" if own else "(?s)."), F.lit(0))
 
 
 def aligned_letters(docs: DataFrame, orig: str, gold: str, key: str = "doc_id", orig_separators: str = " ", gold_separators: str = "_") -> DataFrame:
-    """key, n, c, orig_sep, gold_sep: letters of two versions of a text, joined by their places without separators."""
-    a, b = letter_rows(docs, orig, key, orig_separators), letter_rows(docs, gold, key, gold_separators)
-    return a.withColumnRenamed("sep", "orig_sep").join(b.select(key, "n", F.col("sep").alias("gold_sep"), F.col("c").alias("gold_c")), [key, "n"]).where("c = gold_c").drop("gold_c")
+    """key, n, c, orig_sep, gold_sep: letters of two versions of a text, put together by their places without separators; texts are rows, so no letter leaves its own."""
+    both = F.arrays_zip(_letters(F.col(orig), orig_separators).alias("a"), _letters(F.col(gold), gold_separators).alias("b"))
+    z = docs.select(key, F.posexplode(both).alias("n", "z")).where(F.substring("z.a", 1, 1) == F.substring("z.b", 1, 1))
+    return z.select(key, "n", F.substring("z.a", 1, 1).alias("c"), (F.length("z.a") > 1).alias("orig_sep"), (F.length("z.b") > 1).alias("gold_sep"))
 
 
 def proportional_split(groups: DataFrame, share: float = 0.8, key: str = "doc_id", by: str = "i") -> DataFrame:

@@ -181,16 +181,16 @@ def last_values(rows: DataFrame, key: str, value: str, line: str) -> DataFrame:
     return rows.groupBy(key).agg(F.max_by(value, line).alias(value))
 
 
-def grid(units: DataFrame, group: DataFrame, key: str, by: str, columns: list[str], group_columns: list[str]) -> DataFrame:
+def grid(units: DataFrame, group: DataFrame | None, key: str, by: str, columns: list[str], group_columns: list[str]) -> DataFrame:
     """Rows of a spreadsheet: row (from 1), a column for each annotation of the unit and of its group, and span: over how many rows a group's cells reach (0 on rows inside it).
 
-    units and group share key and grp. A sheet has 26 columns at most.
+    units and group share key and grp; without group, units have the columns of their groups. A sheet has 26 columns at most.
     """
     if len(columns) + len(group_columns) > 26:
         raise ValueError("a sheet has at most 26 columns")
     w = Window.partitionBy(key).orderBy("grp", by)
     g = Window.partitionBy(key, "grp")
     first = F.row_number().over(g.orderBy(by)) == 1
-    u = units.join(group.select(key, "grp", *group_columns), [key, "grp"], "left")
+    u = units if group is None else units.join(group.select(key, "grp", *group_columns), [key, "grp"], "left")
     cells = [F.when(first, F.col(c)).alias(c) for c in group_columns]
     return u.select(key, F.row_number().over(w).alias("row"), *columns, *cells, F.when(first, F.count("*").over(g)).otherwise(0).alias("span"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,16 +15,23 @@ def units(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     return df.select(key, F.posexplode(word_array(F.col(text))).alias("i", "tok"))
 
 
-def words(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row a text: key, words and places, what units gives as rows: places is null where they are 0, 1, ...
+def shares(df: DataFrame, text: str = "text", each: int = 1 << 18) -> int:
+    """How many partitions have some each bytes of text, so that what one task sorts does not grow with the input: rows made of a text take a hundred times its room and more."""
+    return max(1, -(-(df.agg(F.sum(F.octet_length(text))).first()[0] or 0) // each))
+
+
+def words(df: DataFrame, key: str = "doc_id", text: str = "text", cut: Callable[[Column], Column] = word_array, parts: int | None = None) -> DataFrame:
+    """One row a text: key, words (as cut has them) and places, what units gives as rows: places is null where they are 0, 1, ...
 
-    Texts, not words, are brought together by key; those that share one are taken place by place, as windows over units take them.
+    Texts, not words, are brought together by key, so that windows and groups by key over what is made of them need no exchange; those
+    that share a key are taken place by place, as windows over units take them. parts: see shares; for what is sorted afterwards.
     """
+    df = df.select(key, text).repartition(parts, key) if parts else df
     g = df.groupBy(key).agg(F.collect_list(F.coalesce(F.col(text), F.lit(""))).alias("__t"))
-    placed = lambda t: F.transform(word_array(t), lambda w, i: F.struct(i.alias("i"), w.alias("w")))
+    placed = lambda t: F.transform(cut(t), lambda w, i: F.struct(i.alias("i"), w.alias("w")))
     several = F.when(F.size("__t") > 1, F.array_sort(F.flatten(F.transform("__t", placed))))
     g = g.select(key, F.get("__t", F.lit(0)).alias("__t"), several.alias("__s"))
-    own = F.when(F.col("__s").isNull(), word_array(F.col("__t"))).otherwise(F.transform("__s", lambda x: x["w"]))
+    own = F.when(F.col("__s").isNull(), cut(F.col("__t"))).otherwise(F.transform("__s", lambda x: x["w"]))
     return g.select(key, own.alias("words"), F.transform("__s", lambda x: x["i"]).alias("places"))
 
 

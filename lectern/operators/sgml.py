@@ -22,6 +22,11 @@ def numbered(events: DataFrame, element: str, key: str = "doc_id", name: str = "
     return events.withColumn(name, F.sum(_opens(element).cast("int")).over(_running(key)))
 
 
+def last_attribute(element: str, name: str, key: str = "doc_id") -> Column:
+    """The attribute of the last opened element that has it."""
+    return F.last(F.when(_opens(element), F.col("attrs")[name]), True).over(_running(key))
+
+
 def event_text(events: DataFrame, key: str = "doc_id") -> DataFrame:
     """key, text: the lines of each document."""
     attrs = F.array_join(F.transform(F.map_entries("attrs"), lambda e: F.concat(F.lit(" "), e["key"], F.lit('="'), e["value"], F.lit('"'))), "")
@@ -40,11 +45,14 @@ def _with_attribute(attrs: Column, name: str, value: Column, before: str | None
     return F.map_from_entries(F.flatten(F.transform(rest, lambda e: F.when(e["key"] == before, F.concat(new, F.array(e))).otherwise(F.array(e)))))
 
 
-def inject_attribute(events: DataFrame, values: DataFrame, name: str, anchor: str, key: str = "doc_id", replace: bool = True) -> DataFrame:
-    """The n-th tag (from 1) that has the attribute anchor gets name=value in front of it. values: key, n, value; empty and null values change nothing."""
+def inject_attribute(events: DataFrame, values: DataFrame | Column, name: str, anchor: str, key: str = "doc_id", replace: bool = True) -> DataFrame:
+    """The n-th tag (from 1) that has the attribute anchor gets name=value in front of it. values: key, n, value, or a column made of n and the tag's own; empty and null values change nothing."""
     has = (F.col("kind") == "open") & F.col("attrs")[anchor].isNotNull()
     e = events.withColumn("n", F.when(has, F.sum(has.cast("int")).over(_running(key))))
-    e = e.join(values.select(key, "n", F.col("value").alias("__value")), [key, "n"], "left")
+    if isinstance(values, Column):
+        e = e.withColumn("__value", F.when(has, values))
+    else:
+        e = e.join(values.select(key, "n", F.col("value").alias("__value")), [key, "n"], "left")
     set_ = (F.coalesce("__value", F.lit("")) != "") & (F.lit(replace) | F.col("attrs")[name].isNull())
     return e.withColumn("attrs", F.when(set_, _with_attribute(F.col("attrs"), name, F.col("__value"), anchor)).otherwise(F.col("attrs"))).drop("n", "__value")
 
@@ -62,9 +70,8 @@ def drop_elements(events: DataFrame, *elements: str) -> DataFrame:
 def collapse_element(events: DataFrame, kill: str, into: str, key: str = "doc_id") -> DataFrame:
     """<kill kill="v"> inside <into> becomes its attribute kill; the last one in it counts."""
     e = numbered(events, into, key)
-    value = F.max_by(F.col("attrs")[kill], "line_no").alias("__value")
-    found = e.where(_opens(kill) & (F.col("unit") > 0)).groupBy(key, "unit").agg(value)
-    e = drop_elements(e, kill).join(found, [key, "unit"], "left")
+    own = F.when(_opens(kill) & (F.col("unit") > 0), F.struct("line_no", F.col("attrs")[kill].alias("v")))
+    e = drop_elements(e.withColumn("__value", F.max(own).over(Window.partitionBy(key, "unit"))["v"]), kill)
     hit = _opens(into) & F.col("__value").isNotNull()
     return e.withColumn("attrs", F.when(hit, _with_attribute(F.col("attrs"), kill, F.col("__value"))).otherwise(F.col("attrs"))).drop("unit", "__value")
 
@@ -72,8 +79,7 @@ def collapse_element(events: DataFrame, kill: str, into: str, key: str = "doc_id
 def drop_if_nested_has(events: DataFrame, nester: str, nested: str, name: str, key: str = "doc_id") -> DataFrame:
     """An element loses the attribute if one nested in it carries it."""
     e = numbered(events, nester, key)
-    inner = e.where(_opens(nested) & F.col("attrs")[name].isNotNull()).select(key, "unit").distinct().withColumn("__hit", F.lit(True))
-    e = e.join(inner, [key, "unit"], "left")
+    e = e.withColumn("__hit", F.max(_opens(nested) & F.col("attrs")[name].isNotNull()).over(Window.partitionBy(key, "unit")))
     return e.withColumn("attrs", F.when(_opens(nester) & F.col("__hit"), F.map_filter("attrs", lambda k, _: k != name)).otherwise(F.col("attrs"))).drop("unit", "__hit")
 
 
@@ -118,32 +124,39 @@ def span_tags(spans: DataFrame, key: str = "doc_id", priorities: list[str] = ())
     return o.unionByName(c)
 
 
-def wrap_spans(events: DataFrame, spans: DataFrame, around: str, key: str = "doc_id", priorities: list[str] = ()) -> DataFrame:
-    """Events with the tags of spans put around the elements named around. spans: key, st, en (numbers of such elements, from 1), tag, attrs."""
-    e = numbered(events, around, key)
-    closes = e.where((F.col("kind") == "close") & (F.col("tag") == around)).select(key, F.col("line_no").alias("l"), F.row_number().over(Window.partitionBy(key).orderBy("line_no")).alias("at"))
-    places = e.where(_opens(around)).select(key, F.col("line_no").alias("l"), F.col("unit").alias("at"), F.lit(0).alias("phase")).unionByName(closes.withColumn("phase", F.lit(1)))
-    tags = span_tags(spans, key, priorities).join(places, [key, "at", "phase"])
+def wrap_spans(events: DataFrame, spans: DataFrame, around: str, key: str = "doc_id", priorities: list[str] = (), parts: int | None = None) -> DataFrame:
+    """Events with the tags of spans put around the elements named around. spans: key, st, en (numbers of such elements, from 1), tag, attrs. parts: partitions to do it in."""
+    opens, closes = _opens(around), (F.col("kind") == "close") & (F.col("tag") == around)
+    nth = lambda what: F.sum(F.coalesce(what, F.lit(False)).cast("int")).over(_running(key))
+    at, phase = F.when(opens, nth(opens)).when(closes, nth(closes)), F.when(opens, 0).when(closes, 1)
+    old = events.select(key, F.col("line_no").alias("l"), F.lit(0).alias("side"), F.lit(0).alias("n"), "kind", "tag", "attrs", "text", at.cast("long").alias("at"), phase.alias("phase"))
     # Openers stand before the line, closers behind it.
-    new = tags.select(key, "l", F.when(F.col("phase") == 0, -1).otherwise(1).alias("side"), "n", "kind", "tag", "attrs", F.lit(None).cast("string").alias("text"))
-    old = events.select(key, F.col("line_no").alias("l"), F.lit(0).alias("side"), F.lit(0).alias("n"), "kind", "tag", "attrs", "text")
+    none = F.lit(None).cast("string")
+    new = span_tags(spans, key, priorities).select(key, F.lit(None).cast(events.schema["line_no"].dataType).alias("l"), F.when(F.col("phase") == 0, -1).otherwise(1).alias("side"), "n", "kind", "tag", "attrs", none.alias("text"), F.col("at").cast("long").alias("at"), "phase")
+    # Lines and tags meet once, by key: a tag's line is that of the element at its place.
     both = old.unionByName(new)
+    both = both.repartition(parts, key) if parts else both.repartition(key)
+    line = F.coalesce("l", F.max("l").over(Window.partitionBy(key, "at", "phase")))
+    both = both.withColumn("l", F.when(F.col("side") == 0, F.col("l")).otherwise(line)).where("l IS NOT NULL")
     return both.withColumn("line_no", F.row_number().over(Window.partitionBy(key).orderBy("l", "side", "n")) - 1).select(key, "line_no", "kind", "tag", "attrs", "text")
 
 
 def with_metadata(events: DataFrame, meta: Column, key: str = "doc_id") -> DataFrame:
     """The meta element first and its end last; what meta says is added to the attributes that are there, and wins."""
-    w = Window.partitionBy(key)
+    w = Window.partitionBy(key).orderBy("line_no")
     is_meta = F.coalesce(F.col("tag") == "meta", F.lit(False))
-    first = events.where(is_meta & (F.col("kind") == "open")).groupBy(key).agg(F.min_by("attrs", "line_no").alias("__have"))
-    edges = events.groupBy(key).agg(F.min("line_no").alias("lo"), F.max("line_no").alias("hi")).join(first, key, "left")
-    have = F.coalesce("__have", F.create_map().cast("map<string,string>"))
-    attrs = F.map_concat(F.map_filter(have, lambda k, _: ~F.array_contains(F.map_keys(meta), k)), meta)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    have = F.coalesce(F.first(F.when(is_meta & (F.col("kind") == "open"), F.col("attrs")), True).over(whole), F.create_map().cast("map<string,string>"))
+    e = events.withColumn("__have", have).withColumn("__first", F.row_number().over(w) == 1).withColumn("__last", F.lead(F.lit(1)).over(w).isNull())
+    attrs = F.map_concat(F.map_filter("__have", lambda k, _: ~F.array_contains(F.map_keys(meta), k)), meta)
     none, text = F.lit(None).cast("map<string,string>"), F.lit(None).cast("string")
-    opened = edges.select(key, (F.col("lo") - 1).alias("line_no"), F.lit("open").alias("kind"), F.lit("meta").alias("tag"), attrs.alias("attrs"), text.alias("text"))
-    closed = edges.select(key, (F.col("hi") + 1).alias("line_no"), F.lit("close").alias("kind"), F.lit("meta").alias("tag"), none.alias("attrs"), text.alias("text"))
-    out = events.where(~is_meta).select(key, "line_no", "kind", "tag", "attrs", "text").unionByName(opened).unionByName(closed)
-    return out.withColumn("line_no", F.row_number().over(w.orderBy("line_no")) - 1)
+    row = lambda side, kind, tag, attrs, text: F.struct(F.lit(side).alias("side"), kind.alias("kind"), tag.alias("tag"), attrs.alias("attrs"), text.alias("text"))
+    lines = F.array_compact(F.array(
+        F.when(F.col("__first"), row(0, F.lit("open"), F.lit("meta"), attrs, text)), F.when(~is_meta, row(1, F.col("kind"), F.col("tag"), F.col("attrs"), F.col("text"))),
+        F.when(F.col("__last"), row(2, F.lit("close"), F.lit("meta"), none, text)),
+    ))
+    out = e.select(key, "line_no", F.explode(lines).alias("x"))
+    return out.select(key, (F.row_number().over(Window.partitionBy(key).orderBy("line_no", "x.side")) - 1).alias("line_no"), "x.kind", "x.tag", "x.attrs", "x.text")
 
 
 def processing_metadata(segmentation: str = "automatic", tagging: str = "automatic", parsing: str | None = None, entities: str | None = None, version: str | None = None) -> Column:
@@ -154,8 +167,10 @@ def processing_metadata(segmentation: str = "automatic", tagging: str = "automat
 
 def group_segmentations(events: DataFrame, key: str = "doc_id", group: str = "norm_group", element: str = "norm") -> DataFrame:
     """key, grp, norm (of the whole group), seg (its units, joined by '|')."""
-    whole = numbered(events, group, key, "grp").where(_opens(group)).select(key, "grp", F.col("attrs")[group].alias("norm"))
-    return whole.join(roll_up(events, group, element, element, key, "|").withColumnRenamed("value", "seg"), [key, "grp"], "left")
+    e = numbered(events, group, key, "grp").where("grp > 0")
+    unit = F.when(_opens(element), F.struct("line_no", F.coalesce(F.col("attrs")[element], F.lit("")).alias("v")))
+    g = e.groupBy(key, "grp").agg(F.max(F.when(_opens(group), F.col("attrs")[group])).alias("norm"), F.array_sort(F.collect_list(unit)).alias("u"))
+    return g.select(key, "grp", "norm", F.when(F.size("u") > 0, F.array_join(F.transform("u", lambda x: x["v"]), "|")).alias("seg"))
 
 
 def consistent_segmentations(pairs: DataFrame) -> DataFrame:

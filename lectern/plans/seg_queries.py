@@ -9,7 +9,7 @@ from lectern.operators import lexicon as L
 from lectern.operators import segmentation as X
 from lectern.operators import sequences as S
 from lectern.plans.queries import MORPHS, PREFIXES, SEGMENTS, TOK, _tok, _values, docs_units, query, rows, table
-from lectern.plans.sgml_queries import GROUPS, conversation_groups
+from lectern.plans.sgml_queries import GROUPS, conversation_groups, conversation_words, units_of_word
 
 GRAMMAR = X.Grammar({"art": ["the", "der", "la"], "prep": ["an", "in", "of", "on"], "noun": ["and", "tion", "ing", "er", "the"]}, [["art", "noun"], ["prep", "art?", "noun"]])
 _RULED = """g(c, k, f) AS (VALUES ('art', 1, 'the'), ('art', 2, 'der'), ('art', 3, 'la'), ('prep', 1, 'an'), ('prep', 2, 'in'), ('prep', 3, 'of'), ('prep', 4, 'on'), ('noun', 1, 'and'), ('noun', 2, 'tion'), ('noun', 3, 'ing'), ('noun', 4, 'er'), ('noun', 5, 'the')),
@@ -91,9 +91,8 @@ c AS (SELECT key, grp, unnest(string_split(word, '')) AS c, unnest(range(length(
 SELECT key, (row_number() OVER (PARTITION BY key ORDER BY grp, k) - 1)::INT AS n, c, k = n - 1 AND grp < last AS orig_sep, (k = n - 1 AND grp < last) OR (n >= 6 AND k = 2) AS gold_sep FROM c""")
 def q102_aligned_letters(spark, d):
     """Two bindings of one text, letter by letter."""
-    g = conversation_groups(spark, d)
-    joined = lambda col, sep: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("grp", col.alias("v")))), lambda x: x["v"]), sep)
-    docs = g.groupBy("key").agg(joined(F.col("word"), " ").alias("orig"), joined(F.array_join("units", "_"), "_").alias("gold"))
+    gold = F.array_join(F.transform("words", lambda w: F.array_join(units_of_word(w), "_")), "_")
+    docs = conversation_words(spark, d).where("size(words) > 0").select("key", F.array_join("words", " ").alias("orig"), gold.alias("gold"))
     docs = docs.withColumn("orig", B.checked_same_letters(F.col("orig"), F.col("gold")))
     return B.aligned_letters(docs, "orig", "gold", "key")
 

@@ -66,7 +66,8 @@ def conllu_text(tokens: DataFrame, key: str = "doc_id") -> DataFrame:
 def parse_sgml(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row a tag or token of a text with one of these a line: key, line_no, kind (open, close, unary, token), tag, attrs, text."""
     rows = docs.select(key, F.posexplode(F.split(text, "\n")).alias("line_no", "line")).where("line != ''")
-    kind = F.when(F.col("line").rlike("^</"), "close").when(F.col("line").rlike("^<[^>]*/>$"), "unary").when(F.col("line").rlike("^<"), "open").otherwise("token")
+    starts, unary = lambda x: F.startswith("line", F.lit(x)), F.endswith("line", F.lit("/>")) & (F.instr("line", ">") == F.length("line"))
+    kind = F.when(~starts("<"), "token").when(starts("</"), "close").when(unary, "unary").otherwise("open")
     names, values = (F.regexp_extract_all("line", F.lit(r'([\w:.-]+)="([^"]*)"'), i) for i in (1, 2))
     attrs = F.map_from_arrays(names, values)
     return rows.select(key, "line_no", kind.alias("kind"), F.when(kind != "token", F.regexp_extract("line", r"^</?([\w:.-]+)", 1)).alias("tag"), F.when(kind.isin("open", "unary"), attrs).alias("attrs"), F.when(kind == "token", F.col("line")).alias("text"))
@@ -78,9 +79,11 @@ def units_of_sgml(events: DataFrame, key: str = "doc_id", element: str = "norm")
     opened = F.sum(F.when((F.col("kind") == "open") & (F.col("tag") == element), 1).otherwise(0)).over(w)
     last = lambda name: F.last(F.col("attrs")[name], True).over(w)
     e = events.select("*", opened.alias("unit"), *[last(n).alias(f"__{n}") for n in ("norm", "pos", "lemma")])
-    tokens = e.where("kind = 'token' AND unit > 0").groupBy(key, "unit").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "text"))), lambda x: x["text"]), "").alias("orig"))
-    closes = e.where((F.col("kind") == "close") & (F.col("tag") == element)).select(key, "unit", "line_no", F.col("__norm").alias("norm"), F.col("__pos").alias("pos"), F.col("__lemma").alias("lemma"))
-    return closes.join(tokens, [key, "unit"], "left")
+    token = F.when((F.col("kind") == "token") & (F.col("unit") > 0), F.struct("line_no", "text"))
+    close = F.when((F.col("kind") == "close") & (F.col("tag") == element), F.struct("line_no", F.col("__norm").alias("norm"), F.col("__pos").alias("pos"), F.col("__lemma").alias("lemma")))
+    u = e.groupBy(key, "unit").agg(F.array_sort(F.collect_list(token)).alias("t"), F.collect_list(close).alias("c"))
+    orig = F.when(F.size("t") > 0, F.array_join(F.transform("t", lambda x: x["text"]), ""))
+    return u.select(key, "unit", orig.alias("orig"), F.explode("c").alias("c")).select(key, "unit", "c.*", "orig")
 
 
 def sgml_text(groups: Column) -> Column:

@@ -47,3 +47,28 @@ def test_rules_over_batches_do_what_they_do_to_sentences(chosen):
         for k, t in zip(of.tolist(), zip(*[c.to_pylist() for c in columns], strict=True), strict=True):
             got[k].append(dict(zip(_FIELDS, t, strict=True)))
     assert got == [Y.rewrite_sentence(s, rules) for s in sentences]
+
+
+def _plan(spark, name):
+    from lectern.plans.catalog import QUERIES
+
+    return QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+
+
+#: Queries that bring texts together by key once, and then neither join nor exchange what is made of them.
+ONE_EXCHANGE = ["q102_aligned_letters", ]
+
+
+@pytest.mark.parametrize("name", ONE_EXCHANGE)
+def test_only_texts_are_exchanged(spark, name):
+    plan = _plan(spark, name)
+    assert plan.count("Exchange") <= 1 and "Join" not in plan
+
+
+def test_letters_of_two_versions_meet_without_a_join(spark):
+    from lectern.operators import binding as B
+
+    docs = spark.createDataFrame([("a", " ab  c", "a_b_c"), ("b", "xy", "xyz"), ("c", None, "x")], "key string, orig string, gold string")
+    out = B.aligned_letters(docs, "orig", "gold", "key")
+    assert sorted(map(tuple, out.collect())) == [("a", 0, "a", False, True), ("a", 1, "b", True, True), ("a", 2, "c", False, False), ("b", 0, "x", False, False), ("b", 1, "y", False, False)]
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
