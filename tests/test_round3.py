@@ -56,7 +56,7 @@ def _plan(spark, name):
 
 
 #: Queries that bring texts together by key once, and then neither join nor exchange what is made of them.
-ONE_EXCHANGE = ["q102_aligned_letters", "q51_sgml_round_trip", ]
+ONE_EXCHANGE = ["q102_aligned_letters", "q51_sgml_round_trip", "q57_sentence_tagging_rows", ]
 
 
 @pytest.mark.parametrize("name", ONE_EXCHANGE)
