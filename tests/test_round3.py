@@ -72,3 +72,8 @@ def test_letters_of_two_versions_meet_without_a_join(spark):
     out = B.aligned_letters(docs, "orig", "gold", "key")
     assert sorted(map(tuple, out.collect())) == [("a", 0, "a", False, True), ("a", 1, "b", True, True), ("a", 2, "c", False, False), ("b", 0, "x", False, False), ("b", 1, "y", False, False)]
     assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["q53_edit_attributes", "q54_wrap_spans"])
+def test_edited_annotations_meet_without_joins(spark, name):
+    assert "Join" not in _plan(spark, name)
