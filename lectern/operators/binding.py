@@ -55,6 +55,25 @@ def detokenize(groups: DataFrame, table: DataFrame, level: int = 1, key: str = "
     return docs.select(key, F.explode(F.arrays_zip("g", "f")).alias("z")).select(key, f"z.g.{by}", f"z.g.{col}", F.col("z.f").alias("grp"))
 
 
+def merged_forms(words: Column, table: DataFrame, level: int = 1, no_merge: list[str] = PUNCTUATION) -> Column:
+    """The forms of the groups that detokenize makes of several words each, as an array; words: those of a text in order."""
+    bound = table.where("p >= 0.5") if level > 1 else table.where("p >= 0.5 AND NOT aggressive")
+    known = table.sparkSession.sparkContext.broadcast(({r.form for r in bound.select("form").collect()} if level else set(), set(no_merge)))
+
+    def forms(lists: pa.Array) -> pa.Array:
+        out = []
+        for x in lists.to_pylist():
+            numbers, own, last = merge_flags(x or [], *known.value), [], None
+            for k, number in enumerate(numbers):
+                if number == last:  # the second of a group brings the first along
+                    own.append([x[k - 1], x[k]]) if k < 2 or numbers[k - 2] != number else own[-1].append(x[k])
+                last = number
+            out.append(["".join(g) for g in own])
+        return pa.array(out, pa.list_(pa.string()))
+
+    return F.arrow_udf(forms, "array<string>")(words)
+
+
 def merged_groups(groups: DataFrame, key: str = "doc_id", by: str = "i", col: str = "tok", boundary: str = "") -> DataFrame:
     """key, grp, form: the pieces of merged groups joined, with a boundary between them if wanted."""
     listed = F.array_sort(F.collect_list(F.struct(by, col)))
@@ -167,6 +186,12 @@ def capped_chunks(units: DataFrame, ends: Column, most: int = 100, key: str = "d
     return u.withColumn("chunk", F.dense_rank().over(Window.partitionBy(key).orderBy("__s", "__k")) - 1).drop("__s", "__k")
 
 
+def chunk_arrays(sentences: Column, most: int = 100) -> Column:
+    """capped_chunks of one text: from its sentences (struct<start, words, ...>) its chunks in order, as struct<start, words>."""
+    pieces = lambda s: F.transform(F.sequence(F.lit(0), F.floor((F.size(s["words"]) - 1) / most).cast("int")), lambda k: F.struct((s["start"] + k * most).alias("start"), F.slice(s["words"], k * most + 1, most).alias("words")))
+    return F.flatten(F.transform(sentences, pieces))
+
+
 def repaired_breaks(units: DataFrame, key: str = "doc_id", by: str = "i", flag: str = "break", group: str = "grp", tag: str = "pos", punctuation: str = "PUNCT", bad: list[str] = (), least: int = 50) -> DataFrame:
     """units with new_break: breaks inside a group move to its begin; a break on punctuation waits for the next other unit; one on a bad start is dropped if the sentence would be shorter than least."""
 

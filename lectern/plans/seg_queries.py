@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lectern.operators import binding as B
+from lectern.operators import conll as C
 from lectern.operators import lexicon as L
 from lectern.operators import segmentation as X
 from lectern.operators import sequences as S
@@ -67,12 +68,11 @@ g{name} AS (SELECT doc_id, tok, i, sum(CASE WHEN j THEN 0 ELSE 1 END) OVER (PART
 @query(f"""{TOK}, {_detok_sql("'the', 'of'", 1)}, {_detok_sql("'the', 'of', 'der', 'le'", 2)} SELECT 1 AS level, form, count(*) AS n FROM m1 GROUP BY form UNION ALL SELECT 2, form, count(*) FROM m2 GROUP BY form""")
 def q100_detok_levels(spark, d):
     """Groups merged behind proclitics, without and with the aggressive rows of the table."""
-    t, u = rows(spark, BOUND, "form string, p double, aggressive boolean"), docs_units(spark, d).withColumn("tok", F.lower("tok"))
+    t = rows(spark, BOUND, "form string, p double, aggressive boolean")
+    u = S.words(table(spark, d, "documents")).select(F.transform("words", lambda w: F.lower(w)).alias("words"))
     out = None
     for level in (1, 2):
-        g = B.detokenize(u, t, level)
-        many = g.groupBy("doc_id", "grp").agg(F.count("*").alias("n")).where("n > 1")
-        r = B.merged_groups(g.join(many, ["doc_id", "grp"])).groupBy("form").agg(F.count("*").alias("n")).select(F.lit(level).alias("level"), "form", "n")
+        r = u.select(F.explode(B.merged_forms(F.col("words"), t, level)).alias("form")).groupBy("form").agg(F.count("*").alias("n")).select(F.lit(level).alias("level"), "form", "n")
         out = r if out is None else out.unionAll(r)
     return out
 
@@ -139,7 +139,11 @@ def q108_windowed_features(spark, d):
 k AS (SELECT *, (row_number() OVER (PARTITION BY doc_id, s ORDER BY i) - 1) // 12 AS k FROM s) SELECT doc_id, i, (dense_rank() OVER (PARTITION BY doc_id ORDER BY s, k) - 1)::INT AS chunk FROM k""")
 def q109_capped_chunks(spark, d):
     """Sentences, those of more than twelve words in pieces."""
-    return B.capped_chunks(docs_units(spark, d), F.endswith("tok", F.lit(".")), 12).select("doc_id", "i", "chunk")
+    words = S.words(table(spark, d, "documents"))
+    t = C.sentence_arrays(words, lambda w: F.endswith(w, F.lit(".")), also=["places"])
+    c = t.select("doc_id", "places", F.posexplode(B.chunk_arrays(F.col("s"), 12)).alias("chunk", "c"))
+    c = c.select("doc_id", "places", "chunk", "c.start", F.posexplode("c.words").alias("at", "tok")).withColumn("at", F.col("start") + F.col("at"))
+    return c.select("doc_id", F.coalesce(F.get("places", F.col("at")), F.col("at")).alias("i"), "chunk")
 
 
 @query(f"""{TOK}, x AS (SELECT *, i // 3 AS grp, tok LIKE '%.' AS b, max((tok LIKE '%.')::INT) OVER (PARTITION BY doc_id, i // 3) = 1 AS m FROM tok) SELECT doc_id, i, m AND i % 3 = 0 AS new_break FROM x""")

@@ -56,7 +56,7 @@ def _plan(spark, name):
 
 
 #: Queries that bring texts together by key once, and then neither join nor exchange what is made of them.
-ONE_EXCHANGE = ["q102_aligned_letters", "q51_sgml_round_trip", "q57_sentence_tagging_rows", "q52_group_segmentations", "q138_sheet", "q55_metadata", ]
+ONE_EXCHANGE = ["q102_aligned_letters", "q51_sgml_round_trip", "q57_sentence_tagging_rows", "q52_group_segmentations", "q138_sheet", "q55_metadata", "q65_global_heads", "q22_bies", "q109_capped_chunks", "q67_entity_brackets", "q64_sentence_comments", "q60_conll_round_trip", "q69_ordered_edges", "q70_columns_by_place", ]
 
 
 @pytest.mark.parametrize("name", ONE_EXCHANGE)
