@@ -215,18 +215,17 @@ def ordered_edges(deps: Column) -> Column:
     """Enhanced edges 'head:label|...' by head; of those to one head the longest label stays (of equals the later by name); '_' for none."""
     parts = F.filter(F.split(F.coalesce(deps, F.lit("_")), r"\|"), lambda p: p.contains(":"))
     edges = F.transform(parts, lambda p: F.struct(F.substring_index(p, ":", 1).cast("double").alias("h"), F.length(p).alias("n"), p.alias("p")))
-    ordered = F.array_sort(edges)
-    last = F.filter(ordered, lambda e, i: (i == F.size(ordered) - 1) | (F.get(ordered, i + 1)["h"] != e["h"]))
-    return F.when(F.size(last) > 0, F.array_join(F.transform(last, lambda e: e["p"]), "|")).otherwise("_")
+    # An array of one binds the sorted edges, which each of them looks at.
+    text = lambda o: F.when(F.size(o) > 0, F.array_join(F.transform(F.filter(o, lambda e, i: (i == F.size(o) - 1) | (F.get(o, i + 1)["h"] != e["h"])), lambda e: e["p"]), "|")).otherwise("_")
+    return F.transform(F.array(F.array_sort(edges)), text)[0]
 
 
 def entity_brackets(spans: DataFrame, key: str = "doc_id") -> DataFrame:
     """key, tok, entity: what the tokens (from 1 in the text) show of spans (key, st, en, etype): '(type', 'type)', '(type)', the longest opener first, the closer of the span opened last first."""
     length = F.col("en") - F.col("st")
-    one = spans.where("st = en").select(key, F.col("st").alias("tok"), F.struct(F.lit(2).alias("k"), F.lit(0).alias("o"), F.concat(F.lit("("), "etype", F.lit(")")).alias("t")).alias("x"))
-    opened = spans.where("st < en").select(key, F.col("st").alias("tok"), F.struct(F.lit(1).alias("k"), (-length).alias("o"), F.concat(F.lit("("), "etype").alias("t")).alias("x"))
-    closed = spans.where("st < en").select(key, F.col("en").alias("tok"), F.struct(F.lit(3).alias("k"), length.alias("o"), F.concat("etype", F.lit(")")).alias("t")).alias("x"))
-    parts = opened.unionAll(one).unionAll(closed)
+    part = lambda tok, k, o, *t: F.struct(F.col(tok).alias("tok"), F.struct(F.lit(k).alias("k"), o.cast("int").alias("o"), F.concat(*t).alias("t")).alias("x"))
+    both = F.array(part("st", 1, -length, F.lit("("), "etype"), part("en", 3, length, "etype", F.lit(")")))
+    parts = spans.where("st <= en").select(key, F.explode(F.when(length == 0, F.array(part("st", 2, F.lit(0), F.lit("("), "etype", F.lit(")")))).otherwise(both)).alias("y")).select(key, "y.tok", "y.x")
     return parts.groupBy(key, "tok").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["t"]), "").alias("entity"))
 
 
